@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -26,38 +27,60 @@ SKIP_SUBSTRINGS = ("/login", "/logout", "/signin", "/signup", "/register", "/car
                    ".zip", ".exe", "#")
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once per row and use it any number of times.
+
+    URL rules read the same parts again and again. Bound to a lambda variable, a part
+    stays one evaluation and the expression stays small however the rules are nested.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _tidy(url: Column) -> Column:
     """Leading control characters and spaces, and any tab or newline, are not part of a URL."""
     return F.regexp_replace(F.regexp_replace(url, r"\A[\x00-\x20]+", ""), r"[\t\r\n]", "")
 
 
-def _part(url: Column, group: int) -> Column:
-    return F.regexp_extract(url, _PARTS, group)
+def _raw_parts(tidy: Column) -> Column:
+    part = [F.regexp_extract(tidy, _PARTS, group) for group in range(1, 6)]
+    return F.struct(F.lower(part[0]).alias("scheme"), part[1].alias("host"), part[2].alias("path"),
+                    part[3].alias("query"), part[4].alias("fragment"))
+
 
+def _with_params(raw: Column, scheme: Column) -> Column:
+    """Split ;params off the last path segment, for schemes that have them."""
+    split = F.contains(raw["path"], F.lit(";")) & scheme.isin(*_PARAM_SCHEMES)
+    return F.struct(
+        scheme.alias("scheme"), raw["host"].alias("host"),
+        F.when(split, F.regexp_replace(raw["path"], r"(?s);[^/]*\z", "")).otherwise(raw["path"]).alias("path"),
+        F.when(split, F.regexp_extract(raw["path"], r"(?s);([^/]*)\z", 1)).otherwise("").alias("params"),
+        raw["query"].alias("query"), raw["fragment"].alias("fragment"))
 
-def _path_and_params(path: Column, scheme: Column) -> tuple[Column, Column]:
-    can_have = scheme.isin(*_PARAM_SCHEMES)
-    params = F.when(can_have, F.regexp_extract(path, r"(?s);([^/]*)\z", 1)).otherwise("")
-    plain = F.when(can_have, F.regexp_replace(path, r"(?s);[^/]*\z", "")).otherwise(path)
-    return plain, params
+
+def _with_parts(url: Column, use: Callable[[Column], Column]) -> Column:
+    return _let(_tidy(url), lambda tidy: _let(
+        _raw_parts(tidy), lambda raw: _let(_with_params(raw, raw["scheme"]), use)))
 
 
 def url_host(url: Column) -> Column:
     """The authority exactly as written: case and port are kept."""
-    return _part(_tidy(url), 2)
+    return F.regexp_extract(_tidy(url), _PARTS, 2)
+
+
+def _mark(mark: str, value: Column) -> Column:
+    return F.when(value != "", F.concat(F.lit(mark), value)).otherwise("")
 
 
 def normalize_url(url: Column) -> Column:
     """Dedup form: no fragment, no ;params, no empty query, at most one final slash removed."""
-    tidy = _tidy(url)
-    scheme = F.lower(_part(tidy, 1))
-    path, _ = _path_and_params(_part(tidy, 3), scheme)
-    query = _part(tidy, 4)
-    full = F.concat(scheme, F.lit("://"), _part(tidy, 2), path,
-                    F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""))
-    slashes = F.length(full) - F.length(F.replace(full, F.lit("/"), F.lit("")))
-    cut = F.endswith(full, F.lit("/")) & (slashes > 3)
-    return F.when(cut, F.left(full, F.length(full) - 1)).otherwise(full)
+    def without_final_slash(full: Column) -> Column:
+        slashes = F.length(full) - F.length(F.replace(full, F.lit("/"), F.lit("")))
+        cut = F.endswith(full, F.lit("/")) & (slashes > 3)
+        return F.when(cut, F.left(full, F.length(full) - 1)).otherwise(full)
+
+    return _with_parts(url, lambda p: _let(
+        F.concat(p["scheme"], F.lit("://"), p["host"], p["path"], _mark("?", p["query"])),
+        without_final_slash))
 
 
 def has_skip_substring(url: Column) -> Column:
@@ -73,59 +96,66 @@ def is_crawlable(url: Column, allowed_host: Column | str) -> Column:
 
 def _assemble(scheme: Column, host: Column, path: Column, params: Column,
               query: Column, fragment: Column) -> Column:
-    def with_mark(mark: str, value: Column) -> Column:
-        return F.when(value != "", F.concat(F.lit(mark), value)).otherwise("")
-
     rooted = F.when((host != "") & (path != "") & ~F.startswith(path, F.lit("/")),
                     F.concat(F.lit("/"), path)).otherwise(path)
     return F.concat(F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(""),
-                    with_mark("//", host), rooted, with_mark(";", params),
-                    with_mark("?", query), with_mark("#", fragment))
+                    _mark("//", host), rooted, _mark(";", params), _mark("?", query),
+                    _mark("#", fragment))
 
 
-def _merge_paths(base_path: Column, path: Column) -> Column:
-    """RFC 3986 section 5.2: put the reference on the base folder, then fold dot segments."""
-    given = F.split(path, "/", -1)
-    base = F.split(base_path, "/", -1)
-    folder = F.when(F.element_at(base, -1) != "", F.slice(base, F.lit(1), F.size(base) - 1)).otherwise(base)
-    joined = F.concat(folder, given)
-    inner = F.filter(F.slice(joined, F.lit(2), F.greatest(F.size(joined) - 2, F.lit(0))), lambda s: s != "")
-    squeezed = F.when(F.size(joined) > 1,
-                      F.concat(F.slice(joined, 1, 1), inner, F.slice(joined, -1, 1))).otherwise(joined)
-    segments = F.when(F.startswith(path, F.lit("/")), given).otherwise(squeezed)
-
+def _fold_dots(segments: Column) -> Column:
+    """RFC 3986 section 5.2.4: drop dot segments, let double dots remove what is before them."""
     def step(done: Column, segment: Column) -> Column:
         return (F.when(segment == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
                 .when(segment == ".", done)
                 .otherwise(F.concat(done, F.array(segment))))
 
     folded = F.aggregate(segments, F.array().cast("array<string>"), step)
-    closed = F.when(F.element_at(segments, -1).isin(".", ".."),
-                    F.concat(folded, F.array(F.lit("")))).otherwise(folded)
-    merged = F.array_join(closed, "/")
-    folded_path = F.when(merged == "", F.lit("/")).otherwise(merged)
+    folder = F.element_at(segments, -1).isin(".", "..")
+    path = F.concat(F.array_join(folded, "/"), F.when(folder & (F.size(folded) > 0), F.lit("/")).otherwise(""))
+    return _let(path, lambda merged: F.when(merged == "", F.lit("/")).otherwise(merged))
+
+
+def _merge_paths(base_path: Column, path: Column) -> Column:
+    """RFC 3986 section 5.2.3: put the reference on the base folder, then fold dot segments."""
+    def on_folder(base: Column) -> Column:
+        folder = F.when(F.element_at(base, -1) != "",
+                        F.slice(base, F.lit(1), F.size(base) - 1)).otherwise(base)
+        return F.concat(folder, F.split(path, "/", -1))
+
+    def squeezed(joined: Column) -> Column:
+        inner = F.filter(F.slice(joined, F.lit(2), F.greatest(F.size(joined) - 2, F.lit(0))),
+                         lambda s: s != "")
+        return F.when(F.size(joined) > 1, F.concat(
+            F.slice(joined, 1, 1), inner, F.slice(joined, -1, 1))).otherwise(joined)
+
+    relative = _let(_let(_let(F.split(base_path, "/", -1), on_folder), squeezed), _fold_dots)
+    rooted = F.startswith(path, F.lit("/"))
     # The common case, a root-relative path without dot segments, skips the array work.
-    simple = F.startswith(path, F.lit("/")) & ~path.rlike(r"(?s)/\.\.?(?:/|\z)")
-    return F.when(simple, path).otherwise(folded_path)
+    return (F.when(rooted & ~path.rlike(r"(?s)/\.\.?(?:/|\z)"), path)
+            .when(rooted, _let(F.split(path, "/", -1), _fold_dots))
+            .otherwise(relative))
 
 
 def resolve_url(base: Column, href: Column) -> Column:
     """Absolute form of a link found on page ``base``."""
-    base_tidy, ref = _tidy(base), _tidy(href)
-    base_scheme = F.lower(_part(base_tidy, 1))
-    own_scheme = F.lower(_part(ref, 1))
-    scheme = F.when(own_scheme != "", own_scheme).otherwise(base_scheme)
-    base_path, base_params = _path_and_params(_part(base_tidy, 3), base_scheme)
-    path, params = _path_and_params(_part(ref, 3), scheme)
-    host, query, fragment = _part(ref, 2), _part(ref, 4), _part(ref, 5)
-    base_host = _part(base_tidy, 2)
-    foreign = (scheme != base_scheme) | ~scheme.isin(*_RELATIVE_SCHEMES)
-    same_page = (path == "") & (params == "")
-    return (F.when(href == "", base)
-            .when(foreign, href)
-            .when(host != "", _assemble(scheme, host, path, params, query, fragment))
-            .when(same_page, _assemble(scheme, base_host, base_path, base_params,
-                                       F.when(query != "", query).otherwise(_part(base_tidy, 4)),
-                                       fragment))
-            .otherwise(_assemble(scheme, base_host, _merge_paths(base_path, path), params,
-                                 query, fragment)))
+    def against(b: Column) -> Column:
+        def from_parts(p: Column) -> Column:
+            foreign = (p["scheme"] != b["scheme"]) | ~p["scheme"].isin(*_RELATIVE_SCHEMES)
+            same_page = (p["path"] == "") & (p["params"] == "")
+            query = F.when(p["query"] != "", p["query"]).otherwise(b["query"])
+            return (F.when(foreign, href)
+                    .when(p["host"] != "", _assemble(p["scheme"], p["host"], p["path"], p["params"],
+                                                     p["query"], p["fragment"]))
+                    .when(same_page, _assemble(p["scheme"], b["host"], b["path"], b["params"],
+                                               query, p["fragment"]))
+                    .otherwise(_assemble(p["scheme"], b["host"], _merge_paths(b["path"], p["path"]),
+                                         p["params"], p["query"], p["fragment"])))
+
+        def with_base_scheme(raw: Column) -> Column:
+            scheme = F.when(raw["scheme"] != "", raw["scheme"]).otherwise(b["scheme"])
+            return _let(_with_params(raw, scheme), from_parts)
+
+        return _let(_tidy(href), lambda tidy: _let(_raw_parts(tidy), with_base_scheme))
+
+    return F.when(href == "", base).otherwise(_with_parts(base, against))

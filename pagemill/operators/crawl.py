@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,6 +124,21 @@ def crawl(site: Site, start_url: str, max_pages: int | None = 100, max_depth: in
     return visited if cut is None else visited.filter((F.col("depth") < depth) | (F.col("rank") <= cut))
 
 
+def visit_order(visited: DataFrame) -> DataFrame:
+    """Add ``position``, 0 for the start page, without sorting everything in one task.
+
+    Each written partition is numbered on its own and shifted by the rows before it; the
+    shifts are one number per partition.
+    """
+    placed = visited.withColumn("part", F.shiftright("rank", _ROWS_PER_PARTITION_BITS))
+    before = Window.orderBy("depth", "part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = (placed.groupBy("depth", "part").agg(F.count("*").alias("rows"))
+              .select("depth", "part", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("shift")))
+    own = F.row_number().over(Window.partitionBy("depth", "part").orderBy("rank"))
+    return (placed.join(shifts, ["depth", "part"])
+            .withColumn("position", F.col("shift") + own - 1).drop("part", "shift"))
+
+
 def reachable(site: Site, start_url: str, max_depth: int | None = None) -> DataFrame:
     """(url, depth): smallest number of links from the start."""
     return crawl(site, start_url, max_pages=None, max_depth=max_depth).select("url", "depth")

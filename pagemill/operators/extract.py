@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from pagemill.functions import text as tx
 from pagemill.functions.html import read_page
+from pagemill.session import ship_package
 
 MIN_BODY_CHARS = 100
 
@@ -46,6 +47,7 @@ def read_pages_html(pages: DataFrame, elements: bool = False) -> DataFrame:
 
     A page that cannot be read gets its message in ``error`` and the job goes on.
     """
+    ship_package(pages.sparkSession)
     keep = [f for f in pages.schema.fields if f.name != "html"]
     fields = _READ.fields + ([T.StructField("elements", _ELEMENTS)] if elements else [])
     names = [f.name for f in fields]

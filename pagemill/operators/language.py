@@ -14,12 +14,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagemill.session import new_table_path, ship_package
+
 UNKNOWN = "unknown"
 MIN_CHARS = 50
 SMOOTHING = 5e-5
 WEIGHT_SCALE = 1_000_000
 TRIGRAMS_PER_LANGUAGE = 20_000
 MAX_PROFILE_ROWS = 2_000_000
+PROFILE = "language string, trigram string, weight long"
 
 
 def letters(text: Column) -> Column:
@@ -34,7 +37,11 @@ def trigrams(text: Column) -> Column:
 
 
 def learn_profile(labelled: DataFrame, text: str = "text", language: str = "lang") -> DataFrame:
-    """Profile of every language in ``labelled``: its most frequent trigrams with their weights."""
+    """Profile of every language in ``labelled``: its most frequent trigrams with their weights.
+
+    The profile is written to the shared folder and read back: it is used many times over,
+    and its true size then decides by itself whether a join broadcasts it.
+    """
     counts = (labelled
               .select(F.col(language).alias("language"), F.explode(trigrams(F.col(text))).alias("trigram"))
               .groupBy("language", "trigram").agg(F.count("*").alias("n")))
@@ -46,8 +53,11 @@ def learn_profile(labelled: DataFrame, text: str = "text", language: str = "lang
     })
     share = F.col("n").cast("double") / F.col("total").cast("double")
     weight = F.round(F.log(F.lit(1.0) + share / F.lit(SMOOTHING)) * F.lit(float(WEIGHT_SCALE)))
-    return (ranked.filter(F.col("place") <= TRIGRAMS_PER_LANGUAGE)
-            .select("language", "trigram", weight.cast("long").alias("weight")))
+    path = new_table_path(labelled.sparkSession, "language-profile")
+    (ranked.filter(F.col("place") <= TRIGRAMS_PER_LANGUAGE)
+     .select("language", "trigram", weight.cast("long").alias("weight"))
+     .write.parquet(path))
+    return labelled.sparkSession.read.schema(PROFILE).parquet(path)
 
 
 def language_scores(docs: DataFrame, key: str, text: str, profile: DataFrame) -> DataFrame:
@@ -92,6 +102,7 @@ def with_language(docs: DataFrame, profile: DataFrame, text: str = "body_text")
     as in :func:`language_scores` are then taken per text.
     """
     spark = docs.sparkSession
+    ship_package(spark)
     model = spark.sparkContext.broadcast(_profile_arrays(profile))
 
     @F.pandas_udf("string")

@@ -17,9 +17,11 @@ def extract_links(extracted: DataFrame, allowed_host: Column | str | None = None
     host = url_host(F.col(base)) if allowed_host is None else allowed_host
     if isinstance(host, str):
         host = F.lit(host)
+    # Links are resolved and tested inside the array, so only those kept become rows.
+    targets = F.transform("hrefs", lambda href, pos: F.struct(
+        pos.cast("long").alias("pos"), normalize_url(resolve_url(F.col("src_url"), href)).alias("dst_url")))
     return (extracted
-            .select(F.col(base).alias("src_url"), host.alias("host"), F.posexplode("hrefs").alias("pos", "href"))
-            .withColumn("target", resolve_url(F.col("src_url"), F.col("href")))
-            .withColumn("dst_url", normalize_url(F.col("target")))
-            .filter(is_crawlable(F.col("dst_url"), F.col("host")))
-            .select("src_url", "pos", "dst_url"))
+            .select(F.col(base).alias("src_url"), host.alias("host"), "hrefs")
+            .select("src_url", "host", targets.alias("targets"))
+            .select("src_url", F.inline(F.filter(
+                "targets", lambda t: is_crawlable(t["dst_url"], F.col("host"))))))
