@@ -210,7 +210,7 @@ def read_page(html):
                for a in kept if a.tag == "a"]
     return {
         "title": page_title(reader),
-        "main_text": "\n".join(s for s in (t.strip() for _, t in texts) if s),
+        "body_text": " ".join(" ".join(t for _, t in texts).split()),
         "has_code_tag": any(e.tag in ("code", "pre") for e in kept),
         "link_text_len": len(" ".join(anchors)),
         "hrefs": [e.attrs["href"] for e in reader.elements if e.tag == "a" and "href" in e.attrs],

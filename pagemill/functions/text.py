@@ -34,9 +34,7 @@ def word_count(body: Column) -> Column:
 
 def words(text: Column) -> Column:
     """Whitespace tokens; an empty text has none."""
-    cleaned = clean_text(text)
-    empty = F.array().cast("array<string>")
-    return F.when(cleaned == "", empty).otherwise(F.split(cleaned, " ", -1))
+    return F.array_remove(F.split(clean_text(text), " ", -1), "")
 
 
 def paragraph_count(body: Column) -> Column:

@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pagemill.functions.binding import let
+
 # Generic URL grammar of RFC 3986, appendix B: scheme, authority, path, query, fragment.
 _PARTS = (r"(?s)\A(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)"
           r"(?:\?([^#]*))?(?:#(.*))?\z")
@@ -27,15 +29,6 @@ SKIP_SUBSTRINGS = ("/login", "/logout", "/signin", "/signup", "/register", "/car
                    ".zip", ".exe", "#")
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once per row and use it any number of times.
-
-    URL rules read the same parts again and again. Bound to a lambda variable, a part
-    stays one evaluation and the expression stays small however the rules are nested.
-    """
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _tidy(url: Column) -> Column:
     """Leading control characters and spaces, and any tab or newline, are not part of a URL."""
     return F.regexp_replace(F.regexp_replace(url, r"\A[\x00-\x20]+", ""), r"[\t\r\n]", "")
@@ -58,8 +51,8 @@ def _with_params(raw: Column, scheme: Column) -> Column:
 
 
 def _with_parts(url: Column, use: Callable[[Column], Column]) -> Column:
-    return _let(_tidy(url), lambda tidy: _let(
-        _raw_parts(tidy), lambda raw: _let(_with_params(raw, raw["scheme"]), use)))
+    return let(_tidy(url), lambda tidy: let(
+        _raw_parts(tidy), lambda raw: let(_with_params(raw, raw["scheme"]), use)))
 
 
 def url_host(url: Column) -> Column:
@@ -78,7 +71,7 @@ def normalize_url(url: Column) -> Column:
         cut = F.endswith(full, F.lit("/")) & (slashes > 3)
         return F.when(cut, F.left(full, F.length(full) - 1)).otherwise(full)
 
-    return _with_parts(url, lambda p: _let(
+    return _with_parts(url, lambda p: let(
         F.concat(p["scheme"], F.lit("://"), p["host"], p["path"], _mark("?", p["query"])),
         without_final_slash))
 
@@ -113,7 +106,7 @@ def _fold_dots(segments: Column) -> Column:
     folded = F.aggregate(segments, F.array().cast("array<string>"), step)
     folder = F.element_at(segments, -1).isin(".", "..")
     path = F.concat(F.array_join(folded, "/"), F.when(folder & (F.size(folded) > 0), F.lit("/")).otherwise(""))
-    return _let(path, lambda merged: F.when(merged == "", F.lit("/")).otherwise(merged))
+    return let(path, lambda merged: F.when(merged == "", F.lit("/")).otherwise(merged))
 
 
 def _merge_paths(base_path: Column, path: Column) -> Column:
@@ -129,11 +122,11 @@ def _merge_paths(base_path: Column, path: Column) -> Column:
         return F.when(F.size(joined) > 1, F.concat(
             F.slice(joined, 1, 1), inner, F.slice(joined, -1, 1))).otherwise(joined)
 
-    relative = _let(_let(_let(F.split(base_path, "/", -1), on_folder), squeezed), _fold_dots)
+    relative = let(let(let(F.split(base_path, "/", -1), on_folder), squeezed), _fold_dots)
     rooted = F.startswith(path, F.lit("/"))
     # The common case, a root-relative path without dot segments, skips the array work.
     return (F.when(rooted & ~path.rlike(r"(?s)/\.\.?(?:/|\z)"), path)
-            .when(rooted, _let(F.split(path, "/", -1), _fold_dots))
+            .when(rooted, let(F.split(path, "/", -1), _fold_dots))
             .otherwise(relative))
 
 
@@ -154,8 +147,8 @@ def resolve_url(base: Column, href: Column) -> Column:
 
         def with_base_scheme(raw: Column) -> Column:
             scheme = F.when(raw["scheme"] != "", raw["scheme"]).otherwise(b["scheme"])
-            return _let(_with_params(raw, scheme), from_parts)
+            return let(_with_params(raw, scheme), from_parts)
 
-        return _let(_tidy(href), lambda tidy: _let(_raw_parts(tidy), with_base_scheme))
+        return let(_tidy(href), lambda tidy: let(_raw_parts(tidy), with_base_scheme))
 
     return F.when(href == "", base).otherwise(_with_parts(base, against))

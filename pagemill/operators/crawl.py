@@ -42,13 +42,21 @@ class Site:
 
 
 def site_graph(outcomes: DataFrame, links: DataFrame) -> Site:
-    """Site tables from (url, outcome) and (src_url, pos, dst_url)."""
+    """Site tables from (url, outcome) and (src_url, pos, dst_url).
+
+    Every round reads them, so both are written once to the shared folder.
+    """
+    spark, path = links.sparkSession, new_table_path(links.sparkSession, "site")
     edges = links.select("src_url", F.floor(F.col("pos") / LINKS_PER_BLOCK).cast("long").alias("block"),
                          F.col("pos").cast("long").alias("pos"), "dst_url")
+    edges.write.parquet(f"{path}/edges")
+    edges = spark.read.schema(edges.schema).parquet(f"{path}/edges")
     blocks = (edges.groupBy("src_url", "block").agg(F.count("*").alias("n"))
               .groupBy(F.col("src_url").alias("url"))
               .agg(F.collect_list("block").alias("link_blocks")))
-    return Site(outcomes.select("url", "outcome").join(blocks, "url", "left"), edges)
+    pages = outcomes.select("url", "outcome").join(blocks, "url", "left")
+    pages.write.parquet(f"{path}/pages")
+    return Site(spark.read.schema(pages.schema).parquet(f"{path}/pages"), edges)
 
 
 def _write_level(level: DataFrame, path: str) -> DataFrame:
@@ -165,8 +173,7 @@ def snapshot_site(pages: DataFrame, start_url: str, page_id: str = "page_id") ->
     outcomes = extracted.select("url", page_outcome(
         F.col("http_status"), F.col("body_text"), F.col("error")).alias("outcome"))
     crawled = with_content(extracted.filter(F.col("http_status") < 400))
-    extract_links(crawled, url_host(start)).write.parquet(f"{path}/links")
-    return site_graph(outcomes, spark.read.parquet(f"{path}/links")), extracted
+    return site_graph(outcomes, extract_links(crawled, url_host(start))), extracted
 
 
 def crawl_summary(visited: DataFrame, started: Column | None = None, ended: Column | None = None) -> DataFrame:

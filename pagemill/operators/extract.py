@@ -17,7 +17,7 @@ MIN_BODY_CHARS = 100
 
 _READ = T.StructType([
     T.StructField("title", T.StringType()),
-    T.StructField("main_text", T.StringType()),
+    T.StructField("body_text", T.StringType()),
     T.StructField("has_code_tag", T.BooleanType()),
     T.StructField("link_text_len", T.LongType()),
     T.StructField("hrefs", T.ArrayType(T.StringType())),
@@ -29,7 +29,7 @@ _ELEMENTS = T.ArrayType(T.StructType([
     T.StructField("element_id", T.StringType()),
 ]))
 _ARROW = {
-    "title": pa.string(), "main_text": pa.string(), "has_code_tag": pa.bool_(),
+    "title": pa.string(), "body_text": pa.string(), "has_code_tag": pa.bool_(),
     "link_text_len": pa.int64(), "hrefs": pa.list_(pa.string()), "error": pa.string(),
     "elements": pa.list_(pa.struct([("tag", pa.string()), ("css_class", pa.string()),
                                     ("element_id", pa.string())])),
@@ -55,7 +55,7 @@ def read_pages_html(pages: DataFrame, elements: bool = False) -> DataFrame:
     def read_one(html):
         try:
             found = {**read_page(html), "error": None}
-            for name in ("title", "main_text"):
+            for name in ("title", "body_text"):
                 found[name] = _without_lone_surrogates(found[name])
             return found
         except Exception as problem:
@@ -73,17 +73,15 @@ def read_pages_html(pages: DataFrame, elements: bool = False) -> DataFrame:
 
 def extract(pages: DataFrame, elements: bool = False) -> DataFrame:
     """``html`` to title, body_text, paragraph_count, has_code_blocks, link text and ratio, hrefs."""
-    read = read_pages_html(pages, elements)
-    cleaned = read.withColumn("body_text", tx.clean_text(F.col("main_text")))
     body = F.col("body_text")
-    return (cleaned
+    return (read_pages_html(pages, elements)
             .withColumns({
                 "paragraph_count": tx.paragraph_count(body),
                 "has_code_blocks": F.col("has_code_tag") | tx.has_code_fence(body),
                 "link_ratio": (F.col("link_text_len").cast("double")
                                / F.greatest(F.length(body), F.lit(1)).cast("double")),
             })
-            .drop("main_text", "has_code_tag"))
+            .drop("has_code_tag"))
 
 
 def page_outcome(http_status, body, error):

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.functions.binding import let
 from pagemill.functions.text import words
 from pagemill.operators.filters import rag_ready
 
@@ -18,14 +19,18 @@ def chunk(docs: DataFrame, chunk_size: int = 512, overlap: int = 50, keep: tuple
     if not 0 <= overlap < chunk_size:
         raise ValueError("need 0 <= overlap < chunk_size")
     step = chunk_size - overlap
-    tokens = docs.select(*keep, "url", "body_text", words(F.col("body_text")).alias("w"))
-    n = F.size("w")
-    starts = F.sequence(F.lit(1), n, F.lit(step))
-    windows = F.transform(starts, lambda at: F.array_join(F.slice("w", at, F.lit(chunk_size)), " "))
-    pieces = F.when(n <= chunk_size, F.array("body_text")).otherwise(windows)
-    return (tokens.select(*keep, "url", pieces.alias("pieces"))
+
+    def windows(tokens):
+        starts = F.sequence(F.lit(1), F.size(tokens), F.lit(step))
+        return F.when(F.size(tokens) <= chunk_size, F.array("body_text")).otherwise(
+            F.transform(starts, lambda at: F.array_join(F.slice(tokens, at, F.lit(chunk_size)), " ")))
+
+    # Exploding an expression, not a bare column, keeps Spark from deriving a filter on the
+    # array, which would chunk every text a second time below.
+    none = F.array().cast("array<string>")
+    return (docs.select(*keep, "url", let(words(F.col("body_text")), windows).alias("pieces"))
             .select(*keep, "url", F.size("pieces").alias("total_chunks"),
-                    F.posexplode("pieces").alias("chunk_id", "text"))
+                    F.posexplode(F.coalesce("pieces", none)).alias("chunk_id", "text"))
             .select(*keep, "text", F.col("url").alias("source_url"), "chunk_id", "total_chunks"))
 
 

@@ -55,7 +55,7 @@ def _word_stats(histogram: DataFrame) -> DataFrame:
             .agg(docs.alias("total_docs"), total.alias("total_words"),
                  F.min("words").alias("min_words"), F.max("words").alias("max_words"),
                  (total.cast("double") / docs.cast("double")).alias("mean_words"),
-                 F.percentile("words", 0.5, "n").alias("median_words"),
+                 F.percentile("words", 0.5, F.col("n")).alias("median_words"),
                  F.floor(total / docs).alias("floor_words_per_page"))
             .filter("total_docs > 0"))
 
@@ -93,7 +93,7 @@ def collection_profile(docs: DataFrame, order: str = "doc_ord") -> DataFrame:
               .agg(total.alias("n"), F.min("first_seen").alias("first_seen"),
                    word_total.alias("word_total"), F.min("words").alias("low"), F.max("words").alias("high"),
                    (word_total.cast("double") / total.cast("double")).alias("mean"),
-                   F.percentile("words", 0.5, "n").alias("median"),
+                   F.percentile("words", 0.5, F.col("n")).alias("median"),
                    F.sum(F.when(F.col("words") < 100, F.col("n")).otherwise(0)).alias("thin"),
                    *[F.sum(n).alias(n) for n in flags]))
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.functions import text as tx
 from pagemill.functions.page_rules import content_type
 from pagemill.operators.crawl import Site, site_graph
+from pagemill.session import new_table_path
 from pagemill.sources.readers import read_pages, read_table, spread
 
 FIRST_FETCH = 1735689600  # 2025-01-01T00:00:00Z
@@ -22,7 +26,28 @@ def documents(spark: SparkSession, sf: str) -> DataFrame:
     return spread(read_table(spark, sf, "documents"))
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(spark: SparkSession, sf: str, name: str, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+    """A derived table, written once per application and then scanned like any other."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key in _STORED:
+        try:
+            return spark.read.parquet(_STORED[key])
+        except AnalysisException:  # the shared folder was emptied
+            pass
+    _STORED[key] = new_table_path(spark, name)
+    build(spark, sf).write.parquet(_STORED[key])
+    return spark.read.parquet(_STORED[key])
+
+
 def collection(spark: SparkSession, sf: str) -> DataFrame:
+    """The derived collection as a stored table, so that filters and columns reach the scan."""
+    return _stored(spark, sf, "collection", build_collection)
+
+
+def build_collection(spark: SparkSession, sf: str) -> DataFrame:
     """A document collection whose metadata reaches every branch of the filters."""
     key = F.col("doc_id")
     folder = F.element_at(F.array(*map(F.lit, ("docs", "blog", "product", "wiki", "catalogue"))),
@@ -108,7 +133,8 @@ def shop_site(spark: SparkSession, sf: str) -> tuple[Site, str]:
 def fetch_log(events: DataFrame) -> DataFrame:
     """Events read as fetches: when, with which outcome, of which (normalisable) URL."""
     kind = F.col("event_type")
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
     return events.select(
-        F.col("ts").alias("fetched_at"),
+        F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col("ts"))).alias("fetched_at"),
         F.when(kind == "error", "error").when(kind == "signup", "skipped").otherwise("crawled").alias("outcome"),
         F.concat(F.lit(f"{SHOP}/u/"), "user_id", F.lit("/"), kind, F.lit("/#e"), "event_id").alias("url"))

@@ -178,6 +178,8 @@ detected AS (
   SELECT s.{key}, coalesce(b.language, 'unknown') AS language FROM {source} s LEFT JOIN best b USING ({key}))"""
 
 
+_CLEANED = f"cleaned AS (SELECT doc_id, {_clean('text')} AS body_text FROM documents), " + _PROFILE + ", "
+
 _PAGE_DOCUMENTS = _PAGES + ", " + _PROFILE + ", " + _detected("extracted", "page_id") + f"""
 SELECT url, title, body_text, {_FIRST_FETCH} + page_id AS fetched_at,
   {_content_type('0.0')} AS content_type, ({_words('body_text')})::BIGINT AS word_count,
@@ -193,8 +195,8 @@ def _chunks(size: int, overlap: int) -> str:
     return _from(_COLLECTION + f""",
 tokens AS (SELECT url, body_text, CASE WHEN body_text = '' THEN [] ELSE string_split(body_text, ' ') END AS w
            FROM collection),
-starts AS (SELECT *, CASE WHEN len(w) <= {size} THEN [0] ELSE range(0, len(w), {step}) END AS at FROM tokens),
-placed AS (SELECT *, unnest(range(len(at))) AS chunk_id, len(at) AS total_chunks FROM starts)""",
+starts AS (SELECT *, CASE WHEN len(w) <= {size} THEN [0] ELSE range(0, len(w), {step}) END AS first_word FROM tokens),
+placed AS (SELECT *, unnest(range(len(first_word))) AS chunk_id, len(first_word) AS total_chunks FROM starts)""",
                  f"""SELECT CASE WHEN len(w) <= {size} THEN body_text ELSE
     array_to_string(w[chunk_id * {step} + 1 : chunk_id * {step} + {size}], ' ') END AS text,
   url AS source_url, chunk_id, total_chunks FROM placed""")
@@ -333,11 +335,13 @@ FROM (SELECT doc_id, {_words('b')} AS w FROM (SELECT doc_id, {_clean('text')} AS
     "link_density_rounded": f"""SELECT doc_id, {_py_round('w', 'greatest(n, 1)', 3)} AS link_density
 FROM (SELECT doc_id, length(b) AS n, {_words('b')} AS w FROM (SELECT doc_id, {_clean('text')} AS b FROM documents))""",
     "language_profile": _from(_PROFILE, "SELECT * FROM profile"),
-    "language_of_documents": _from(
-        f"cleaned AS (SELECT doc_id, {_clean('text')} AS body_text FROM documents), "
-        + _PROFILE + ", " + _detected("cleaned", "doc_id"), "SELECT * FROM detected"),
+    "language_of_documents": _from(_CLEANED + _detected("cleaned", "doc_id"), "SELECT * FROM detected"),
+    "language_by_join": _from(_CLEANED + _detected("cleaned", "doc_id"), "SELECT * FROM detected"),
+    "language_scores": _from(_CLEANED + f"""grams AS ({_grams('cleaned', 'doc_id', 'body_text')})""",
+        "SELECT doc_id, language, sum(weight)::BIGINT AS score FROM grams JOIN profile USING (trigram) GROUP BY ALL"),
     "language_of_pages": _from(_PAGES + ", " + _PROFILE + ", " + _detected("extracted", "page_id"),
                                "SELECT * FROM detected"),
+    "build_collection": _from(_COLLECTION, f"SELECT {_FIELDS} FROM collection"),
     "content_types": _from(_COLLECTION, "SELECT url, title, content_type FROM collection"),
     "page_documents": "WITH " + _PAGE_DOCUMENTS,
     "url_normalized": f"SELECT page_id, {_normalized('url')} AS url_norm FROM pages",

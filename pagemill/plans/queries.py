@@ -178,6 +178,19 @@ def language_profile(spark, sf):
 
 @query
 def language_of_documents(spark, sf):
+    docs = inputs.documents(spark, sf).select("doc_id", tx.clean_text(F.col("text")).alias("body_text"))
+    return language.with_language(docs, _profile(spark, sf)).select("doc_id", "language")
+
+
+@query
+def language_scores(spark, sf):
+    """Scores of every language by joining all trigrams with the profile."""
+    docs = inputs.documents(spark, sf).select("doc_id", tx.clean_text(F.col("text")).alias("body_text"))
+    return language.language_scores(docs, "doc_id", "body_text", _profile(spark, sf))
+
+
+@query
+def language_by_join(spark, sf):
     docs = inputs.documents(spark, sf).select("doc_id", tx.clean_text(F.col("text")).alias("body_text"))
     return language.detect_by_join(docs, "doc_id", "body_text", _profile(spark, sf))
 
@@ -188,6 +201,12 @@ def language_of_pages(spark, sf):
     return language.with_language(bodies, _profile(spark, sf)).select("page_id", "language")
 
 
+@query
+def build_collection(spark, sf):
+    """The derived collection straight from the documents: counts, read time, content type."""
+    return _flat(inputs.build_collection(spark, sf))
+
+
 @query
 def content_types(spark, sf):
     return inputs.collection(spark, sf).select("url", "title", "content_type")
