@@ -51,9 +51,8 @@ def site_graph(outcomes: DataFrame, links: DataFrame) -> Site:
                          F.col("pos").cast("long").alias("pos"), "dst_url")
     edges.write.parquet(f"{path}/edges")
     edges = spark.read.schema(edges.schema).parquet(f"{path}/edges")
-    blocks = (edges.groupBy("src_url", "block").agg(F.count("*").alias("n"))
-              .groupBy(F.col("src_url").alias("url"))
-              .agg(F.collect_list("block").alias("link_blocks")))
+    # A set of block numbers per source: one for every 65,536 link positions.
+    blocks = edges.groupBy(F.col("src_url").alias("url")).agg(F.collect_set("block").alias("link_blocks"))
     pages = outcomes.select("url", "outcome").join(blocks, "url", "left")
     pages.write.parquet(f"{path}/pages")
     return Site(spark.read.schema(pages.schema).parquet(f"{path}/pages"), edges)

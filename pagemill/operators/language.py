@@ -11,8 +11,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagemill.session import new_table_path, ship_package
 
@@ -24,16 +26,59 @@ TRIGRAMS_PER_LANGUAGE = 20_000
 MAX_PROFILE_ROWS = 2_000_000
 PROFILE = "language string, trigram string, weight long"
 
+_SEPARATOR = r"[\x{10000}-\x{10FFFF}[^\p{L}\p{M}]]"
+_POINT_BITS = 21
+
 
 def letters(text: Column) -> Column:
     """Lower-cased letters of the basic plane; anything between them is one space."""
-    return F.concat(F.lit(" "), F.trim(F.regexp_replace(
-        F.lower(text), r"(?:[\x{10000}-\x{10FFFF}]|[^\p{L}\p{M}])+", " ")), F.lit(" "))
+    run = rf"(?: {_SEPARATOR}|[{_SEPARATOR}&&[^ ]]){_SEPARATOR}*"
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), run, " ")), F.lit(" "))
+
+
+def _codes(text: str) -> np.ndarray:
+    """Every overlapping run of three code points, packed into one integer each."""
+    points = np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.int64)
+    return (points[:-2] << 2 * _POINT_BITS) | (points[1:-1] << _POINT_BITS) | points[2:]
 
 
-def trigrams(text: Column) -> Column:
-    """Every overlapping run of three characters of the letters form."""
-    return F.regexp_extract_all(letters(text), F.lit(r"(?s)(?=(...))"), 1)
+def _strings(codes: np.ndarray) -> list[str]:
+    mask = (1 << _POINT_BITS) - 1
+    points = np.stack([codes >> 2 * _POINT_BITS, (codes >> _POINT_BITS) & mask, codes & mask], axis=1)
+    joined = points.astype("<u4").tobytes().decode("utf-32-le")
+    return [joined[i:i + 3] for i in range(0, len(joined), 3)]
+
+
+def trigram_counts(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, trigram, n), one row per key and trigram of each Arrow batch.
+
+    Counting inside the batch sends distinct trigrams on, not one row per character;
+    whoever needs totals per key still sums ``n``.
+    """
+    ship_package(texts.sparkSession)
+    kind = texts.schema[key].dataType
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            by_key: dict = {}
+            for at, (owner, line) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                if line is not None and len(line) >= 3:
+                    by_key.setdefault(owner, (at, []))[1].append(_codes(line))
+            places, names, sizes = [], [], []
+            for at, parts in by_key.values():
+                codes, n = np.unique(np.concatenate(parts), return_counts=True)
+                places.append(np.full(len(codes), at))
+                names.extend(_strings(codes))
+                sizes.append(n)
+            if names:
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(np.concatenate(places))),
+                     pa.array(names, pa.string()), pa.array(np.concatenate(sizes), pa.int64())],
+                    names=[key, "trigram", "n"])
+
+    schema = T.StructType([T.StructField(key, kind), T.StructField("trigram", T.StringType()),
+                           T.StructField("n", T.LongType())])
+    return texts.select(key, letters(F.col(text)).alias("letters")).mapInArrow(count, schema)
 
 
 def learn_profile(labelled: DataFrame, text: str = "text", language: str = "lang") -> DataFrame:
@@ -42,9 +87,8 @@ def learn_profile(labelled: DataFrame, text: str = "text", language: str = "lang
     The profile is written to the shared folder and read back: it is used many times over,
     and its true size then decides by itself whether a join broadcasts it.
     """
-    counts = (labelled
-              .select(F.col(language).alias("language"), F.explode(trigrams(F.col(text))).alias("trigram"))
-              .groupBy("language", "trigram").agg(F.count("*").alias("n")))
+    counts = (trigram_counts(labelled, language, text)
+              .groupBy(F.col(language).alias("language"), "trigram").agg(F.sum("n").alias("n")))
     # One row per distinct trigram is left here, whatever the size of the corpus.
     whole = Window.partitionBy("language")
     ranked = counts.withColumns({
@@ -62,9 +106,8 @@ def learn_profile(labelled: DataFrame, text: str = "text", language: str = "lang
 
 def language_scores(docs: DataFrame, key: str, text: str, profile: DataFrame) -> DataFrame:
     """(key, language, score) by joining each text's trigrams with the profile."""
-    grams = docs.select(key, F.explode(trigrams(F.col(text))).alias("trigram"))
-    return (grams.join(profile, "trigram")
-            .groupBy(key, "language").agg(F.sum("weight").alias("score")))
+    return (trigram_counts(docs, key, text).join(profile, "trigram")
+            .groupBy(key, "language").agg(F.sum(F.col("n") * F.col("weight")).alias("score")))
 
 
 def detect_by_join(docs: DataFrame, key: str, text: str, profile: DataFrame) -> DataFrame:
@@ -82,19 +125,13 @@ def _profile_arrays(profile: DataFrame) -> tuple[list[str], np.ndarray, np.ndarr
     if len(rows) > MAX_PROFILE_ROWS:
         raise ValueError(f"a language profile may hold {MAX_PROFILE_ROWS} rows at most")
     names = sorted(rows["language"].unique())
-    points = np.frombuffer("".join(rows["trigram"]).encode("utf-32-le"), dtype="<u4")
-    codes = _codes(points)[::3] if len(points) else np.empty(0, np.int64)
+    codes = _codes("".join(rows["trigram"]))[::3] if len(rows) else np.empty(0, np.int64)
     keys, place = np.unique(codes, return_inverse=True)
     weights = np.zeros((len(keys), len(names)), np.int64)
     weights[place, np.searchsorted(names, rows["language"])] = rows["weight"]
     return names, keys, weights
 
 
-def _codes(points: np.ndarray) -> np.ndarray:
-    wide = points.astype(np.int64)
-    return (wide[:-2] << 42) | (wide[1:-1] << 21) | wide[2:]
-
-
 def with_language(docs: DataFrame, profile: DataFrame, text: str = "body_text") -> DataFrame:
     """Add ``language`` to wide rows in place, so that their texts are never shuffled.
 
@@ -109,13 +146,13 @@ def with_language(docs: DataFrame, profile: DataFrame, text: str = "body_text")
     def best_language(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         names, keys, weights = model.value
 
-        def best(text):
-            if not text or not len(keys):
+        def best(line):
+            if line is None or len(line) < 3 or not len(keys):
                 return UNKNOWN
-            codes = _codes(np.frombuffer(text.encode("utf-32-le"), dtype="<u4"))
+            codes = _codes(line)
             found = np.minimum(np.searchsorted(keys, codes), len(keys) - 1)
-            found = found[keys[found] == codes]
-            return names[int(weights[found].sum(axis=0).argmax())] if len(found) else UNKNOWN
+            known, n = np.unique(found[keys[found] == codes], return_counts=True)
+            return names[int((n @ weights[known]).argmax())] if len(known) else UNKNOWN
 
         for batch in batches:
             yield batch.map(best, na_action=None)

@@ -28,14 +28,12 @@ def save_vectors(docs: DataFrame, path: str) -> None:
     save_jsonl(vector_records(docs), path)
 
 
-def save_collection(docs: DataFrame, path: str, files_per_value: int = 32) -> None:
+def save_collection(docs: DataFrame, path: str) -> None:
     """Parquet partitioned by language and content type, so that routing filters prune.
 
-    Rows are spread by (language, content_type, salt) before writing: without it every
-    task would open a file per value, and without the salt the commonest language would
-    land in one task.
+    The rebalance hint gathers each value's rows, so tasks do not all open a file per
+    value, and lets adaptive execution split the large values by size: the commonest
+    language is written by as many tasks as it needs.
     """
-    salt = F.pmod(F.xxhash64("url"), F.lit(files_per_value))
-    (docs.withColumn("salt", salt)
-     .repartition("language", "content_type", "salt").drop("salt")
+    (docs.hint("rebalance", F.col("language"), F.col("content_type"))
      .write.partitionBy("language", "content_type").parquet(path))
