@@ -5,14 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.session import new_table_path
+
 
 def keep_first(rows: DataFrame, key: str, row_id: str) -> DataFrame:
     """One row per key, the one with the smallest ``row_id``, which is unique within a key.
 
-    Only keys and ids are grouped, with a partial aggregate before the shuffle. The
-    wide rows meet just the list of surplus ids, which stays short when copies are few.
+    Only keys and ids are grouped, with a partial aggregate before the shuffle; they are
+    written once, as a key may be a hash of a long text. The wide rows meet just the list
+    of surplus ids, which is broadcast when copies are few.
     """
-    narrow = rows.select(key, row_id)
+    spark, path = rows.sparkSession, new_table_path(rows.sparkSession, "keys")
+    rows.select(key, row_id).write.parquet(path)
+    narrow = spark.read.parquet(path)
     repeated = (narrow.groupBy(key)
                 .agg(F.min(row_id).alias("kept_id"), F.count("*").alias("copies"))
                 .filter("copies > 1"))

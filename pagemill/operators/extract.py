@@ -42,14 +42,14 @@ def _without_lone_surrogates(value):
     return value
 
 
-def read_pages_html(pages: DataFrame, elements: bool = False) -> DataFrame:
+def read_pages_html(pages: DataFrame, links: bool = True, elements: bool = False) -> DataFrame:
     """Replace ``html`` by what a page reader finds in it; other columns pass through.
 
     A page that cannot be read gets its message in ``error`` and the job goes on.
     """
     ship_package(pages.sparkSession)
     keep = [f for f in pages.schema.fields if f.name != "html"]
-    fields = _READ.fields + ([T.StructField("elements", _ELEMENTS)] if elements else [])
+    fields = [f for f in _READ.fields if links or f.name != "hrefs"] + ([T.StructField("elements", _ELEMENTS)] if elements else [])
     names = [f.name for f in fields]
 
     def read_one(html):
@@ -71,10 +71,13 @@ def read_pages_html(pages: DataFrame, elements: bool = False) -> DataFrame:
     return pages.mapInArrow(read_batches, T.StructType(keep + fields))
 
 
-def extract(pages: DataFrame, elements: bool = False) -> DataFrame:
-    """``html`` to title, body_text, paragraph_count, has_code_blocks, link text and ratio, hrefs."""
+def extract(pages: DataFrame, links: bool = True, elements: bool = False) -> DataFrame:
+    """``html`` to title, body_text, paragraph_count, has_code_blocks, link text and ratio, hrefs.
+
+    Links and elements leave the Python workers only when asked for.
+    """
     body = F.col("body_text")
-    return (read_pages_html(pages, elements)
+    return (read_pages_html(pages, links, elements)
             .withColumns({
                 "paragraph_count": tx.paragraph_count(body),
                 "has_code_blocks": F.col("has_code_tag") | tx.has_code_fence(body),

@@ -22,10 +22,14 @@ def most_common(docs: DataFrame, value: Column, order: str, name: str) -> DataFr
 
 
 def distribution(docs: DataFrame, column: str, order: str = "doc_ord") -> DataFrame:
-    """(column, n, pct, first_seen) in :func:`most_common` order; missing counts as unknown."""
+    """(column, n, pct, first_seen) in :func:`most_common` order; missing counts as unknown.
+
+    For columns with few values, such as languages and types.
+    """
     counts = most_common(docs, F.coalesce(column, F.lit("unknown")), order, column)
-    # The total is a scalar subquery over the counts, which are computed once and reused.
-    total = counts.groupBy().agg(F.sum("n")).scalar()
+    # One row per distinct value is left, so the total over them is cheap and the documents,
+    # which may still have to be extracted, are read once.
+    total = F.sum("n").over(Window.partitionBy())
     return (counts.select(column, "n", percent(F.col("n"), total).alias("pct"), "first_seen")
             .orderBy(F.desc("n"), "first_seen"))
 

@@ -56,7 +56,7 @@ _COLLECTION = f"""base AS (
   FROM documents),
 counted AS (
   SELECT *, ({_words('body_text')})::BIGINT AS word_count, length(body_text) AS char_count,
-    CASE WHEN body_text = '' THEN 0 ELSE 1 END AS paragraph_count,
+    (CASE WHEN body_text = '' THEN 0 ELSE 1 END)::BIGINT AS paragraph_count,
     CASE WHEN length(body_text) < 50 THEN 'unknown' ELSE lang END AS language,
     {_content_type('link_density')} AS content_type
   FROM base),
@@ -186,7 +186,7 @@ SELECT url, title, body_text, {_FIRST_FETCH} + page_id AS fetched_at,
   length(body_text) AS char_count, language,
   {_py_round(f"({_words('body_text')})", '200', 2)} AS estimated_read_time_minutes,
   contains(body_text, '```') AS has_code_blocks, 0.0::DOUBLE AS link_density,
-  CASE WHEN body_text = '' THEN 0 ELSE 1 END AS paragraph_count, 200 AS http_status, 0 AS crawl_depth
+  (CASE WHEN body_text = '' THEN 0 ELSE 1 END)::BIGINT AS paragraph_count, 200 AS http_status, 0 AS crawl_depth
 FROM extracted JOIN detected USING (page_id) WHERE length(body_text) >= 100"""
 
 
@@ -199,7 +199,7 @@ starts AS (SELECT *, CASE WHEN len(w) <= {size} THEN [0] ELSE range(0, len(w), {
 placed AS (SELECT *, unnest(range(len(first_word))) AS chunk_id, len(first_word) AS total_chunks FROM starts)""",
                  f"""SELECT CASE WHEN len(w) <= {size} THEN body_text ELSE
     array_to_string(w[chunk_id * {step} + 1 : chunk_id * {step} + {size}], ' ') END AS text,
-  url AS source_url, chunk_id, total_chunks FROM placed""")
+  url AS source_url, chunk_id::INTEGER AS chunk_id, total_chunks::INTEGER AS total_chunks FROM placed""")
 
 
 def _export(table: str, ctes: str) -> str:
@@ -319,12 +319,12 @@ WHERE language = 'en' AND content_type = 'doc_page' AND has_code_blocks"""),
     "boilerplate_elements": """SELECT page_id, tag, count(*) AS n FROM
   (SELECT page_id, unnest(regexp_extract_all(html, '<(nav|footer|aside|script|style)[ >]', 1)) AS tag FROM pages)
 GROUP BY ALL""",
-    "page_body": _from(_PAGES, """SELECT page_id, body_text, CASE WHEN body_text = '' THEN 0 ELSE 1 END AS paragraph_count
+    "page_body": _from(_PAGES, """SELECT page_id, body_text, (CASE WHEN body_text = '' THEN 0 ELSE 1 END)::BIGINT AS paragraph_count
 FROM extracted"""),
     "page_signals": _from(_PAGES, """SELECT page_id, contains(body_text, '```') AS has_code_blocks,
-  0 AS link_text_len, 0.0::DOUBLE AS link_ratio, len(hrefs) AS n_links, false AS failed FROM extracted"""),
+  0::BIGINT AS link_text_len, 0.0::DOUBLE AS link_ratio, len(hrefs)::INTEGER AS n_links, false AS failed FROM extracted"""),
     "clean_text": f"SELECT doc_id, {_clean('text')} AS body_text FROM documents",
-    "paragraph_counts": f"""SELECT doc_id, CASE WHEN {_clean('text')} = '' THEN 0 ELSE 1 END AS paragraph_count,
+    "paragraph_counts": f"""SELECT doc_id, (CASE WHEN {_clean('text')} = '' THEN 0 ELSE 1 END)::BIGINT AS paragraph_count,
   len(list_filter(string_split(text, chr(10) || chr(10)), lambda p: {_clean('p')} <> '')) AS raw_paragraph_count
 FROM documents""",
     "code_fence_flag": "SELECT doc_id, contains(text, '```') AS has_code_blocks FROM documents",
@@ -355,7 +355,7 @@ FROM (SELECT page_id, url, {_normalized('url')} AS u FROM pages)""",
 WHERE word_count BETWEEN 100 AND 2000 AND link_density <= 0.4 AND language <> 'unknown'"""),
     "chunks": _chunks(512, 50),
     "chunks_200_50": _chunks(200, 50),
-    "filter_min_content": _from(_PAGES, "SELECT page_id, length(body_text) AS chars FROM extracted WHERE length(body_text) >= 100"),
+    "filter_min_content": _from(_PAGES, "SELECT page_id, length(body_text)::INTEGER AS chars FROM extracted WHERE length(body_text) >= 100"),
     "filter_http_status": _from(_COLLECTION, "SELECT url, http_status FROM collection WHERE http_status < 400"),
     "filter_clean": _from(_COLLECTION, f"SELECT url, word_count, link_density FROM collection WHERE {_CLEAN}"),
     "filter_clean_with_gaps": _from(_GAPS, f"SELECT url, word_count, link_density FROM gaps WHERE {_CLEAN}"),
@@ -375,7 +375,7 @@ WHERE dst_url NOT IN (SELECT {_normalized('url')} FROM pages)"""),
     "url_dedup": f"""SELECT {_normalized('url')} AS url_norm, min(page_id) AS first_seen, count(*) AS copies
 FROM pages GROUP BY 1""",
     "keep_first_page": f"""SELECT page_id, url_norm, html_chars FROM
-  (SELECT page_id, {_normalized('url')} AS url_norm, length(html) AS html_chars,
+  (SELECT page_id, {_normalized('url')} AS url_norm, length(html)::INTEGER AS html_chars,
      row_number() OVER (PARTITION BY {_normalized('url')} ORDER BY page_id) AS rn FROM pages) WHERE rn = 1""",
     "keep_first_body": _from(_COLLECTION, """SELECT doc_ord, url, body_hash FROM
   (SELECT doc_ord, url, md5(body_text) AS body_hash,

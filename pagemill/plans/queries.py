@@ -108,19 +108,19 @@ def route_by_metadata(spark, sf):
 
 @query
 def page_title(spark, sf):
-    return extract(inputs.pages(spark, sf)).select("page_id", "title")
+    return extract(inputs.pages(spark, sf), links=False).select("page_id", "title")
 
 
 @query
 def boilerplate_elements(spark, sf):
-    found = extract(inputs.pages(spark, sf), elements=True).select("page_id", F.inline("elements"))
+    found = extract(inputs.pages(spark, sf), links=False, elements=True).select("page_id", F.inline("elements"))
     return (found.filter(is_boilerplate(F.col("tag"), F.col("css_class"), F.col("element_id")))
             .groupBy("page_id", "tag").agg(F.count("*").alias("n")))
 
 
 @query
 def page_body(spark, sf):
-    return extract(inputs.pages(spark, sf)).select("page_id", "body_text", "paragraph_count")
+    return extract(inputs.pages(spark, sf), links=False).select("page_id", "body_text", "paragraph_count")
 
 
 @query
@@ -197,7 +197,7 @@ def language_by_join(spark, sf):
 
 @query
 def language_of_pages(spark, sf):
-    bodies = extract(inputs.pages(spark, sf)).select("page_id", "body_text")
+    bodies = extract(inputs.pages(spark, sf), links=False).select("page_id", "body_text")
     return language.with_language(bodies, _profile(spark, sf)).select("page_id", "language")
 
 
@@ -215,7 +215,7 @@ def content_types(spark, sf):
 @query
 def page_documents(spark, sf):
     """Every page as a full document row."""
-    extracted = with_content(extract(inputs.pages(spark, sf)))
+    extracted = with_content(extract(inputs.pages(spark, sf), links=False))
     return _flat(as_documents(enrich(extracted, _profile(spark, sf), _page_time())))
 
 
@@ -265,7 +265,7 @@ def chunks_200_50(spark, sf):
 
 @query
 def filter_min_content(spark, sf):
-    return with_content(extract(inputs.pages(spark, sf))).select("page_id", F.length("body_text").alias("chars"))
+    return with_content(extract(inputs.pages(spark, sf), links=False)).select("page_id", F.length("body_text").alias("chars"))
 
 
 @query
@@ -464,7 +464,7 @@ def crawl_summary(spark, sf):
 
 @query
 def page_outcomes(spark, sf):
-    extracted = extract(_pages_with_status(spark, sf))
+    extracted = extract(_pages_with_status(spark, sf), links=False)
     outcome = page_outcome(F.col("http_status"), F.col("body_text"), F.col("error"))
     return extracted.groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n"))
 

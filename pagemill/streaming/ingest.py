@@ -28,7 +28,7 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_
 
 def stream_documents(pages: DataFrame, profile: DataFrame | None, fetched_at=None) -> DataFrame:
     """Page stream to document rows: the batch operators, all row-local."""
-    return enrich(with_content(extract(pages)), profile, fetched_at)
+    return enrich(with_content(extract(pages, links=False)), profile, fetched_at)
 
 
 def stream_first_urls(rows: DataFrame, key: str, event_time: str | None = None,
