@@ -47,7 +47,7 @@ def site_graph(outcomes: DataFrame, links: DataFrame) -> Site:
     Every round reads them, so both are written once to the shared folder.
     """
     spark, path = links.sparkSession, new_table_path(links.sparkSession, "site")
-    edges = links.select("src_url", F.floor(F.col("pos") / LINKS_PER_BLOCK).cast("long").alias("block"),
+    edges = links.select("src_url", F.call_function("div", F.col("pos"), F.lit(LINKS_PER_BLOCK)).alias("block"),
                          F.col("pos").cast("long").alias("pos"), "dst_url")
     edges.write.parquet(f"{path}/edges")
     edges = spark.read.schema(edges.schema).parquet(f"{path}/edges")
@@ -58,11 +58,12 @@ def site_graph(outcomes: DataFrame, links: DataFrame) -> Site:
     return Site(spark.read.schema(pages.schema).parquet(f"{path}/pages"), edges)
 
 
-def _write_level(level: DataFrame, path: str) -> DataFrame:
-    """Write in visiting order; ``rank`` grows with (parent_rank, pos) over the whole level."""
-    (level.repartitionByRange("parent_rank", "pos")
-     .sortWithinPartitions("parent_rank", "pos")
-     .select("url", "outcome", "link_blocks", F.monotonically_increasing_id().alias("rank"))
+def _write_level(level: DataFrame, path: str, ordered: bool) -> DataFrame:
+    """Write a level; in visiting order, ``rank`` grows with (parent_rank, pos) over all of it."""
+    if ordered:
+        level = (level.repartitionByRange("parent_rank", "pos")
+                 .sortWithinPartitions("parent_rank", "pos"))
+    (level.select("url", "outcome", "link_blocks", F.monotonically_increasing_id().alias("rank"))
      .write.parquet(path))
     return level.sparkSession.read.schema(T.StructType(LEVEL.fields[:-1])).parquet(path)
 
@@ -105,18 +106,21 @@ def crawl(site: Site, start_url: str, max_pages: int | None = 100, max_depth: in
     that level were never fetched and do not appear. ``None`` lifts either limit. ``rank``
     gives the visiting order within a depth.
     """
+    return _visit(site, start_url, max_pages, max_depth, ordered=True)
+
+
+def _visit(site: Site, start_url: str, max_pages: int | None, max_depth: int | None, ordered: bool) -> DataFrame:
     spark = site.pages.sparkSession
-    none = spark.createDataFrame([], LEVEL).drop("link_blocks")
     if max_pages is not None and max_pages <= 0:
-        return none
+        return spark.createDataFrame([], LEVEL).drop("link_blocks")
     work = new_table_path(spark, "crawl")
-    frontier = spark.range(1).select(F.lit(start_url).alias("url"), F.lit(0).cast("long").alias("parent_rank"),
-                                     F.lit(0).cast("long").alias("pos"))
+    zero = F.lit(0).cast("long")
+    frontier = spark.range(1).select(F.lit(start_url).alias("url"), zero.alias("parent_rank"), zero.alias("pos"))
     left, depth, cut = max_pages, 0, None
     while True:
         found = frontier.join(site.pages, "url", "left").withColumn(
             "outcome", F.coalesce("outcome", F.lit("error")))
-        level = _write_level(found, f"{work}/depth={depth}")
+        level = _write_level(found, f"{work}/depth={depth}", ordered)
         parts = _accepted_per_part(level)
         accepted = sum(row["accepted"] for row in parts)
         if left is not None and accepted >= left:
@@ -147,8 +151,8 @@ def visit_order(visited: DataFrame) -> DataFrame:
 
 
 def reachable(site: Site, start_url: str, max_depth: int | None = None) -> DataFrame:
-    """(url, depth): smallest number of links from the start."""
-    return crawl(site, start_url, max_pages=None, max_depth=max_depth).select("url", "depth")
+    """(url, depth): smallest number of links from the start. No visiting order, so no sorting."""
+    return _visit(site, start_url, None, max_depth, ordered=False).select("url", "depth")
 
 
 def snapshot_site(pages: DataFrame, start_url: str, page_id: str = "page_id") -> tuple[Site, DataFrame]:
