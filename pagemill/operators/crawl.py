@@ -71,9 +71,9 @@ def _write_level(level: DataFrame, path: str, ordered: bool) -> DataFrame:
 def _accepted_per_part(level: DataFrame) -> list:
     """(part, rows, accepted) for each sorted partition: as many rows as partitions."""
     part = F.shiftright("rank", _ROWS_PER_PARTITION_BITS).alias("part")
-    return (level.groupBy(part)
-            .agg(F.count("*").alias("rows"), F.count_if(F.col("outcome") == "crawled").alias("accepted"))
-            .orderBy("part").collect())
+    counts = level.groupBy(part).agg(
+        F.count("*").alias("rows"), F.count_if(F.col("outcome") == "crawled").alias("accepted"))
+    return sorted(counts.collect(), key=lambda row: row["part"])
 
 
 def _rank_of_nth_accepted(level: DataFrame, parts: list, n: int) -> int:

@@ -36,12 +36,6 @@ _ARROW = {
 }
 
 
-def _without_lone_surrogates(value):
-    if isinstance(value, str):
-        return value.encode("utf-8", "replace").decode("utf-8")
-    return value
-
-
 def read_pages_html(pages: DataFrame, links: bool = True, elements: bool = False) -> DataFrame:
     """Replace ``html`` by what a page reader finds in it; other columns pass through.
 
@@ -54,10 +48,7 @@ def read_pages_html(pages: DataFrame, links: bool = True, elements: bool = False
 
     def read_one(html):
         try:
-            found = {**read_page(html), "error": None}
-            for name in ("title", "body_text"):
-                found[name] = _without_lone_surrogates(found[name])
-            return found
+            return read_page(html)
         except Exception as problem:
             return {"error": f"{type(problem).__name__}: {problem}"}
 

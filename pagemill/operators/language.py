@@ -23,7 +23,8 @@ MIN_CHARS = 50
 SMOOTHING = 5e-5
 WEIGHT_SCALE = 1_000_000
 TRIGRAMS_PER_LANGUAGE = 20_000
-MAX_PROFILE_ROWS = 2_000_000
+MAX_PROFILE_ROWS = 1_000_000
+MAX_PROFILE_CELLS = 50_000_000
 PROFILE = "language string, trigram string, weight long"
 
 _SEPARATOR = r"[\x{10000}-\x{10FFFF}[^\p{L}\p{M}]]"
@@ -123,11 +124,13 @@ def detect_by_join(docs: DataFrame, key: str, text: str, profile: DataFrame) ->
 def _profile_arrays(profile: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
     rows = profile.limit(MAX_PROFILE_ROWS + 1).toPandas()
     if len(rows) > MAX_PROFILE_ROWS:
-        raise ValueError(f"a language profile may hold {MAX_PROFILE_ROWS} rows at most")
+        raise ValueError(f"profile over {MAX_PROFILE_ROWS} rows: use detect_by_join")
     names = sorted(rows["language"].unique())
     codes = _codes("".join(rows["trigram"]))[::3] if len(rows) else np.empty(0, np.int64)
     keys, place = np.unique(codes, return_inverse=True)
-    weights = np.zeros((len(keys), len(names)), np.int64)
+    if len(keys) * len(names) > MAX_PROFILE_CELLS:
+        raise ValueError(f"profile over {MAX_PROFILE_CELLS} cells: use detect_by_join")
+    weights = np.zeros((len(keys), len(names)), np.int32)
     weights[place, np.searchsorted(names, rows["language"])] = rows["weight"]
     return names, keys, weights
 
@@ -135,8 +138,9 @@ def _profile_arrays(profile: DataFrame) -> tuple[list[str], np.ndarray, np.ndarr
 def with_language(docs: DataFrame, profile: DataFrame, text: str = "body_text") -> DataFrame:
     """Add ``language`` to wide rows in place, so that their texts are never shuffled.
 
-    The profile, bounded by ``MAX_PROFILE_ROWS``, travels to the tasks; the same sums
-    as in :func:`language_scores` are then taken per text.
+    The profile travels to the tasks as one weight per trigram and language, at most
+    ``MAX_PROFILE_CELLS`` of them (200 MB); the same sums as in :func:`language_scores`
+    are then taken per text. A larger profile goes through :func:`detect_by_join`.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -152,7 +156,7 @@ def with_language(docs: DataFrame, profile: DataFrame, text: str = "body_text")
             codes = _codes(line)
             found = np.minimum(np.searchsorted(keys, codes), len(keys) - 1)
             known, n = np.unique(found[keys[found] == codes], return_counts=True)
-            return names[int((n @ weights[known]).argmax())] if len(known) else UNKNOWN
+            return names[int((n @ weights[known].astype(np.int64)).argmax())] if len(known) else UNKNOWN
 
         for batch in batches:
             yield batch.map(best, na_action=None)

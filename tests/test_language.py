@@ -40,3 +40,13 @@ def test_detection_keeps_texts_out_of_shuffles(spark, profile):
     docs = spark.range(3).select(F.col("id"), F.lit(EN).alias("body_text"))
     plan = L.with_language(docs, profile)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_oversized_profile_is_refused(spark, profile, monkeypatch):
+    docs = spark.range(1).select(F.lit(EN).alias("body_text"))
+    monkeypatch.setattr(L, "MAX_PROFILE_CELLS", 10)
+    with pytest.raises(ValueError):
+        L.with_language(docs, profile)
+    monkeypatch.setattr(L, "MAX_PROFILE_ROWS", 10)
+    with pytest.raises(ValueError):
+        L.with_language(docs, profile)
