@@ -25,6 +25,8 @@ from pagemill.session import new_table_path
 
 LINKS_PER_BLOCK = 65_536
 _ROWS_PER_PARTITION_BITS = 33
+_POSITIONS = 1 << 40
+_OTHER_FORMS = 1 << 62
 
 LEVEL = T.StructType([
     T.StructField("url", T.StringType()),
@@ -59,10 +61,9 @@ def site_graph(outcomes: DataFrame, links: DataFrame) -> Site:
 
 
 def _write_level(level: DataFrame, path: str, ordered: bool) -> DataFrame:
-    """Write a level; in visiting order, ``rank`` grows with (parent_rank, pos) over all of it."""
+    """Write a level; in visiting order, ``rank`` grows with ``place`` over all of it."""
     if ordered:
-        level = (level.repartitionByRange("parent_rank", "pos")
-                 .sortWithinPartitions("parent_rank", "pos"))
+        level = level.repartitionByRange("place").sortWithinPartitions("place")
     (level.select("url", "outcome", "link_blocks", F.monotonically_increasing_id().alias("rank"))
      .write.parquet(path))
     return level.sparkSession.read.schema(T.StructType(LEVEL.fields[:-1])).parquet(path)
@@ -88,13 +89,20 @@ def _rank_of_nth_accepted(level: DataFrame, parts: list, n: int) -> int:
     raise ValueError("fewer accepted pages than asked for")
 
 
+def _place(rank: Column, pos: Column) -> Column:
+    """(rank of the linking page, position of the link) as one number of up to 35 digits.
+
+    Unlike a struct, a decimal keeps the minimum per URL a hash aggregate.
+    """
+    return rank.cast("decimal(20,0)") * F.lit(_POSITIONS).cast("decimal(13,0)") + pos.cast("decimal(20,0)")
+
+
 def _next_frontier(site: Site, level: DataFrame, visited: DataFrame) -> DataFrame:
     sources = (level.filter(F.col("outcome") == "crawled")
                .select(F.col("url").alias("src_url"), "rank", F.explode("link_blocks").alias("block")))
     return (site.edges.join(sources, ["src_url", "block"])
             .groupBy(F.col("dst_url").alias("url"))
-            .agg(F.min(F.struct(F.col("rank").alias("parent_rank"), "pos")).alias("first"))
-            .select("url", "first.parent_rank", "first.pos")
+            .agg(F.min(_place(F.col("rank"), F.col("pos"))).alias("place"))
             .join(visited.select("url"), "url", "left_anti"))
 
 
@@ -114,8 +122,7 @@ def _visit(site: Site, start_url: str, max_pages: int | None, max_depth: int | N
     if max_pages is not None and max_pages <= 0:
         return spark.createDataFrame([], LEVEL).drop("link_blocks")
     work = new_table_path(spark, "crawl")
-    zero = F.lit(0).cast("long")
-    frontier = spark.range(1).select(F.lit(start_url).alias("url"), zero.alias("parent_rank"), zero.alias("pos"))
+    frontier = spark.range(1).select(F.lit(start_url).alias("url"), F.lit(0).alias("place"))
     left, depth, cut = max_pages, 0, None
     while True:
         found = frontier.join(site.pages, "url", "left").withColumn(
@@ -158,14 +165,14 @@ def reachable(site: Site, start_url: str, max_depth: int | None = None) -> DataF
 def snapshot_site(pages: DataFrame, start_url: str, page_id: str = "page_id") -> tuple[Site, DataFrame]:
     """Site tables of a snapshot (page_id, url, html[, http_status]) and its extracted pages.
 
-    Pages are keyed by normalised URL, first copy kept; only the start page keeps its raw
-    key. Every page is read once and the extraction is written for the rounds that follow.
+    Pages are keyed by normalised URL, first copy kept (the start URL's own page before
+    other forms of it); only the start page keeps its raw key. Every page is read once and the extraction is written for the rounds that follow.
     """
     spark = pages.sparkSession
     status = F.coalesce("http_status", F.lit(200)) if "http_status" in pages.columns else F.lit(200)
     start, start_form = F.lit(start_url), normalize_url(F.lit(start_url))
     raw = pages.select("url", "html", status.cast("int").alias("http_status"),
-                       F.struct((F.col("url") != start).alias("other_form"), F.col(page_id).alias("id")).alias("seq"))
+                       (F.col(page_id) + F.when(F.col("url") == start, 0).otherwise(_OTHER_FORMS)).alias("seq"))
     keyed = raw.withColumn("url", normalize_url(F.col("url")))
     # The start is fetched under its raw key and, when linked, again under its normal form.
     raw_start = keyed.filter((F.col("url") == start_form) & (start != start_form)).withColumn("url", start)

@@ -32,7 +32,12 @@ def distinct_urls(rows: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def duplicate_bodies(docs: DataFrame, order: str = "doc_ord") -> DataFrame:
-    """(body_hash, copies, first_url) of every body that occurs more than once."""
-    return (docs.groupBy(F.md5(F.col("body_text").cast("binary")).alias("body_hash"))
-            .agg(F.count("*").alias("copies"), F.min_by("url", order).alias("first_url"))
-            .filter("copies > 1"))
+    """(body_hash, copies, first_url) of every body that occurs more than once.
+
+    Counting needs only hashes and numbers; the URL of each first copy is looked up after.
+    """
+    groups = (docs.groupBy(F.md5(F.col("body_text").cast("binary")).alias("body_hash"))
+              .agg(F.count("*").alias("copies"), F.min(order).alias("first_seen"))
+              .filter("copies > 1"))
+    firsts = docs.select(F.col(order).alias("first_seen"), F.col("url").alias("first_url"))
+    return groups.join(firsts, "first_seen").select("body_hash", "copies", "first_url")
