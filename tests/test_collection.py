@@ -5,6 +5,7 @@ from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagemill.operators import conformance, dedup, filters, prepare, profile
 from pagemill.schema import DOCUMENT
@@ -199,3 +200,16 @@ def test_conformance(frame):
     assert summary == Counter(v for vs in got.values() for v in vs)
     missing = conformance.with_violations(frame(rows).drop("title")).first()
     assert "required:title" in missing.violations
+
+
+def test_wrong_types_are_reported(spark, tmp_path):
+    good = {"url": "https://e.com/1", "title": "t", "body_text": "b", "fetched_at": "2025-01-01T00:00:00+00:00",
+            "content_type": "article", "word_count": 1, "char_count": 1, "language": "en",
+            "estimated_read_time_minutes": 0.01, "has_code_blocks": False, "link_density": 0.0, "paragraph_count": 1,
+            "http_status": 200, "crawl_depth": 0}
+    path = tmp_path / "rows.jsonl"
+    path.write_text(json.dumps(good) + "\n" + json.dumps({**good, "word_count": "many"}) + "\n")
+    schema = T.StructType([*DOCUMENT.fields, T.StructField("_corrupt_record", T.StringType())])
+    rows = readers.load_collection(spark, str(path), schema, mode="PERMISSIVE").cache()
+    got = [r.violations for r in conformance.with_violations(rows).orderBy(F.col("_corrupt_record").isNotNull()).collect()]
+    assert got[0] == [] and "type" in got[1]
