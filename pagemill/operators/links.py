@@ -18,6 +18,7 @@ def extract_links(extracted: DataFrame, allowed_host: Column | str | None = None
     host = url_host(F.col(base)) if allowed_host is None else allowed_host
     if isinstance(host, str):
         host = F.lit(host)
+
     def once(value: Column) -> Column:
         # Exploding a one-element array computes a value once per link; as a plain column
         # it would be merged into every later step that reads it.
