@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import dart_minhash, decontaminate, pivotal_mix, site_lines, toxicity
+from pagemill.llm import byte_language, dart_minhash, decontaminate, pivotal_mix, site_lines, suffix_dedup, toxicity
 from pagemill.sources.readers import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,17 @@ def op2_toxicity_chain(spark, sf):
     return scored.filter(toxic).select("doc_id", *[f"p_{c}" for c in chain.categories], F.lit(True).alias("toxic"))
 
 
+@query
+def op3_byte_language(spark, sf):
+    """The language of every document, by a network that saw two thirds of them at most."""
+    docs = read_table(spark, sf, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    net = byte_language.fit(docs.filter(fold != 1))
+    held_out = F.coalesce(fold == 1, F.lit(False))
+    return byte_language.with_language(docs.select("doc_id", held_out.alias("held_out"), "text"), net).select(
+        "doc_id", "held_out", "lang_pred", "score")
+
+
 @query
 def op4_site_lines(spark, sf):
     """The text lines of every page without the boilerplate of its host."""
@@ -79,6 +90,15 @@ def op5_dart_minhash(spark, sf):
     return found.withColumn("kept", F.col("doc_id") == F.col("class_id"))
 
 
+@query
+def op9_suffix_dedup(spark, sf):
+    """What is left of every document without the strings that stand earlier in the corpus."""
+    found = suffix_dedup.without_repeats(read_table(spark, sf, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op10_pivotal_mix(spark, sf):
     """How many words the mix takes of every document."""
