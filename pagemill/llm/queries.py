@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import byte_language, dart_minhash, decontaminate, pivotal_mix, site_lines, suffix_dedup, toxicity
+from pagemill.llm import (
+    byte_language,
+    dart_minhash,
+    decontaminate,
+    embedding_tiles,
+    pivotal_mix,
+    secret_ownership,
+    site_lines,
+    suffix_dedup,
+    toxicity,
+)
 from pagemill.sources.readers import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,6 +100,46 @@ def op5_dart_minhash(spark, sf):
     return found.withColumn("kept", F.col("doc_id") == F.col("class_id"))
 
 
+@query
+def op6_secret_ownership(spark, sf):
+    """The secrets of every document, and how many of them look live or are widely copied."""
+    found = secret_ownership.scan(read_table(spark, sf, "documents"))
+
+    def number(kind: str):
+        place = [k[0] for k in secret_ownership.KINDS].index(kind)
+        return F.size(F.filter("spans", lambda s: s["kind"] == place)).cast("long").alias(f"n_{kind}")
+
+    def judged(verdict: str):
+        return F.size(F.filter("spans", lambda s: s["verdict"] == verdict)).cast("long").alias(f"n_{verdict}")
+
+    listed = secret_ownership.span_list
+    return found.select("doc_id", *map(number, secret_ownership.BASE),
+                        F.sha2(listed(F.col("spans"), secret_ownership.BASE), 256).alias("base_sha256"),
+                        listed(F.col("spans")).alias("spans"), judged("live"), judged("copied"))
+
+
+@query
+def op7_embedding_tiles(spark, sf):
+    """The links and the component of every embedding."""
+    return embedding_tiles.near_duplicates(read_table(spark, sf, "embeddings"))
+
+
+ORACLE["op7_embedding_tiles"] = f"""
+WITH RECURSIVE usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+    AND len(list_filter(embedding, lambda v: v <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+    ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= {embedding_tiles.THRESHOLD}),
+reach AS (
+  SELECT vec_id AS node, vec_id AS root FROM embeddings
+  UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.node WHERE r.root < l.b)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links, m.root AS component_id, m.root = e.vec_id AS kept
+FROM embeddings e JOIN (SELECT node, min(root) AS root FROM reach GROUP BY node) m ON m.node = e.vec_id
+"""
+
+
 @query
 def op9_suffix_dedup(spark, sf):
     """What is left of every document without the strings that stand earlier in the corpus."""
