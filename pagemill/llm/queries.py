@@ -12,6 +12,7 @@ from pagemill.llm import (
     dart_minhash,
     decontaminate,
     embedding_tiles,
+    licence_paragraphs,
     pivotal_mix,
     secret_ownership,
     site_lines,
@@ -140,6 +141,13 @@ FROM embeddings e JOIN (SELECT node, min(root) AS root FROM reach GROUP BY node)
 """
 
 
+@query
+def op8_licence_paragraphs(spark, sf):
+    """The paragraphs of all documents that state a licence, with its family, where the wording confirms it."""
+    docs = read_table(spark, sf, "documents")
+    return licence_paragraphs.scan(docs, licence_paragraphs.train(docs)).filter("confirmed")
+
+
 @query
 def op9_suffix_dedup(spark, sf):
     """What is left of every document without the strings that stand earlier in the corpus."""
