@@ -24,7 +24,7 @@ from pagemill.session import ship_package
 FEATURE_BITS = 18
 BEGINNINGS = (4, 5, 6)    # bytes of a word's beginning that are features of their own
 FEATURES = 1024           # of them, those that tell most about the label get a weight
-TRAINING_ROWS = 8_000     # labelled rows that a model is fitted on, at most, chosen by hash
+TRAINING_ROWS = 5_000     # labelled rows that a model is fitted on, at most, chosen by hash
 FOLDS = 3
 PRECISION = 0.998         # of out-of-fold decisions at the chosen threshold
 _SEED = 17
@@ -115,12 +115,12 @@ def fit_chain(texts: Sequence[str], labels: dict[str, Sequence[int | None]]) ->
     rows, cols = [], []
     for first, upto, data, offsets in slices(pa.array(texts, pa.string()), lower=True):
         text, feature = features(Words(data, offsets), upto - first)
-        rows.append(text + first)
-        cols.append(feature)
-    row = np.concatenate(rows or [np.zeros(0, np.int64)])
-    col = np.concatenate(cols or [np.zeros(0, np.int64)])
+        rows.append((text + first).astype(np.int32))
+        cols.append(feature.astype(np.int32))
+    row = np.concatenate(rows or [np.zeros(0, np.int32)])
+    col = np.concatenate(cols or [np.zeros(0, np.int32)])
+    del rows, cols
     n, names = len(texts), list(labels)
-    used, col = np.unique(col, return_inverse=True)       # fit on the features that occur
     fold = np.random.default_rng(_SEED).permutation(n) % FOLDS
     weights, links, bias, thresholds = np.zeros((len(names), width), np.float32), [], [], []
     earlier = np.zeros((n, 0))
@@ -129,9 +129,9 @@ def fit_chain(texts: Sequence[str], labels: dict[str, Sequence[int | None]]) ->
         known = ~np.isnan(y)
 
         def fit(take: np.ndarray):
-            place = np.cumsum(take) - 1
+            place = (np.cumsum(take) - 1).astype(np.int32)
             mine = take[row]
-            return _fit(place[row[mine]], col[mine], y[take], earlier[take], len(used))
+            return _fit(place[row[mine]], col[mine], y[take], earlier[take], width)
 
         def scores(model) -> np.ndarray:
             w, v, b = model
@@ -141,7 +141,7 @@ def fit_chain(texts: Sequence[str], labels: dict[str, Sequence[int | None]]) ->
         for k in range(FOLDS):
             out_of_fold[fold == k] = _sigmoid(scores(fit(known & (fold != k))))[fold == k]
         w, v, b = fit(known)
-        weights[c, used] = w
+        weights[c] = w
         links.append(v)
         bias.append(b)
         thresholds.append(_threshold(out_of_fold[known], y[known]))
