@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 # Bytes of text handled at once; a longer text is a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 # Multipliers of the 64-bit hashes (odd, arbitrary).
 STEP = 0x9E3779B97F4A7C15
 STEP_INVERSE = pow(STEP, -1, 1 << 64)
@@ -46,7 +46,7 @@ def powers(n: int, inverse: bool = False) -> np.ndarray:
         held = np.full(max(n, SLICE_BYTES + 1), STEP_INVERSE if inverse else STEP, np.uint64)
         held[0] = 1
         np.multiply.accumulate(held, out=held)
-        if n <= 8 * SLICE_BYTES:
+        if n <= 2 * SLICE_BYTES:
             _POWERS[key] = held
     return held[:n]
 
@@ -80,14 +80,14 @@ def slices(texts: pa.Array, lower: bool, limit: int = SLICE_BYTES) -> Iterator[t
     """(first row, row after the last, bytes, offsets): whole texts, about ``limit`` bytes at once."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    if lower:
-        texts = pc.utf8_lower(texts)
-    data, offsets = flat(texts)
-    row = 0
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    row, begun = 0, 0
     while row < len(texts):
-        upto = max(row + 1, int(np.searchsorted(offsets, offsets[row] + limit, side="right")) - 1)
-        yield row, upto, data[offsets[row]:offsets[upto]], offsets[row:upto + 1] - offsets[row]
-        row = upto
+        upto = max(row + 1, int(np.searchsorted(ends, begun + limit, side="right")))
+        part = texts.slice(row, upto - row)
+        yield row, upto, *flat(pc.utf8_lower(part) if lower else part)
+        row, begun = upto, int(ends[upto - 1])
 
 
 class Words:
@@ -135,5 +135,9 @@ def occurrences(hashes: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.nd
     return text[first], hashes[first], np.diff(np.append(first, len(text)))
 
 
-def with_columns(batch: pa.RecordBatch, added: Iterable[pa.Array], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([*batch.columns, *added], schema=schema)
+def lean(scan):
+    """A function of Arrow batches that gives memory back when a task is done; workers live on."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from scan(batches)
+        pa.default_memory_pool().release_unused()
+    return run

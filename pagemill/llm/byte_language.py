@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagemill.llm.arrow import slices
+from pagemill.llm.arrow import lean, slices
 from pagemill.llm.tables import without
 from pagemill.session import ship_package
 
@@ -251,6 +251,6 @@ def with_language(docs: DataFrame, net: Network, *, text: str = "text", into: st
                 names=[*batch.schema.names, into, score])
 
     lettered = F.coalesce(F.col(f"`{text}`").rlike(r"\p{L}"), F.lit(False))
-    return docs.mapInArrow(scan, schema).withColumns({
+    return docs.mapInArrow(lean(scan), schema).withColumns({
         into: F.when(lettered, F.col(f"`{into}`")).otherwise(F.lit(UNKNOWN)),
         score: F.when(lettered & (F.col(f"`{into}`") != UNKNOWN), F.col(f"`{score}`")).otherwise(F.lit(0.0))})

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagemill.llm.arrow import Words, mix, occurrences, slices, uniform, windows
+from pagemill.llm.arrow import Words, lean, mix, occurrences, slices, uniform, windows
 from pagemill.llm.tables import connected_components, written
 from pagemill.session import ship_package
 
@@ -132,7 +132,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, text) to (doc, sorted 32-bit hashes of its shingles); the n-th repeat of a shingle is one of its own."""
+    """(doc, text) to (doc, 32-bit hashes of its shingles); the n-th repeat of a shingle is one of its own."""
     for batch in batches:
         for first, upto, data, offsets in slices(batch.column(1), lower=True):
             shingles, text = windows(Words(data, offsets), SHINGLE)
@@ -140,35 +140,24 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             unit = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
             units = mix(np.repeat(shingle, weight) + unit.astype(np.uint64) * np.uint64(0x8EBC6AF09C88C6E3))
             owner = np.repeat(of, weight)
-            short = (units >> np.uint64(32)).astype(np.uint32)
-            order = np.lexsort((short, owner))
-            ends = np.searchsorted(owner[order], np.arange(upto - first + 1))
-            blobs = [short[order[a:b]].tobytes() for a, b in zip(ends[:-1], ends[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(first, upto - first), pa.array(blobs, pa.binary())], names=["doc", "shingles"])
-
-
-def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, shingles of a, shingles of b) to the pairs (a, b) of at least SIMILARITY."""
-    for batch in batches:
-        good = []
-        for x, y in zip(batch.column(2), batch.column(3)):
-            u, v = np.frombuffer(x.as_py(), np.uint32), np.frombuffer(y.as_py(), np.uint32)
-            common = 0
-            if min(len(u), len(v)) >= SIMILARITY * max(len(u), len(v)):
-                both = np.concatenate([u, v])
-                both.sort()
-                common = int(np.count_nonzero(both[1:] == both[:-1]))
-            good.append(common >= SIMILARITY * (len(u) + len(v) - common) - 1e-9)
-        keep = pa.array(good, pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
+            short = (units >> np.uint64(32)).astype(np.int64)
+            pairs = np.sort((owner << 32) | short)
+            pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])] if len(pairs) else pairs
+            ends = np.searchsorted(pairs >> 32, np.arange(upto - first + 1))
+            values = pa.array((pairs & 0xFFFFFFFF).astype(np.uint32).view(np.int32))
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0).slice(first, upto - first),
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)], names=["doc", "shingles"])
 
 
 def _verified(edges: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of at least SIMILARITY, by their whole sets of shingles."""
     left = sets.select(F.col("doc").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("doc").alias("b"), F.col("shingles").alias("sb"))
-    pairs = edges.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
-    return written(pairs.mapInArrow(_similar, "a long, b long"), "links")
+    common = F.size(F.array_intersect("sa", "sb"))
+    small, large = F.least(F.size("sa"), F.size("sb")), F.greatest(F.size("sa"), F.size("sb"))
+    near = (small >= SIMILARITY * large) & (common >= SIMILARITY * (small + large - common) - 1e-9)
+    return written(edges.join(left, "a").join(right, "b").filter(near).select("a", "b"), "links")
 
 
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -187,7 +176,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     spark = docs.sparkSession
     ship_package(spark)
     slim = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text")).filter("doc is not null")
-    signed = written(slim.mapInArrow(_signed, "doc long, content long, bands array<long>"), "signed")
+    signed = written(slim.mapInArrow(lean(_signed), "doc long, content long, bands array<long>"), "signed")
     firsts = signed.groupBy("content").agg(F.min("doc").alias("first"))
     members = written(signed.select("doc", "content").join(firsts, "content").select("doc", "first").distinct(), "members")
     # One text of each content; ids with several texts keep all their bands.
@@ -198,7 +187,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
                       .select("band", "doc", "low"), "buckets")
     stars = written(buckets.filter("doc <> low").select(F.col("doc").alias("a"), F.col("low").alias("b")).distinct(), "stars")
     wanted = stars.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-    sets = written(slim.join(wanted, "doc", "left_semi").mapInArrow(_shingle_sets, "doc long, shingles binary")
+    sets = written(slim.join(wanted, "doc", "left_semi").mapInArrow(lean(_shingle_sets), "doc long, shingles array<int>")
                    .dropDuplicates(["doc"]), "shingles")
 
     tried = written(stars.groupBy("a").agg(F.min("b").alias("b")), "tried")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagemill.llm.arrow import Words, mix, slices
+from pagemill.llm.arrow import lean, mix, slices, Words
 from pagemill.llm.tables import without
 from pagemill.session import ship_package
 
@@ -181,7 +181,7 @@ def _one_part(docs: DataFrame, sent, text: str, into: str) -> DataFrame:
             columns[place] = pa.array(hits, _ARROW_HITS)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    return docs.mapInArrow(scan, docs.schema)
+    return docs.mapInArrow(lean(scan), docs.schema)
 
 
 def contaminated_pairs(docs: DataFrame, bench: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **names) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagemill.llm.arrow import mix, prefix_hash, slices, span_hash
+from pagemill.llm.arrow import lean, mix, prefix_hash, slices, span_hash
 from pagemill.llm.tables import written
 from pagemill.session import ship_package
 
@@ -304,7 +304,7 @@ def repeated_spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     last = (1 << 63) - 1
     slim = docs.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(last)).alias("doc"), F.col(f"`{text}`").alias("text"))
     long_enough = slim.filter(F.octet_length("text") >= length)
-    rows = long_enough.mapInArrow(_cut(length), "key long, print long, doc long, place long")
+    rows = long_enough.mapInArrow(lean(_cut(length)), "key long, print long, doc long, place long")
     by_key = Window.partitionBy("key")
     by_print = Window.partitionBy("key", "print").orderBy("doc", "place")
     first = F.first(F.struct("doc", "place")).over(by_print)
@@ -382,4 +382,4 @@ def without_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.encode(F.col(f"`{text}`"), "utf-8").alias("text"))
     key = F.coalesce("doc_id", F.lit((1 << 63) - 1))
     joined = rows.join(found, key == F.col("doc"), "left").select("doc_id", "text", "spans")
-    return joined.mapInArrow(_removed, f"doc_id long, n_bytes long, spans {_SPAN}, kept binary")
+    return joined.mapInArrow(lean(_removed), f"doc_id long, n_bytes long, spans {_SPAN}, kept binary")

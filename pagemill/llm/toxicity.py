@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagemill.llm.arrow import Words, slices, span_hash
+from pagemill.llm.arrow import lean, slices, span_hash, Words
 from pagemill.llm.tables import without
 from pagemill.session import ship_package
 
@@ -198,7 +198,7 @@ def with_probabilities(docs: DataFrame, chain: Chain, *, text: str = "text", int
             yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, out.T.copy())],
                                              names=[*batch.schema.names, *names])
 
-    return docs.mapInArrow(scan, schema)
+    return docs.mapInArrow(lean(scan), schema)
 
 
 def is_toxic(chain: Chain, category: str = "toxic", into: str = "p_"):
