@@ -245,6 +245,9 @@ class _Shard:
 
     def __init__(self, doc: np.ndarray, start: np.ndarray, blobs: list[bytes], length: int):
         order = np.lexsort((start, doc))
+        if len(order):      # a piece of a repeated row comes once
+            place = np.column_stack([doc[order], start[order]])
+            order = order[np.append(True, (place[1:] != place[:-1]).any(axis=1))]
         self.doc, self.start, self.length = doc[order], start[order], length
         blobs = [blobs[i] for i in order]
         sizes = np.array([len(b) for b in blobs], np.int64)
