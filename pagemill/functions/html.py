@@ -11,6 +11,7 @@ from bisect import bisect_left
 from html import unescape
 from html.entities import html5
 from html.parser import HTMLParser
+from itertools import accumulate
 
 from pagemill.functions.page_rules import BOILERPLATE_TAGS
 
@@ -182,8 +183,8 @@ def main_region(reader):
     return whole
 
 
-def read_page(html):
-    """Title, region text, code flag, anchor text length, links and elements of one page."""
+def read_page(html, elements=True):
+    """Title, region text, code flag, anchor text length, links and, if asked for, elements of one page."""
     reader = PageReader().read(html or "")
     region = main_region(reader)
     kept, cut_until = [], -1
@@ -206,14 +207,15 @@ def read_page(html):
         if at < low:
             texts.append((at, text))
     places = [at for at, _ in texts]
-    anchors = ["".join(t for _, t in texts[bisect_left(places, a.start):bisect_left(places, a.end)])
-               for a in kept if a.tag == "a"]
+    # Anchors may nest, so their text is measured, not built: lengths up to each string, two searches an anchor.
+    upto = [0, *accumulate(len(t) for _, t in texts)]
+    anchors = [upto[bisect_left(places, a.end)] - upto[bisect_left(places, a.start)] for a in kept if a.tag == "a"]
     return {
         "title": page_title(reader),
         "body_text": " ".join(" ".join(t for _, t in texts).split()),
         "has_code_tag": any(e.tag in ("code", "pre") for e in kept),
-        "link_text_len": len(" ".join(anchors)),
+        "link_text_len": sum(anchors) + max(0, len(anchors) - 1),
         "hrefs": [e.attrs["href"] for e in reader.elements if e.tag == "a" and "href" in e.attrs],
         "elements": [{"tag": e.tag, "css_class": " ".join(e.classes()), "element_id": e.attrs.get("id", "")}
-                     for e in reader.elements],
+                     for e in reader.elements] if elements else [],
     }

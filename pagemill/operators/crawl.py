@@ -26,7 +26,6 @@ from pagemill.session import new_table_path
 LINKS_PER_BLOCK = 65_536
 _ROWS_PER_PARTITION_BITS = 33
 _POSITIONS = 1 << 40
-_OTHER_FORMS = 1 << 62
 
 LEVEL = T.StructType([
     T.StructField("url", T.StringType()),
@@ -172,7 +171,8 @@ def snapshot_site(pages: DataFrame, start_url: str, page_id: str = "page_id") ->
     status = F.coalesce("http_status", F.lit(200)) if "http_status" in pages.columns else F.lit(200)
     start, start_form = F.lit(start_url), normalize_url(F.lit(start_url))
     raw = pages.select("url", "html", status.cast("int").alias("http_status"),
-                       (F.col(page_id) + F.when(F.col("url") == start, 0).otherwise(_OTHER_FORMS)).alias("seq"))
+                       F.struct(F.when(F.col("url") == start, 0).otherwise(1).alias("form"),
+                                F.col(page_id).alias("id")).alias("seq"))
     keyed = raw.withColumn("url", normalize_url(F.col("url")))
     # The start is fetched under its raw key and, when linked, again under its normal form.
     raw_start = keyed.filter((F.col("url") == start_form) & (start != start_form)).withColumn("url", start)

@@ -48,7 +48,7 @@ def read_pages_html(pages: DataFrame, links: bool = True, elements: bool = False
 
     def read_one(html):
         try:
-            return read_page(html)
+            return read_page(html, elements)
         except Exception as problem:
             return {"error": f"{type(problem).__name__}: {problem}"}
 

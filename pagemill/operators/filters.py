@@ -7,14 +7,6 @@ from pyspark.sql import functions as F
 
 from pagemill.operators.profile import most_common
 
-# What each named use case asks of a document.
-USE_CASES = {
-    "code_qa": {"has_code_blocks": True, "content_types": ("doc_page", "tutorial")},
-    "general_qa": {"min_words": 100, "content_types": ("article", "doc_page"), "max_link_density": 0.3},
-    "product_info": {"content_types": ("product_page",), "min_words": 50},
-}
-
-
 def fetched_ok(pages: DataFrame) -> DataFrame:
     """Pages whose fetch did not fail; a missing status counts as success."""
     return pages.filter(F.coalesce("http_status", F.lit(200)) < 400)
@@ -47,18 +39,22 @@ def export_ready(docs: DataFrame, order: str = "doc_ord") -> DataFrame:
     return clean(docs).join(F.broadcast(mode.select("language")), "language", "left_semi")
 
 
+def _of_type(*types: str) -> Column:
+    return F.col("content_type").isin(*types)
+
+
+# The named uses, with the types and limits that make a document fit for each.
+USE_CASES = {
+    "code_qa": lambda: _of_type("doc_page", "tutorial") & F.col("has_code_blocks"),
+    "general_qa": lambda: (_of_type("article", "doc_page")
+                           & (F.col("word_count") >= 100) & (F.col("link_density") <= 0.3)),
+    "product_info": lambda: _of_type("product_page") & (F.col("word_count") >= 50),
+}
+
+
 def use_case(docs: DataFrame, name: str) -> DataFrame:
     """Documents fit for a named use; an unknown name keeps everything."""
-    wanted = USE_CASES.get(name, {})
-    if "content_types" in wanted:
-        docs = docs.filter(F.col("content_type").isin(*wanted["content_types"]))
-    if "has_code_blocks" in wanted:
-        docs = docs.filter(F.col("has_code_blocks") == wanted["has_code_blocks"])
-    if "min_words" in wanted:
-        docs = docs.filter(F.col("word_count") >= wanted["min_words"])
-    if "max_link_density" in wanted:
-        docs = docs.filter(F.col("link_density") <= wanted["max_link_density"])
-    return docs
+    return docs.filter(USE_CASES[name]()) if name in USE_CASES else docs
 
 
 def route(docs: DataFrame, language: str | None = None, content_type: str | None = None,

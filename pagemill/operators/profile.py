@@ -177,8 +177,12 @@ def training_audit(docs: DataFrame) -> DataFrame:
 
 
 def collection_stats(docs: DataFrame) -> DataFrame:
-    """Total words, floor average per page, sorted languages, type counts: one row."""
-    by_pair = docs.groupBy("language", "content_type").agg(
+    """Total words, floor average per page, sorted languages, type counts: one row.
+
+    A missing language or type counts as unknown.
+    """
+    known = docs.withColumns({c: F.coalesce(c, F.lit("unknown")) for c in ("language", "content_type")})
+    by_pair = known.groupBy("language", "content_type").agg(
         F.count("*").alias("n"), F.sum("word_count").alias("words"))
     by_type = by_pair.groupBy("content_type").agg(
         F.sum("n").alias("n"), F.sum("words").alias("words"), F.collect_set("language").alias("languages"))

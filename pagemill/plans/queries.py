@@ -480,14 +480,14 @@ def _drain(spark, stream: DataFrame, name: str) -> DataFrame:
 @query
 def stream_documents(spark, sf):
     schema = readers.read_table(spark, sf, "pages").schema
-    arriving = ingest.read_stream(spark, sf, schema, glob="pages.parquet")
+    arriving = ingest.read_table_stream(spark, sf, "pages", schema)
     rows = ingest.stream_documents(arriving, _profile(spark, sf), _page_time())
     return _flat(_drain(spark, as_documents(rows), "stream-documents"))
 
 
 def _fetch_stream(spark, sf):
     schema = readers.read_table(spark, sf, "events").schema
-    return inputs.fetch_log(ingest.read_stream(spark, sf, schema, glob="events.parquet"))
+    return inputs.fetch_log(ingest.read_table_stream(spark, sf, "events", schema))
 
 
 @query

@@ -15,17 +15,24 @@ from pagemill.operators.extract import extract, with_content
 from pagemill.session import ship_package
 
 
-def read_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None,
-                glob: str | None = None) -> DataFrame:
+def read_stream(spark: SparkSession, path: str, schema: T.StructType,
+                files_per_trigger: int | None = None) -> DataFrame:
     """Parquet files of a folder as they arrive."""
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
     return reader.parquet(path)
 
 
+def read_table_stream(spark: SparkSession, folder: str, name: str, schema: T.StructType,
+                      files_per_trigger: int | None = None) -> DataFrame:
+    """The files of one table as they arrive, be the table one file or a folder of many.
+
+    As a pattern the path may name either; a plain path would have to be a folder.
+    """
+    return read_stream(spark, f"{folder}/{{{name}}}.parquet", schema, files_per_trigger)
+
+
 def stream_documents(pages: DataFrame, profile: DataFrame | None, fetched_at=None) -> DataFrame:
     """Page stream to document rows: the batch operators, all row-local."""
     return enrich(with_content(extract(pages, links=False)), profile, fetched_at)

@@ -1,9 +1,11 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from pagemill.operators.enrich import enrich
 from pagemill.operators.extract import extract, with_content
+from pagemill.plans.queries import REGISTRY
 from pagemill.streaming import ingest
 
 SF = "/root/testdata/sf0.001"
@@ -55,3 +57,11 @@ def test_only_closed_windows_are_emitted(spark, tmp_path):
     ingest.write_available(rate, out, state).awaitTermination()
     got = sorted((r.window_start.minute, r.outcome, r.n) for r in spark.read.parquet(out).collect())
     assert got == [(0, "crawled", 2), (0, "error", 1), (1, "crawled", 1)]
+
+
+@pytest.mark.parametrize("name", ["stream_documents", "stream_first_urls", "stream_crawl_rate"])
+def test_tables_of_many_files(spark, tmp_path, name):
+    for table in ("pages", "events", "documents"):
+        spark.read.parquet(f"{SF}/{table}.parquet").repartition(3).write.parquet(f"{tmp_path}/{table}.parquet")
+    split, whole = (REGISTRY[name](spark, folder).count() for folder in (str(tmp_path), SF))
+    assert split == whole > 0
