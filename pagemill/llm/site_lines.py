@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-RATIO = 0.2       # share of a host's pages from which a line is boilerplate
-LEAST_PAGES = 5   # pages a line must be on; small sites have no boilerplate below it
+RATIO = 0.05      # share of a host's pages from which a line is boilerplate: one page in twenty
+LEAST_PAGES = 3   # pages a line must be on; on sites of up to 60 pages this decides, below it nothing counts as repeated
 # A tag that ends a line of a page, and parts of a page that are not text.
 _BREAK = r"(?i)</?(?:p|div|br|hr|li|ul|ol|nav|article|section|header|footer|main|aside|h[1-6]|tr|table|td|th|form|title|body|head|html)\b[^>]*>"
 _HIDDEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"

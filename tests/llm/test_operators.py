@@ -103,6 +103,24 @@ def test_site_lines(spark, empty):
     assert site_lines.drop_boilerplate(docs, host="source", text="text").columns == docs.columns
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_line_dedup_drops_the_planted_line_in_every_source(spark, sf):
+    import corpus_pipeline
+    planted = "The and attion to thanedble the, anea. Eriner thanea."
+    folder = f"/root/testdata/{sf}"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+
+    def pages(frame):
+        has = F.exists(F.split("text", "\n"), lambda line: F.btrim(line, F.lit(" \t\r\f")) == planted)
+        return {r.source: r.n for r in frame.filter(has).groupBy("source").agg(F.count("*").alias("n")).collect()}
+    before = pages(docs)
+    left = corpus_pipeline.drop_boilerplate_lines(spark, docs, folder)
+    # A source with the line on one or two pages does not repeat it enough to tell.
+    assert any(n >= 3 for n in before.values()) and pages(left) == {s: n for s, n in before.items() if n < 3}
+    if sf == "sf0.1":
+        assert len(before) == 20 and not pages(left)
+
+
 def test_near_duplicates(spark, empty):
     near = A.split()
     near[100] = "x"
