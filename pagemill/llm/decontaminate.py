@@ -4,6 +4,11 @@ A seed is a fixed mask over a run of words; it ignores the masked-out positions,
 substituted words still hashes like its benchmark item wherever the substitutions fall on ignored
 positions. Hashes of both sides are joined, and around every hit the two texts are aligned word by
 word: an overlap counts if it is long enough and most of its words agree.
+
+No overlap is missed. With m of n words replaced, n - m equal words lie in m + 1 runs, and one run has
+(n - m) / (m + 1) words at least. For n >= MIN_WORDS and m <= n / 5 that is over 3, so four words in
+a row are equal, save for n = 15 with every fourth word replaced, which the second mask hits. An item
+of fewer words must be found whole and has one mask as long as its least run.
 """
 
 from __future__ import annotations
@@ -21,11 +26,13 @@ from pagemill.llm.arrow import lean, mix, slices, Words
 from pagemill.llm.tables import without
 from pagemill.session import ship_package
 
-MASKS = ("110110110111", "111010110111", "101101110111", "111101101011")
+MASKS = ("1111", "1110111")
 MIN_WORDS = 13      # shortest overlap, in words; a shorter item must be found whole
 MIN_AGREE = 0.8     # share of equal words in an overlap
 PART_BYTES = 16 << 20   # benchmark text held in memory at once; a larger benchmark takes several passes
 _LOOKUP_BITS = 20
+_REACH = 2 * MIN_WORDS  # words around a seed in which enough must agree before the texts are aligned
+_HITS_AT_ONCE = 1 << 14
 HITS = T.ArrayType(T.StructType([
     T.StructField("item_id", T.LongType()), T.StructField("overlap", T.LongType()),
     T.StructField("agreement", T.DoubleType())]))
@@ -58,22 +65,28 @@ def _seed_hashes(words: np.ndarray, text: np.ndarray, mask: np.ndarray, number:
     return at, mix(total)
 
 
+def _short_run(words: int) -> int:
+    """Equal words in a row in any overlap of so many words that agrees enough."""
+    replaced = int((1 - MIN_AGREE) * words + 1e-9)
+    return -(-(words - replaced) // (replaced + 1))
+
+
 def _seeds(ids: list, texts: list[str]) -> _Seeds:
-    """Masks for all items, and for items shorter than a mask one that covers just that many words."""
+    """Masks for items of MIN_WORDS words and more, and for shorter ones a mask of the length of their least run."""
     parts = [(Words(data, offsets), first) for first, _, data, offsets in slices(pa.array(texts, pa.string()), lower=True)]
     words = np.concatenate([w.hashes for w, _ in parts] or [np.zeros(0, np.uint64)])
     counts = np.concatenate([w.counts for w, _ in parts] or [np.zeros(0, np.int64)])
     bounds = np.append(0, np.cumsum(counts))
     text = np.repeat(np.arange(len(counts)), counts)
-    span = max(map(len, MASKS))
     masks = [np.flatnonzero([c == "1" for c in m]) for m in MASKS]
-    masks += [np.arange(n) for n in sorted({int(n) for n in counts if 0 < n < span})]
+    runs = np.array([0 if n >= MIN_WORDS or n == 0 else _short_run(int(n)) for n in counts], np.int64)
+    short = sorted({int(r) for r in runs if r})
+    masks += [np.arange(r) for r in short]
     found = []
     for number, mask in enumerate(masks):
         at, keys = _seed_hashes(words, text, mask, number)
-        if number >= len(MASKS):
-            whole = counts[text[at]] == len(mask)
-            at, keys = at[whole], keys[whole]
+        wanted = runs[text[at]] == (0 if number < len(MASKS) else short[number - len(MASKS)])
+        at, keys = at[wanted], keys[wanted]
         found.append((keys, text[at], at - bounds[text[at]]))
     keys, item, position = (np.concatenate([f[i] for f in found]) for i in range(3))
     order = np.argsort(keys, kind="stable")
@@ -103,6 +116,24 @@ def _best_stretch(equal: np.ndarray) -> tuple[int, float]:
     return best, share
 
 
+def _promising(seeds: _Seeds, words: Words, at: np.ndarray, item: np.ndarray, shift: np.ndarray) -> np.ndarray:
+    """Which hits may lie in an overlap.
+
+    An overlap of 2 * MIN_WORDS words or more is two halves, one of which agrees enough; so there is a
+    part of under 2 * MIN_WORDS words that does, all of it within _REACH of a seed of its own.
+    """
+    text = words.text[at]
+    low, high = np.maximum(words.bounds[text], shift), np.minimum(words.bounds[text + 1], shift + seeds.bounds[item + 1] - seeds.bounds[item])
+    equal = np.zeros(len(at), np.int64)
+    for offset in range(-_REACH, _REACH + 1):
+        place = at + offset
+        inside = np.flatnonzero((place >= low) & (place < high))
+        place = place[inside]
+        equal[inside] += words.hashes[place] == seeds.words[seeds.bounds[item[inside]] + place - shift[inside]]
+    least = np.minimum(MIN_WORDS, seeds.bounds[item + 1] - seeds.bounds[item])
+    return equal >= np.ceil(MIN_AGREE * least - 1e-9)
+
+
 def _overlaps(seeds: _Seeds, words: Words) -> dict[int, dict[int, tuple[int, float]]]:
     """text -> item -> (longest overlap, share of equal words)."""
     diagonals = set()
@@ -111,8 +142,15 @@ def _overlaps(seeds: _Seeds, words: Words) -> dict[int, dict[int, tuple[int, flo
         maybe = seeds.seen[(keys & np.uint64(len(seeds.seen) - 1)).astype(np.int64)]
         at, keys = at[maybe], keys[maybe]
         low, high = np.searchsorted(seeds.keys, keys, "left"), np.searchsorted(seeds.keys, keys, "right")
-        for t, i, j in zip(at[low < high], low[low < high], high[low < high]):
-            diagonals.update((int(words.text[t]), int(seeds.item[k]), int(t - seeds.position[k])) for k in range(i, j))
+        ends = np.cumsum(high - low)
+        for begin in range(0, int(ends[-1]) if len(ends) else 0, _HITS_AT_ONCE):
+            # The n-th hit is of the first window whose hits reach beyond n.
+            hit = np.arange(begin, min(begin + _HITS_AT_ONCE, int(ends[-1])))
+            of = np.searchsorted(ends, hit, "right")
+            seed = high[of] - (ends[of] - hit)
+            item, shift = seeds.item[seed], at[of] - seeds.position[seed]
+            good = _promising(seeds, words, at[of], item, shift)
+            diagonals.update(zip(words.text[at[of]][good].tolist(), item[good].tolist(), shift[good].tolist()))
     found: dict[int, dict[int, tuple[int, float]]] = {}
     for text, item, shift in diagonals:
         first, last = seeds.bounds[item], seeds.bounds[item + 1]

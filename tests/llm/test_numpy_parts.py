@@ -131,3 +131,36 @@ def test_best_stretch():
     length, share = decontaminate._best_stretch(same)
     assert (length, round(share, 2)) == (10, 0.9)
     assert decontaminate._best_stretch(np.zeros(5, bool)) == (0, 0.0)
+
+
+def test_every_replacement_pattern_has_a_seed():
+    from itertools import combinations
+
+    def hit(mask, equal, n):
+        bits = sum(1 << i for i, c in enumerate(mask) if c == "1")
+        return any((equal >> at) & bits == bits for at in range(n - len(mask) + 1))
+    for n in range(1, 2 * decontaminate.MIN_WORDS):
+        short = n < decontaminate.MIN_WORDS
+        masks = ["1" * decontaminate._short_run(n)] if short else decontaminate.MASKS
+        for gone in combinations(range(n), n // 5):
+            equal = (1 << n) - 1 - sum(1 << i for i in gone)
+            assert any(hit(m, equal, n) for m in masks), (n, gone)
+
+
+def test_overlaps_with_replaced_words_are_found():
+    draw = np.random.default_rng(4)
+    items = [[f"w{draw.integers(1 << 40)}" for _ in range(n)] for n in [*range(1, 41), 200, 500]]
+    # Two neighbours in the middle; every fourth word; at random, never the first or the last one.
+    cases = [(items[21], [10, 11]), (items[14], [3, 7, 11])]
+    cases += [(item, 1 + draw.permutation(len(item) - 2)[:len(item) // 5]) for item in items if len(item) > 2 for _ in range(5)]
+    texts = []
+    for item, gone in cases:
+        changed = list(item)
+        for i in gone:
+            changed[i] = "other"
+        texts.append(" ".join(["some", "words", *changed, "more"]))
+    seeds = decontaminate._seeds(list(range(len(items))), [" ".join(i) for i in items])
+    found = decontaminate._overlaps(seeds, Words(*one_slice(texts)))
+    for number, (item, gone) in enumerate(cases):
+        length, share = found[number][items.index(item)]
+        assert length == len(item) and round(share * length) == length - len(gone)
