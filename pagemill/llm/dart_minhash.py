@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm.arrow import Words, lean, mix, occurrences, slices, uniform, windows
@@ -29,6 +29,8 @@ COORDINATES = BANDS * ROWS
 _LOWEST = 1.0 / 8
 _DARTS = COORDINATES * (np.log(COORDINATES) + 2)    # expected darts that hit all coordinates
 _CHUNK = 1 << 18
+BLOCK = 128             # texts of a bucket compared at once with as many others
+_COLUMNS = 1 << 12      # shingles of a block held at once as a table
 
 
 def _floor_edges(number: int) -> tuple[float, float]:
@@ -160,14 +162,86 @@ def _verified(edges: DataFrame, sets: DataFrame) -> DataFrame:
     return written(edges.join(left, "a").join(right, "b").filter(near).select("a", "b"), "links")
 
 
+def _in_classes(buckets: DataFrame, classes: DataFrame) -> DataFrame:
+    named = classes.select(F.col("node").alias("doc"), F.col("component").alias("class"))
+    return buckets.join(named, "doc", "left").withColumn("class", F.coalesce("class", "doc"))
+
+
+def _left_in_buckets(buckets: DataFrame, classes: DataFrame) -> DataFrame:
+    """(band, doc, low): the texts outside the class of ``low`` in each bucket that are of several classes, with their first one."""
+    named = _in_classes(buckets, classes)
+    heads = classes.select(F.col("node").alias("low"), F.col("component").alias("head"))
+    rest = named.join(heads, "low", "left").filter(F.col("class") != F.coalesce("head", "low")).select("band", "doc", "class")
+    lows = (rest.groupBy("band").agg(F.min("doc").alias("low"), F.min("class").alias("least"), F.max("class").alias("most"))
+            .filter("least < most").select("band", "low"))
+    return rest.join(lows, "band").select("band", "doc", "low")
+
+
+def _near_in_block(owner: np.ndarray, shingles: list[np.ndarray], apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of at least SIMILARITY among those that ``apart`` marks, by their whole sets of shingles."""
+    n, sizes = len(owner), np.array([len(s) for s in shingles])
+    wanted = apart & (np.minimum.outer(sizes, sizes) >= SIMILARITY * np.maximum.outer(sizes, sizes))
+    use = np.flatnonzero(wanted.any(axis=1))
+    if not len(use):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    of = np.repeat(np.arange(len(use)), sizes[use])
+    values, column = np.unique(np.concatenate([shingles[i] for i in use]), return_inverse=True)
+    shared = np.flatnonzero(np.bincount(column, minlength=len(values)) > 1)     # others are in no two sets
+    place = np.full(len(values), -1)
+    place[shared] = np.arange(len(shared))
+    order = np.argsort(place[column], kind="stable")
+    of, column = of[order], place[column][order]
+    common = np.zeros((len(use), len(use)), np.int64)
+    for first in range(0, len(shared), _COLUMNS):
+        low, high = np.searchsorted(column, [first, first + _COLUMNS])
+        has = np.zeros((len(use), min(_COLUMNS, len(shared) - first)), np.float32)
+        has[of[low:high], column[low:high] - first] = 1
+        common += (has @ has.T).astype(np.int64)
+    total = np.add.outer(sizes[use], sizes[use])
+    near = wanted[np.ix_(use, use)] & (common >= SIMILARITY * (total - common) - 1e-9)
+    a, b = np.nonzero(np.triu(near, 1))
+    return owner[use[a]], owner[use[b]]
+
+
+def _compared_block(table: pa.Table) -> pa.Table:
+    """(a, b) of a block: each text of one part of a bucket with each of another part, or of the same one."""
+    doc, group, side = (table.column(c).to_numpy() for c in ("doc", "class", "side"))
+    held = table.column("shingles").combine_chunks()
+    held = held if isinstance(held, pa.Array) else pa.concat_arrays(held.chunks)
+    shingles = [np.asarray(held[i].values) for i in range(len(doc))]
+    apart = np.not_equal.outer(group, group)
+    if side.max():
+        apart &= np.not_equal.outer(side, side)
+    a, b = _near_in_block(doc, shingles, apart)
+    return pa.table([pa.array(np.maximum(a, b), pa.int64()), pa.array(np.minimum(a, b), pa.int64())], names=["a", "b"])
+
+
+def _verified_in_blocks(buckets: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of at least SIMILARITY within a bucket and of different classes, without those of ``low``.
+
+    A bucket is dealt to parts of about BLOCK texts, and every two parts are compared in a task of their
+    own. A part holds each text once a bucket, so no pair becomes a row unless it is near.
+    """
+    rest = written(_in_classes(buckets.filter("doc <> low"), classes).select("band", "doc", "class"), "rest")
+    sized = (rest.groupBy("band").agg(F.count("*").alias("n"), F.min("class").alias("least"), F.max("class").alias("most"))
+             .filter("least < most").select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts")))
+    part = F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda other: F.struct(
+        F.least(other, part).alias("one"), F.greatest(other, part).alias("two"), F.when(other < part, 1).otherwise(0).alias("side")))
+    dealt = rest.join(sized, "band").select("band", "doc", "class", F.explode(blocks).alias("k"))
+    rows = dealt.join(sets, "doc").select("band", "k.one", "k.two", "k.side", "doc", "class", "shingles")
+    return written(rows.groupBy("band", "one", "two").applyInArrow(_compared_block, "a long, b long").distinct(), "links")
+
+
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, class_id): for every row with an id, the smallest id of its class of near duplicates.
 
     Two texts are linked if the weighted Jaccard similarity of their five-word shingles is at least
     SIMILARITY; classes are the connected components. Texts of the same words collapse before any
     comparison, so copies cost one row. Each text of a bucket meets the first one of the bucket, first
-    its overall first one, then all from which it is still apart, and then its neighbours of another
-    class in the bucket, until a round links nothing more; no bucket is capped.
+    its overall first one, then all from which it is still apart. While that links anything, the texts
+    left in other classes meet the first one of those. In the end all texts of a bucket that are in
+    different classes are compared with each other, in blocks; no bucket is capped.
 
     A text of fewer than five words is one shingle. Null, empty and wordless texts are classes of their
     own. Rows without id are not returned. Rows that share an id are one document, whose class is the
@@ -201,21 +275,30 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         return (edges.join(left, "a", "left").join(right, "b", "left")
                 .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
 
-    edges = written(apart(stars.join(tried, ["a", "b"], "left_anti")), "edges")
-    while not edges.isEmpty():
-        more = _verified(edges, sets)
-        tried = written(tried.union(edges), "tried")
-        if more.isEmpty() and len(links) > 1:
-            break
+    def grown(more: DataFrame) -> DataFrame:
         links.append(more)
         merged = links[0]
         for part in links[1:]:
             merged = merged.union(part)
-        classes = connected_components(merged)
-        # Neighbours of another class within a bucket, in the order of the ids.
-        line = Window.partitionBy("band").orderBy("doc")
-        chain = buckets.select(F.col("doc").alias("a"), F.lag("doc").over(line).alias("b")).filter("b is not null").distinct()
-        edges = written(apart(chain.join(tried, ["a", "b"], "left_anti")), "edges")
+        return connected_components(merged)
+
+    edges = written(apart(stars.join(tried, ["a", "b"], "left_anti")), "edges")
+    if not edges.isEmpty():
+        classes = grown(_verified(edges, sets))
+    # All have met the first text of each bucket; what is left may still be linked among itself.
+    left = buckets
+    while True:
+        left = written(_left_in_buckets(left, classes), "left")
+        if left.isEmpty():
+            break
+        edges = written(apart(left.filter("doc <> low").select(F.col("doc").alias("a"), F.col("low").alias("b")).distinct()), "edges")
+        more = _verified(edges, sets)
+        if more.isEmpty():
+            break
+        classes = grown(more)
+    more = _verified_in_blocks(buckets, classes, sets)
+    if not more.isEmpty():
+        classes = grown(more)
 
     named = members.join(classes, F.col("first") == F.col("node"), "left").select(
         "doc", F.coalesce("component", "first").alias("class"))

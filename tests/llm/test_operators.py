@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,6 +137,30 @@ def test_near_duplicates(spark, empty):
     assert dart_minhash.near_duplicates(empty).count() == 0
 
 
+@pytest.mark.parametrize("block", [128, 2])
+def test_near_duplicates_behind_others_of_their_bucket(spark, monkeypatch, block):
+    # All texts share all buckets; 1, 2, 4 and 8 of one side alternate with 3, 5, 6 and 7 of others.
+    monkeypatch.setattr(dart_minhash, "BLOCK", block, raising=False)
+    signed = dart_minhash._signed
+
+    def one_bucket(batches):
+        for batch in signed(batches):
+            bands = pa.array([list(range(24))] * len(batch), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), bands], names=["doc", "content", "bands"])
+    monkeypatch.setattr(dart_minhash, "_signed", one_bucket)
+
+    def variant(base, seed):
+        changed = base.split()
+        changed[seed] = "x"
+        return " ".join(changed)
+    rows = [(1, words(70, 100), "s"), (2, variant(A, 10), "s"), (3, variant(B, 10), "s"), (4, words(71, 200), "s"),
+            (5, variant(A, 90), "s"), (6, variant(B, 90), "s"), (7, words(72, 200), "s"), (8, words(73, 200), "s")]
+    chained = words(74, 200).split()                         # 9 ~ 10 ~ 11, but not 9 ~ 11
+    rows += [(9 + i, " ".join(chained[:100 - 8 * i] + [f"n{i}"] + chained[100 + 8 * i:]), "s") for i in range(3)]
+    got = {r.doc_id: r.class_id for r in dart_minhash.near_duplicates(table(spark, rows)).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 2, 6: 3, 7: 7, 8: 8, 9: 9, 10: 9, 11: 9}
+
+
 def test_near_duplicates_against_all_pairs(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     sets = {}
