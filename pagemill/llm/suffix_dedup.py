@@ -9,6 +9,8 @@ pieces go to a shard. A shard sorts all suffixes of its pieces (Larsson-Sadakane
 few bytes, then double the sorted length, touching only groups not yet told apart), takes the common
 prefixes of neighbours (Kasai), and reads the repeated strings off them. A key too large for one shard
 is spread over several, and every two of these are merged by binary search in their suffix arrays.
+Pieces longer than half a shard are cut into overlapping ones before, and what a shard still has too
+much goes to several suffix arrays, so none is ever longer than it can be.
 """
 
 from __future__ import annotations
@@ -133,6 +135,8 @@ def _piece_rows(key, mark, doc, start, end, tied) -> pa.RecordBatch:
 def suffix_array(data: np.ndarray) -> np.ndarray:
     """The suffixes of up to 2**21 - 2 bytes in order."""
     n = len(data)
+    if n > (1 << _INDEX_BITS) - 2:
+        raise ValueError(f"{n} bytes in one suffix array")
     index = np.arange(n, dtype=np.uint64)
     mask = np.uint64((1 << _INDEX_BITS) - 1)
     padded = np.append(data, np.zeros(_FIRST, np.uint8)).astype(np.uint64)
@@ -280,18 +284,39 @@ class _Shard:
         return self.doc[of], s, e
 
 
-def _shard_repeats(length: int):
+def _packs(key: np.ndarray, size: np.ndarray, limit: int) -> list[np.ndarray]:
+    """The pieces in the order of their keys, in packs of at most ``limit`` bytes (or one piece)."""
+    packs, held, total = [], [], 0
+    for i in np.argsort(key, kind="stable"):
+        if held and total + size[i] > limit:
+            packs.append(np.array(held))
+            held, total = [], 0
+        held.append(i)
+        total += int(size[i])
+    return packs + [np.array(held)]
+
+
+def _shard_repeats(length: int, limit: int):
     def find(table: pa.Table) -> pa.Table:
-        doc, start = (table.column(c).to_numpy() for c in ("doc", "start"))
-        side, blobs = table.column("side").to_numpy(), table.column("bytes").to_pylist()
-        shards = [_Shard(doc[side == s], start[side == s], [blobs[i] for i in np.flatnonzero(side == s)], length)
-                  for s in np.unique(side)]
-        if len(shards) == 2:
-            # Each was searched within itself under its own shard; here only one against the other.
-            for shard in shards:
-                shard.repeat[:] = False
-            shards[0].mark_repeats_of(shards[1])
-            shards[1].mark_repeats_of(shards[0])
+        doc, start, key, side = (table.column(c).to_numpy() for c in ("doc", "start", "key", "side"))
+        blobs = table.column("bytes").to_pylist()
+        size = np.array([len(b) for b in blobs], np.int64)
+        packs = []
+        for s in np.unique(side):
+            of = np.flatnonzero(side == s)
+            packs += [(s, of[p]) for p in _packs(key[of], size[of], limit)]
+        two = len(np.unique(side)) == 2
+        shards = [_Shard(doc[p], start[p], [blobs[i] for i in p], length) for _, p in packs]
+        # Each side of two was searched within itself under its own shard; here only one against the other.
+        # A string that starts earlier in its own suffix array was found there.
+        known = [shard.repeat.copy() if two else np.zeros(len(shard.repeat), bool) for shard in shards]
+        for i, (a, one) in enumerate(packs):
+            for j, (b, other) in enumerate(packs[:i]):
+                if (a != b) if two else (key[one].min() <= key[other].max()):
+                    shards[i].mark_repeats_of(shards[j])
+                    shards[j].mark_repeats_of(shards[i])
+        for shard, before in zip(shards, known):
+            shard.repeat &= ~before
         spans = [np.concatenate(c) for c in zip(*(s.spans() for s in shards))]
         return pa.table(spans, names=["doc", "start", "end"])
     return find
@@ -324,7 +349,12 @@ def repeated_spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
         "turn"), "pieces")
     whole = placed.filter("repeat").select("doc", "start", (F.col("start") + F.col("size")).alias("end"))
 
-    open_ = placed.filter("not repeat and turn = 1")
+    # A piece longer than half a shard is cut; a string of ``length`` bytes lies in exactly one of its parts.
+    step = max(SHARD_BYTES // 2, length)
+    cuts = F.sequence(F.lit(0).cast("long"), F.col("size") - length, F.lit(step).cast("long"))
+    open_ = (placed.filter("not repeat and turn = 1").select("key", "doc", "start", "size", F.explode(cuts).alias("cut"))
+             .select("key", "doc", (F.col("start") + F.col("cut")).alias("start"),
+                     F.least(F.col("size") - F.col("cut"), F.lit(step + length - 1)).alias("size")))
     total = open_.agg(F.sum("size").alias("n")).first()["n"] or 0
     shards = max(1, -(-total // SHARD_BYTES))
     large = open_.groupBy("key").agg(F.ceil(F.sum("size") / SHARD_BYTES).alias("parts")).filter("parts > 1")
@@ -336,12 +366,12 @@ def repeated_spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
         F.when(other < part, 1).otherwise(0).alias("side")))
     bundle = F.array(F.struct(F.pmod("key", F.lit(shards)).cast("string").alias("shard"), F.lit(0).alias("side")))
     wanted = spread.withColumn("to", F.when(F.col("parts").isNull(), bundle).otherwise(pairs))
-    lists = wanted.groupBy("doc").agg(F.collect_list(F.struct("start", "size", "to")).alias("wanted"))
+    lists = wanted.groupBy("doc").agg(F.collect_list(F.struct("key", "start", "size", "to")).alias("wanted"))
     bytes_ = slim.join(lists, "doc").select("doc", F.encode("text", "utf-8").alias("text"), F.explode("wanted").alias("w"))
-    blobs = bytes_.select("doc", F.col("w.start").alias("start"), F.explode("w.to").alias("t"),
+    blobs = bytes_.select("doc", F.col("w.key").alias("key"), F.col("w.start").alias("start"), F.explode("w.to").alias("t"),
                           F.substring(F.col("text"), F.col("w.start").cast("int") + 1, F.col("w.size").cast("int")).alias("bytes")) \
-        .select("doc", "start", "bytes", "t.shard", "t.side")
-    inner = blobs.groupBy("shard").applyInArrow(_shard_repeats(length), "doc long, start long, end long")
+        .select("doc", "key", "start", "bytes", "t.shard", "t.side")
+    inner = blobs.groupBy("shard").applyInArrow(_shard_repeats(length, 2 * SHARD_BYTES), "doc long, start long, end long")
     spans = whole.unionByName(inner)
     return spans.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 

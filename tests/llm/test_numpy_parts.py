@@ -164,3 +164,17 @@ def test_overlaps_with_replaced_words_are_found():
     for number, (item, gone) in enumerate(cases):
         length, share = found[number][items.index(item)]
         assert length == len(item) and round(share * length) == length - len(gone)
+
+
+def test_a_shard_of_many_keys_is_sorted_in_packs():
+    draw = np.random.default_rng(6)
+    texts = [bytes(draw.integers(97, 99, 40, dtype=np.uint8)) for _ in range(60)]
+    key = np.arange(60) % 4
+    table = pa.table({"doc": np.arange(60), "start": np.zeros(60, np.int64), "key": key, "side": np.zeros(60, np.int32), "bytes": texts})
+
+    def starts(limit):
+        out = suffix_dedup._shard_repeats(8, limit)(table.filter(key == 1)).to_pydict()
+        return sorted((d, i) for d, s, e in zip(out["doc"], out["start"], out["end"]) for i in range(s, e))
+    assert starts(100) == starts(1 << 20)
+    packs = suffix_dedup._packs(key, np.full(60, 40), 100)
+    assert max(map(len, packs)) == 2 and sorted(np.concatenate(packs)) == list(range(60))

@@ -269,6 +269,26 @@ def test_suffix_dedup(spark, empty, monkeypatch):
     assert suffix_dedup.without_repeats(empty).count() == 0
 
 
+def test_suffix_dedup_of_a_run_longer_than_a_suffix_array(spark):
+    line, lead = "-" * 60 + "\n", words(80, 100)
+    texts = {1: "=" * 3_000_000, 2: lead + line * 40_000, 3: lead + "=" * 150 + "!"}
+    docs = table(spark, [(i, t, "s") for i, t in texts.items()])
+    found = {r.doc_id: r for r in suffix_dedup.without_repeats(docs).collect()}
+    assert bytes(found[1].kept) == b"=" and [tuple(s) for s in found[1].spans] == [(1, 3_000_000)]
+    assert bytes(found[2].kept) == (lead + line).encode()
+    assert bytes(found[3].kept) == plain_kept(texts[3], texts[1][:200], texts[2][:2000])
+
+
+def plain_kept(text, *earlier, length=100):
+    seen = {e.encode()[i:i + length] for e in earlier for i in range(len(e) - length + 1)}
+    data, gone = text.encode(), np.zeros(len(text), bool)
+    for i in range(len(data) - length + 1):
+        if data[i:i + length] in seen:
+            gone[i:i + length] = True
+        seen.add(data[i:i + length])
+    return bytes(np.frombuffer(data, np.uint8)[~gone])
+
+
 def test_suffix_dedup_on_all_documents(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     expected = plain_removal(texts)
