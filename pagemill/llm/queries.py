@@ -12,12 +12,15 @@ from pagemill.llm import (
     dart_minhash,
     decontaminate,
     embedding_tiles,
+    lexical_search,
     licence_paragraphs,
     pivotal_mix,
+    prefix_trie,
     secret_ownership,
     site_lines,
     suffix_dedup,
     toxicity,
+    weak_pii,
 )
 from pagemill.sources.readers import read_table
 
@@ -162,3 +165,84 @@ def op10_pivotal_mix(spark, sf):
     """How many words the mix takes of every document."""
     plan = pivotal_mix.mixing_plan(read_table(spark, sf, "documents"))
     return plan.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@query
+def op11_prefix_trie(spark, sf):
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.prefix_trie(read_table(spark, sf, "conversations"))
+
+
+ORACLE["op11_prefix_trie"] = f"""
+WITH said AS (
+  SELECT conv_id, turn, sha256(length(r) || ':' || r || t) AS key, len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) AS words
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL)),
+turns AS (
+  SELECT conv_id, key, words, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, key) - 1 AS pos FROM said),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % {prefix_trie.GROUP} AS base,
+    -- CRC-32: a byte is mixed in, then eight shifts (-1) follow.
+    xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+      lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda x, e: CASE WHEN e >= 0 THEN xor(x, e) ELSE xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END) END),
+      4294967295::BIGINT) % {prefix_trie.MOST_SHARED} AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)),
+placed AS (
+  SELECT c.conv_id, 0 AS own, t.pos, t.key, t.words FROM convs c JOIN turns t ON t.conv_id = c.base AND t.pos < c.h
+  UNION ALL
+  SELECT c.conv_id, 1, t.pos, t.key, t.words FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos >= c.h),
+lists AS (SELECT conv_id, list(key ORDER BY own, pos) AS ks, list(words ORDER BY own, pos) AS ws FROM placed GROUP BY conv_id),
+members AS (
+  SELECT conv_id, depth, md5(array_to_string(ks[1:depth], ',')) AS node, md5(array_to_string(ks[1:depth - 1], ',')) AS above,
+    CASE WHEN depth = 0 THEN 0 ELSE ws[depth] END AS words, depth = len(ks) AS last
+  FROM (SELECT c.conv_id, coalesce(ks, []) AS ks, ws, unnest(range(len(coalesce(ks, [])) + 1)) AS depth FROM convs c LEFT JOIN lists USING (conv_id))),
+reps AS (
+  SELECT node, depth, min(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '') AS ends
+  FROM members GROUP BY node, depth),
+children AS (SELECT above AS node, depth - 1 AS depth, count(*) AS n FROM reps WHERE depth > 0 GROUP BY ALL),
+nodes AS (SELECT r.*, coalesce(c.n, 0) AS n_children FROM reps r LEFT JOIN children c ON c.node = r.node AND c.depth = r.depth),
+below AS (
+  SELECT m.node, m.depth, count(*) FILTER (u.n_children = 0) AS n_leaves, sum((u.n_convs - 1) * u.words)::BIGINT AS saved_tokens
+  FROM nodes u JOIN members m ON m.conv_id = u.conv_id AND m.depth <= u.depth GROUP BY ALL)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, b.n_leaves, b.saved_tokens, sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN below b ON b.node = n.node AND b.depth = n.depth
+LEFT JOIN reps p ON n.depth > 0 AND p.node = n.above AND p.depth = n.depth - 1
+"""
+
+
+@query
+def op12_weak_pii(spark, sf):
+    """The personal data of every document."""
+    found = weak_pii.scan(read_table(spark, sf, "documents"))
+    return found.select("doc_id", *[weak_pii.count_of(kind).alias(f"n_{kind}") for kind in weak_pii.BASE],
+                        F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+@query
+def op13_lexical_search(spark, sf):
+    """The documents that answer every benchmark item best."""
+    return lexical_search.rank(read_table(spark, sf, "documents"), read_table(spark, sf, "benchmark"))
+
+
+_TERMS = ("list_transform(regexp_extract_all(coalesce(text, ''), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), "
+          "lambda t: translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))")
+ORACLE["op13_lexical_search"] = f"""
+WITH words AS (SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS terms FROM documents),
+counted AS (SELECT row, doc_id, len(terms)::HUGEINT AS size, terms FROM words WHERE len(terms) > 0),
+total AS (SELECT count(*)::HUGEINT AS docs, sum(size)::HUGEINT AS length FROM counted),
+items AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+tf AS (
+  SELECT row, doc_id, size, term, count(*) AS tf FROM (SELECT row, doc_id, size, unnest(terms) AS term FROM counted)
+  WHERE term IN (SELECT term FROM items) GROUP BY ALL),
+df AS (
+  SELECT term, floor(1000.0::DOUBLE * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tf, total GROUP BY term, docs),
+scored AS (
+  SELECT item_id, row, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * size * docs) // length))))::BIGINT AS score
+  FROM items JOIN tf USING (term) JOIN df USING (term), total GROUP BY ALL),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+  FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= {lexical_search.TOP}
+"""

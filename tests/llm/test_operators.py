@@ -351,7 +351,7 @@ def test_pipeline_stages_take_odd_rows(spark, empty):
 def test_equals_sql(spark, name):
     import duckdb
     connection = duckdb.connect()
-    for t in ("documents", "pages", "embeddings", "benchmark", "labels"):
+    for t in ("documents", "pages", "embeddings", "benchmark", "labels", "conversations"):
         connection.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     frame = REGISTRY[name](spark, SF)
     names = sorted(frame.columns)
