@@ -1,8 +1,10 @@
-"""Language identification from character trigrams.
+"""Language identification from character trigrams in a model of fixed size.
 
-A profile is a small table (language, trigram, weight), learned by a Spark job from
-labelled text. A text belongs to the language whose weights for the text's trigrams
-add up highest. Weights are whole numbers, so sums do not depend on row order.
+Trigrams are mapped by arithmetic to BUCKETS features. A model is a table (language, bucket, weight) with
+BUCKETS rows a language at most, learned by a Spark job from counts of all trigrams of labelled text:
+nothing is ranked, cut off or refused, and counts of more text can be added to those of earlier text. A text
+belongs to the language whose weights for the text's trigrams add up highest. Weights are whole
+numbers, so sums do not depend on row order.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,13 +24,15 @@ UNKNOWN = "unknown"
 MIN_CHARS = 50
 SMOOTHING = 5e-5
 WEIGHT_SCALE = 1_000_000
-TRIGRAMS_PER_LANGUAGE = 20_000
-MAX_PROFILE_ROWS = 1_000_000
-MAX_PROFILE_CELLS = 50_000_000
-PROFILE = "language string, trigram string, weight long"
+# Features of a trigram (a, b, c): (STEPS[0] * a + STEPS[1] * b + STEPS[2] * c) modulo a prime.
+BUCKETS = 65_521
+STEPS = (40_503, 30_011, 10_007)
+COUNTS = "language string, bucket int, n long"
+MODEL = "language string, bucket int, weight long"
+# Rows of a model that a join may broadcast: about fifteen languages, 50 MB.
+BROADCAST_ROWS = 1_000_000
 
 _SEPARATOR = r"[\x{10000}-\x{10FFFF}[^\p{L}\p{M}]]"
-_POINT_BITS = 21
 
 
 def letters(text: Column) -> Column:
@@ -37,24 +41,18 @@ def letters(text: Column) -> Column:
     return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), run, " ")), F.lit(" "))
 
 
-def _codes(text: str) -> np.ndarray:
-    """Every overlapping run of three code points, packed into one integer each."""
+def _buckets(text: str) -> np.ndarray:
+    """The feature of every overlapping run of three code points."""
     points = np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.int64)
-    return (points[:-2] << 2 * _POINT_BITS) | (points[1:-1] << _POINT_BITS) | points[2:]
+    a, b, c = STEPS
+    return (points[:-2] * a + points[1:-1] * b + points[2:] * c) % BUCKETS
 
 
-def _strings(codes: np.ndarray) -> list[str]:
-    mask = (1 << _POINT_BITS) - 1
-    points = np.stack([codes >> 2 * _POINT_BITS, (codes >> _POINT_BITS) & mask, codes & mask], axis=1)
-    joined = points.astype("<u4").tobytes().decode("utf-32-le")
-    return [joined[i:i + 3] for i in range(0, len(joined), 3)]
+def bucket_counts(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, bucket, n), one row per key and feature of each Arrow batch.
 
-
-def trigram_counts(texts: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, trigram, n), one row per key and trigram of each Arrow batch.
-
-    Counting inside the batch sends distinct trigrams on, not one row per character;
-    whoever needs totals per key still sums ``n``.
+    Counting inside the batch sends distinct features on, not one row per character; whoever needs
+    totals per key still sums ``n``.
     """
     ship_package(texts.sparkSession)
     kind = texts.schema[key].dataType
@@ -64,50 +62,76 @@ def trigram_counts(texts: DataFrame, key: str, text: str) -> DataFrame:
             by_key: dict = {}
             for at, (owner, line) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
                 if line is not None and len(line) >= 3:
-                    by_key.setdefault(owner, (at, []))[1].append(_codes(line))
+                    by_key.setdefault(owner, (at, []))[1].append(_buckets(line))
             places, names, sizes = [], [], []
             for at, parts in by_key.values():
-                codes, n = np.unique(np.concatenate(parts), return_counts=True)
-                places.append(np.full(len(codes), at))
-                names.extend(_strings(codes))
+                buckets, n = np.unique(np.concatenate(parts), return_counts=True)
+                places.append(np.full(len(buckets), at))
+                names.append(buckets)
                 sizes.append(n)
             if names:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(np.concatenate(places))),
-                     pa.array(names, pa.string()), pa.array(np.concatenate(sizes), pa.int64())],
-                    names=[key, "trigram", "n"])
+                     pa.array(np.concatenate(names), pa.int32()), pa.array(np.concatenate(sizes), pa.int64())],
+                    names=[key, "bucket", "n"])
 
-    schema = T.StructType([T.StructField(key, kind), T.StructField("trigram", T.StringType()),
+    schema = T.StructType([T.StructField(key, kind), T.StructField("bucket", T.IntegerType()),
                            T.StructField("n", T.LongType())])
     return texts.select(key, letters(F.col(text)).alias("letters")).mapInArrow(count, schema)
 
 
-def learn_profile(labelled: DataFrame, text: str = "text", language: str = "lang") -> DataFrame:
-    """Profile of every language in ``labelled``: its most frequent trigrams with their weights.
+def language_counts(labelled: DataFrame, text: str = "text", language: str = "lang") -> DataFrame:
+    """(language, bucket, n) over all labelled texts: BUCKETS rows a language at most, whatever the corpus.
+
+    Texts without language teach nothing. Counts of two corpora are merged by :func:`merged_counts`.
+    """
+    known = labelled.filter(F.col(language).isNotNull())
+    return (bucket_counts(known, language, text)
+            .groupBy(F.col(language).alias("language"), "bucket").agg(F.sum("n").alias("n")))
+
+
+def merged_counts(*counts: DataFrame) -> DataFrame:
+    """The counts of all the corpora together, so that new texts need no second reading of the old ones."""
+    whole = counts[0]
+    for more in counts[1:]:
+        whole = whole.unionByName(more)
+    return whole.groupBy("language", "bucket").agg(F.sum("n").alias("n"))
+
 
-    The profile is written to the shared folder and read back: it is used many times over,
-    and its true size then decides by itself whether a join broadcasts it.
+def model_from_counts(counts: DataFrame) -> DataFrame:
+    """The written model of :func:`language_counts`.
+
+    It is used many times over, so it is stored; its size is fixed by the number of languages. The totals
+    are one row a language, and so are far smaller than what they are joined to.
     """
-    counts = (trigram_counts(labelled, language, text)
-              .groupBy(F.col(language).alias("language"), "trigram").agg(F.sum("n").alias("n")))
-    # One row per distinct trigram is left here, whatever the size of the corpus.
-    whole = Window.partitionBy("language")
-    ranked = counts.withColumns({
-        "total": F.sum("n").over(whole),
-        "place": F.row_number().over(whole.orderBy(F.desc("n"), "trigram")),
-    })
+    spark, path = counts.sparkSession, new_table_path(counts.sparkSession, "language-counts")
+    counts.write.parquet(path)
+    stored = spark.read.schema(COUNTS).parquet(path)
+    totals = stored.groupBy("language").agg(F.sum("n").alias("total"))
     share = F.col("n").cast("double") / F.col("total").cast("double")
     weight = F.round(F.log(F.lit(1.0) + share / F.lit(SMOOTHING)) * F.lit(float(WEIGHT_SCALE)))
-    path = new_table_path(labelled.sparkSession, "language-profile")
-    (ranked.filter(F.col("place") <= TRIGRAMS_PER_LANGUAGE)
-     .select("language", "trigram", weight.cast("long").alias("weight"))
+    path = new_table_path(spark, "language-model")
+    (stored.join(totals, "language").select("language", "bucket", weight.cast("long").alias("weight"))
      .write.parquet(path))
-    return labelled.sparkSession.read.schema(PROFILE).parquet(path)
+    return spark.read.schema(MODEL).parquet(path)
+
+
+def learn_profile(labelled: DataFrame, text: str = "text", language: str = "lang") -> DataFrame:
+    """The model of every language in ``labelled``, from all trigrams of all its texts."""
+    return model_from_counts(language_counts(labelled, text, language))
+
+
+def _joinable(model: DataFrame) -> DataFrame:
+    """A model of few languages goes to every task; a larger one is joined like any table."""
+    return F.broadcast(model) if model.count() <= BROADCAST_ROWS else model
 
 
 def language_scores(docs: DataFrame, key: str, text: str, profile: DataFrame) -> DataFrame:
-    """(key, language, score) by joining each text's trigrams with the profile."""
-    return (trigram_counts(docs, key, text).join(profile, "trigram")
+    """(key, language, score) by joining each text's features with the model.
+
+    The model is broadcast as long as it is small, so a feature that all texts share makes no hot key.
+    """
+    return (bucket_counts(docs, key, text).join(_joinable(profile), "bucket")
             .groupBy(key, "language").agg(F.sum(F.col("n") * F.col("weight")).alias("score")))
 
 
@@ -121,42 +145,36 @@ def detect_by_join(docs: DataFrame, key: str, text: str, profile: DataFrame) ->
             .select(key, F.coalesce("best.l", F.lit(UNKNOWN)).alias("language")))
 
 
-def _profile_arrays(profile: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
-    rows = profile.limit(MAX_PROFILE_ROWS + 1).toPandas()
-    if len(rows) > MAX_PROFILE_ROWS:
-        raise ValueError(f"profile over {MAX_PROFILE_ROWS} rows: use detect_by_join")
+def _weights(profile: DataFrame) -> tuple[list[str], np.ndarray]:
+    """The model as languages and a BUCKETS x languages matrix: 256 kB a language."""
+    rows = profile.toPandas()
     names = sorted(rows["language"].unique())
-    codes = _codes("".join(rows["trigram"]))[::3] if len(rows) else np.empty(0, np.int64)
-    keys, place = np.unique(codes, return_inverse=True)
-    if len(keys) * len(names) > MAX_PROFILE_CELLS:
-        raise ValueError(f"profile over {MAX_PROFILE_CELLS} cells: use detect_by_join")
-    weights = np.zeros((len(keys), len(names)), np.int32)
-    weights[place, np.searchsorted(names, rows["language"])] = rows["weight"]
-    return names, keys, weights
+    weights = np.zeros((BUCKETS, len(names)), np.int32)
+    if names:
+        weights[rows["bucket"], np.searchsorted(names, rows["language"])] = rows["weight"]
+    return names, weights
 
 
 def with_language(docs: DataFrame, profile: DataFrame, text: str = "body_text") -> DataFrame:
     """Add ``language`` to wide rows in place, so that their texts are never shuffled.
 
-    The profile travels to the tasks as one weight per trigram and language, at most
-    ``MAX_PROFILE_CELLS`` of them (200 MB); the same sums as in :func:`language_scores`
-    are then taken per text. A larger profile goes through :func:`detect_by_join`.
+    The model travels to the tasks as a matrix of fixed height; the same sums as in
+    :func:`language_scores` are then taken per text. Ties go to the first language by name.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    model = spark.sparkContext.broadcast(_profile_arrays(profile))
+    model = spark.sparkContext.broadcast(_weights(profile))
 
     @F.pandas_udf("string")
     def best_language(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        names, keys, weights = model.value
+        names, weights = model.value
 
         def best(line):
-            if line is None or len(line) < 3 or not len(keys):
+            if line is None or len(line) < 3 or not names:
                 return UNKNOWN
-            codes = _codes(line)
-            found = np.minimum(np.searchsorted(keys, codes), len(keys) - 1)
-            known, n = np.unique(found[keys[found] == codes], return_counts=True)
-            return names[int((n @ weights[known].astype(np.int64)).argmax())] if len(known) else UNKNOWN
+            found, n = np.unique(_buckets(line), return_counts=True)
+            scores = n @ weights[found].astype(np.int64)
+            return names[int(scores.argmax())] if scores.any() else UNKNOWN
 
         for batch in batches:
             yield batch.map(best, na_action=None)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pagemill.operators.language import BUCKETS, STEPS
+
 _SPACE = (r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
           r"\x{202f}\x{205f}\x{3000}]+")
 _FIRST_FETCH = 1735689600
@@ -150,26 +152,25 @@ def _letters(text: str) -> str:
 
 
 def _grams(source: str, key: str, text: str) -> str:
+    a, b, c = STEPS
     return (f"SELECT {key}, unnest(list_transform(range(1, greatest(len(c) - 1, 1)),"
-            f" lambda i: c[i] || c[i + 1] || c[i + 2])) AS trigram"
+            f" lambda i: ({a} * unicode(c[i]) + {b} * unicode(c[i + 1]) + {c} * unicode(c[i + 2])) % {BUCKETS}))::INTEGER AS bucket"
             f" FROM (SELECT {key}, string_split({_letters(text)}, '') AS c FROM {source}) WHERE len(c) >= 3")
 
 
-_PROFILE = f"""training AS ({_grams('documents', 'lang', 'text')}),
-counts AS (SELECT lang AS language, trigram, count(*) AS n FROM training GROUP BY ALL),
-ranked AS (
-  SELECT *, sum(n) OVER (PARTITION BY language) AS total,
-    row_number() OVER (PARTITION BY language ORDER BY n DESC, trigram) AS place FROM counts),
+_PROFILE = f"""training AS ({_grams('(SELECT * FROM documents WHERE lang IS NOT NULL)', 'lang', 'text')}),
+counts AS (SELECT lang AS language, bucket, count(*) AS n FROM training GROUP BY ALL),
+totals AS (SELECT language, sum(n) AS total FROM counts GROUP BY 1),
 profile AS (
-  SELECT language, trigram,
+  SELECT language, bucket,
     round(ln(1.0::DOUBLE + (n::DOUBLE / total::DOUBLE) / 5e-5::DOUBLE) * 1000000.0::DOUBLE)::BIGINT AS weight
-  FROM ranked WHERE place <= 20000)"""
+  FROM counts JOIN totals USING (language))"""
 
 
 def _detected(source: str, key: str) -> str:
     return f"""texts AS ({_grams(f'(SELECT * FROM {source} WHERE length(body_text) >= 50)', key, 'body_text')}),
 scores AS (
-  SELECT {key}, language, sum(weight)::BIGINT AS score FROM texts JOIN profile USING (trigram) GROUP BY ALL),
+  SELECT {key}, language, sum(weight)::BIGINT AS score FROM texts JOIN profile USING (bucket) GROUP BY ALL),
 best AS (
   SELECT {key}, language FROM
     (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY score DESC, language) AS rn FROM scores)
@@ -338,7 +339,7 @@ FROM (SELECT doc_id, length(b) AS n, {_words('b')} AS w FROM (SELECT doc_id, {_c
     "language_of_documents": _from(_CLEANED + _detected("cleaned", "doc_id"), "SELECT * FROM detected"),
     "language_by_join": _from(_CLEANED + _detected("cleaned", "doc_id"), "SELECT * FROM detected"),
     "language_scores": _from(_CLEANED + f"""grams AS ({_grams('cleaned', 'doc_id', 'body_text')})""",
-        "SELECT doc_id, language, sum(weight)::BIGINT AS score FROM grams JOIN profile USING (trigram) GROUP BY ALL"),
+        "SELECT doc_id, language, sum(weight)::BIGINT AS score FROM grams JOIN profile USING (bucket) GROUP BY ALL"),
     "language_of_pages": _from(_PAGES + ", " + _PROFILE + ", " + _detected("extracted", "page_id"),
                                "SELECT * FROM detected"),
     "build_collection": _from(_COLLECTION, f"SELECT {_FIELDS} FROM collection"),

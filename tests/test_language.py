@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,30 +25,54 @@ def test_both_ways_agree(spark, profile):
     assert {r.id: r.language for r in L.detect_by_join(docs, "id", "body_text", profile).collect()} == expected
 
 
-def test_trigrams_of_a_text(spark):
+def test_features_of_a_text(spark):
     docs = spark.createDataFrame([(1, "Ab-ab")], ["id", "t"])
-    got = {r.trigram: r.n for r in L.trigram_counts(docs, "id", "t").collect()}
-    assert got == {" ab": 2, "ab ": 2, "b a": 1}
+    got = {r.bucket: r.n for r in L.bucket_counts(docs, "id", "t").collect()}
+
+    def bucket(gram):
+        return sum(step * ord(c) for step, c in zip(L.STEPS, gram)) % L.BUCKETS
+    assert got == {bucket(" ab"): 2, bucket("ab "): 2, bucket("b a"): 1}
 
 
 def test_counts_do_not_depend_on_batches(spark):
     docs = spark.range(500).select(F.lit("en").alias("lang"), F.concat(F.lit(EN), "id").alias("text"))
-    one = L.trigram_counts(docs.coalesce(1), "lang", "text").groupBy("trigram").agg(F.sum("n").alias("n"))
-    many = L.trigram_counts(docs.repartition(7), "lang", "text").groupBy("trigram").agg(F.sum("n").alias("n"))
+    one = L.language_counts(docs.coalesce(1))
+    many = L.language_counts(docs.repartition(7))
     assert sorted(one.collect()) == sorted(many.collect())
 
 
+def test_counts_of_more_texts_are_added(spark):
+    rows = [("en", EN), ("de", DE), (None, "of no language"), ("en", "some more words"), ("fr", "le temps")]
+    texts = spark.createDataFrame(rows, "lang string, text string")
+    parts = [L.language_counts(texts.filter(test)) for test in ("lang = 'en'", "lang <> 'en' or lang is null")]
+    whole = L.learn_profile(texts)
+    assert sorted(L.model_from_counts(L.merged_counts(*parts)).collect()) == sorted(whole.collect())
+    assert {r.language for r in whole.select("language").distinct().collect()} == {"en", "de", "fr"}
+
+
+def test_more_trigrams_than_any_vocabulary(spark):
+    """40,000 characters of a large script make over 30,000 distinct trigrams; all of them are counted."""
+    draw = random.Random(4)
+    han = "".join(chr(draw.randrange(0x4E00, 0x9FA5)) for _ in range(40_000))
+    hangul = "".join(chr(draw.randrange(0xAC00, 0xD7A3)) for _ in range(40_000))
+    model = L.learn_profile(spark.createDataFrame([("zh", han), ("ko", hangul), ("en", EN)], ["lang", "text"]))
+    sizes = {r["language"]: r["n"] for r in model.groupBy("language").agg(F.count("*").alias("n")).collect()}
+    assert 20_000 < sizes["zh"] <= L.BUCKETS and 20_000 < sizes["ko"] <= L.BUCKETS
+    counted = L.language_counts(spark.createDataFrame([("zh", han)], ["lang", "text"])).agg(F.sum("n")).first()[0]
+    assert counted == 40_000
+    docs = spark.createDataFrame([(0, han[100:300]), (1, hangul[700:900]), (2, EN)], "id long, body_text string")
+    expected = {0: "zh", 1: "ko", 2: "en"}
+    assert {r.id: r.language for r in L.with_language(docs, model).collect()} == expected
+    assert {r.id: r.language for r in L.detect_by_join(docs, "id", "body_text", model).collect()} == expected
+
+
+def test_model_joined_without_broadcast(spark, profile, monkeypatch):
+    docs = spark.createDataFrame([(0, EN), (1, DE)], "id long, body_text string")
+    monkeypatch.setattr(L, "BROADCAST_ROWS", 1)
+    assert {r.id: r.language for r in L.detect_by_join(docs, "id", "body_text", profile).collect()} == {0: "en", 1: "de"}
+
+
 def test_detection_keeps_texts_out_of_shuffles(spark, profile):
     docs = spark.range(3).select(F.col("id"), F.lit(EN).alias("body_text"))
     plan = L.with_language(docs, profile)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
-
-
-def test_oversized_profile_is_refused(spark, profile, monkeypatch):
-    docs = spark.range(1).select(F.lit(EN).alias("body_text"))
-    monkeypatch.setattr(L, "MAX_PROFILE_CELLS", 10)
-    with pytest.raises(ValueError):
-        L.with_language(docs, profile)
-    monkeypatch.setattr(L, "MAX_PROFILE_ROWS", 10)
-    with pytest.raises(ValueError):
-        L.with_language(docs, profile)
