@@ -1,12 +1,13 @@
 """Breadth-first crawl over a page snapshot, as rounds of joins.
 
-Two tables describe a site: ``pages`` (url, outcome, link_blocks) and ``edges``
-(src_url, block, pos, dst_url). A round joins the frontier with the pages, writes the
-level in visiting order, and turns the links of accepted pages into the next frontier.
-Levels are written tables in the shared folder, so a lost executor never restarts a crawl.
-
-A page with very many links would make one hot join key, so its edges are cut into
-blocks of positions and joined on (src_url, block).
+Two tables describe a site: ``pages`` (url, outcome, link_blocks), bucketed by URL, and ``edges``
+(src_url, block, pos, dst_url), bucketed by source and block. Visited URLs are a table bucketed by URL that
+every round adds to. A round joins the frontier with the pages, writes the level in visiting order, and
+turns the links of accepted pages into the next frontier: only the frontier and its links move, the
+tables stay where they are. Levels lie in the shared folder, so a lost executor never restarts a crawl.
+
+A page with very many links would make one hot bucket, so its edges are cut into blocks of
+positions and joined on (src_url, block).
 """
 
 from __future__ import annotations
@@ -19,9 +20,11 @@ from pyspark.sql import types as T
 
 from pagemill.functions.urls import normalize_url, url_host
 from pagemill.operators.dedup import keep_first
+from pagemill.operators.enrich import as_documents, enrich
 from pagemill.operators.extract import extract, page_outcome, with_content
 from pagemill.operators.links import extract_links
-from pagemill.session import new_table_path
+from pagemill.operators.profile import collection_stats
+from pagemill.session import bucketed_table, new_table_path
 
 LINKS_PER_BLOCK = 65_536
 _ROWS_PER_PARTITION_BITS = 33
@@ -30,7 +33,6 @@ _POSITIONS = 1 << 40
 LEVEL = T.StructType([
     T.StructField("url", T.StringType()),
     T.StructField("outcome", T.StringType()),
-    T.StructField("link_blocks", T.ArrayType(T.LongType())),
     T.StructField("rank", T.LongType()),
     T.StructField("depth", T.IntegerType()),
 ])
@@ -45,27 +47,25 @@ class Site:
 def site_graph(outcomes: DataFrame, links: DataFrame) -> Site:
     """Site tables from (url, outcome) and (src_url, pos, dst_url).
 
-    Every round reads them, so both are written once to the shared folder.
+    Every round reads them, so both are written once to the shared folder, in buckets.
     """
-    spark, path = links.sparkSession, new_table_path(links.sparkSession, "site")
-    edges = links.select("src_url", F.call_function("div", F.col("pos"), F.lit(LINKS_PER_BLOCK)).alias("block"),
-                         F.col("pos").cast("long").alias("pos"), "dst_url")
-    edges.write.parquet(f"{path}/edges")
-    edges = spark.read.schema(edges.schema).parquet(f"{path}/edges")
+    spark = links.sparkSession
+    edges = spark.table(bucketed_table(
+        links.select("src_url", F.call_function("div", F.col("pos"), F.lit(LINKS_PER_BLOCK)).alias("block"),
+                     F.col("pos").cast("long").alias("pos"), "dst_url"), "edges", "src_url", "block"))
     # A set of block numbers per source: one for every 65,536 link positions.
     blocks = edges.groupBy(F.col("src_url").alias("url")).agg(F.collect_set("block").alias("link_blocks"))
     pages = outcomes.select("url", "outcome").join(blocks, "url", "left")
-    pages.write.parquet(f"{path}/pages")
-    return Site(spark.read.schema(pages.schema).parquet(f"{path}/pages"), edges)
+    return Site(spark.table(bucketed_table(pages, "pages", "url")), edges)
 
 
-def _write_level(level: DataFrame, path: str, ordered: bool) -> DataFrame:
-    """Write a level; in visiting order, ``rank`` grows with ``place`` over all of it."""
+def _add_level(found: DataFrame, depth: int, table: str | None, ordered: bool) -> str:
+    """Add a level to the visited table; in visiting order, ``rank`` grows with ``place`` over all of it."""
     if ordered:
-        level = level.repartitionByRange("place").sortWithinPartitions("place")
-    (level.select("url", "outcome", "link_blocks", F.monotonically_increasing_id().alias("rank"))
-     .write.parquet(path))
-    return level.sparkSession.read.schema(T.StructType(LEVEL.fields[:-1])).parquet(path)
+        found = found.repartitionByRange("place").sortWithinPartitions("place")
+    level = found.select("url", "outcome", "link_blocks", F.monotonically_increasing_id().alias("rank"),
+                         F.lit(depth).alias("depth"))
+    return bucketed_table(level, "visited", "url", partition="depth", into=table)
 
 
 def _accepted_per_part(level: DataFrame) -> list:
@@ -105,6 +105,11 @@ def _next_frontier(site: Site, level: DataFrame, visited: DataFrame) -> DataFram
             .join(visited.select("url"), "url", "left_anti"))
 
 
+def _looked_up(frontier: DataFrame, pages: DataFrame) -> DataFrame:
+    """The frontier with what the site has for each URL; an absent page is a failed fetch."""
+    return frontier.join(pages, "url", "left").withColumn("outcome", F.coalesce("outcome", F.lit("error")))
+
+
 def crawl(site: Site, start_url: str, max_pages: int | None = 100, max_depth: int | None = 3) -> DataFrame:
     """(url, outcome, rank, depth) of every visited URL.
 
@@ -119,14 +124,13 @@ def crawl(site: Site, start_url: str, max_pages: int | None = 100, max_depth: in
 def _visit(site: Site, start_url: str, max_pages: int | None, max_depth: int | None, ordered: bool) -> DataFrame:
     spark = site.pages.sparkSession
     if max_pages is not None and max_pages <= 0:
-        return spark.createDataFrame([], LEVEL).drop("link_blocks")
-    work = new_table_path(spark, "crawl")
+        return spark.createDataFrame([], LEVEL)
     frontier = spark.range(1).select(F.lit(start_url).alias("url"), F.lit(0).alias("place"))
-    left, depth, cut = max_pages, 0, None
+    table, left, depth, cut = None, max_pages, 0, None
     while True:
-        found = frontier.join(site.pages, "url", "left").withColumn(
-            "outcome", F.coalesce("outcome", F.lit("error")))
-        level = _write_level(found, f"{work}/depth={depth}", ordered)
+        table = _add_level(_looked_up(frontier, site.pages), depth, table, ordered)
+        visited = spark.table(table)
+        level = visited.filter(F.col("depth") == depth)
         parts = _accepted_per_part(level)
         accepted = sum(row["accepted"] for row in parts)
         if left is not None and accepted >= left:
@@ -135,9 +139,9 @@ def _visit(site: Site, start_url: str, max_pages: int | None, max_depth: int | N
         if accepted == 0 or (max_depth is not None and depth >= max_depth):
             break
         left = None if left is None else left - accepted
-        frontier = _next_frontier(site, level, spark.read.schema(LEVEL).parquet(work))
+        frontier = _next_frontier(site, level, visited)
         depth += 1
-    visited = spark.read.schema(LEVEL).parquet(work).drop("link_blocks")
+    visited = visited.drop("link_blocks")
     return visited if cut is None else visited.filter((F.col("depth") < depth) | (F.col("rank") <= cut))
 
 
@@ -165,18 +169,19 @@ def snapshot_site(pages: DataFrame, start_url: str, page_id: str = "page_id") ->
     """Site tables of a snapshot (page_id, url, html[, http_status]) and its extracted pages.
 
     Pages are keyed by normalised URL, first copy kept (the start URL's own page before
-    other forms of it); only the start page keeps its raw key. Every page is read once and the extraction is written for the rounds that follow.
+    other forms of it); only the start page keeps its raw key. Every page is read once and the
+    extraction is written for the rounds that follow.
     """
     spark = pages.sparkSession
     status = F.coalesce("http_status", F.lit(200)) if "http_status" in pages.columns else F.lit(200)
     start, start_form = F.lit(start_url), normalize_url(F.lit(start_url))
-    raw = pages.select("url", "html", status.cast("int").alias("http_status"),
-                       F.struct(F.when(F.col("url") == start, 0).otherwise(1).alias("form"),
-                                F.col(page_id).alias("id")).alias("seq"))
-    keyed = raw.withColumn("url", normalize_url(F.col("url")))
+    keyed = pages.select(
+        normalize_url(F.col("url")).alias("key"), "html", status.cast("int").alias("http_status"),
+        F.when(F.col("url") == start, 0).otherwise(1).alias("form"), F.col(page_id).alias("id"))
     # The start is fetched under its raw key and, when linked, again under its normal form.
-    raw_start = keyed.filter((F.col("url") == start_form) & (start != start_form)).withColumn("url", start)
-    once = keep_first(keyed.unionByName(raw_start), "url", "seq").drop("seq")
+    twice = (F.col("key") == start_form) & (start != start_form)
+    once = keep_first(keyed, "key", "form", "id").select(
+        F.explode(F.when(twice, F.array("key", start)).otherwise(F.array("key"))).alias("url"), "html", "http_status")
     path = new_table_path(spark, "site")
     extract(once).write.parquet(f"{path}/pages")
     extracted = spark.read.parquet(f"{path}/pages")
@@ -186,6 +191,25 @@ def snapshot_site(pages: DataFrame, start_url: str, page_id: str = "page_id") ->
     return site_graph(outcomes, extract_links(crawled, url_host(start))), extracted
 
 
+def crawl_documents(visited: DataFrame, extracted: DataFrame, profile: DataFrame | None = None,
+                    fetched_at: Column | None = None) -> DataFrame:
+    """The document rows of a crawl: every accepted visit with its page, at its true depth and status.
+
+    ``visited`` is the result of :func:`crawl` (or :func:`visit_order`, whose ``position`` may then be used
+    in ``fetched_at``), ``extracted`` the second result of :func:`snapshot_site`. Only URLs, depths and
+    positions of the visits are joined to the stored pages.
+    """
+    accepted = visited.filter(F.col("outcome") == "crawled").drop("outcome", "rank").withColumnRenamed("depth", "crawl_depth")
+    return as_documents(enrich(extracted.drop("crawl_depth").join(accepted, "url"), profile, fetched_at))
+
+
+def crawl_report(visited: DataFrame, documents: DataFrame) -> DataFrame:
+    """One row on a finished crawl: its summary by outcome, and the statistics of its documents."""
+    times = documents.groupBy().agg(F.min("fetched_at").alias("started"), F.max("fetched_at").alias("ended"))
+    summary = crawl_summary(visited.crossJoin(F.broadcast(times)), F.col("started"), F.col("ended"))
+    return summary.crossJoin(collection_stats(documents))
+
+
 def crawl_summary(visited: DataFrame, started: Column | None = None, ended: Column | None = None) -> DataFrame:
     """Crawled, skipped and error counts, duration in seconds and pages per second.
 

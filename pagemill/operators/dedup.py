@@ -2,28 +2,60 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.session import new_table_path
 
+# Words of 64 rows with a surplus row that may be broadcast; of more, wide rows are exchanged by their place.
+BROADCAST_WORDS = 1_000_000
+_ROWS_OF_A_WORD = 64
+# Steps that leave every row of a scan where it was.
+_IN_PLACE = {"Project", "Filter", "Relation", "SubqueryAlias", "View"}
 
-def keep_first(rows: DataFrame, key: str, row_id: str) -> DataFrame:
-    """One row per key, the one with the smallest ``row_id``, which is unique within a key.
 
-    Only keys and ids are grouped, with a partial aggregate before the shuffle; they are
-    written once, as a key may be a hash of a long text. The wide rows meet just the list
-    of surplus ids, which is broadcast when copies are few.
+def _placed(rows: DataFrame) -> DataFrame:
+    """The rows with the file and the row number they stand at.
+
+    Parquet scans know both. Rows that come from anywhere else are written first.
+    """
+    steps = {line.lstrip(" :+-").split(" ")[0].split("[")[0] for line in rows._jdf.queryExecution().analyzed().toString().splitlines()}
+    if steps <= _IN_PLACE:
+        try:
+            return rows.select("*", F.col("_metadata.file_path").alias("_place_file"), F.col("_metadata.row_index").alias("_place_row"))
+        except AnalysisException:  # a scan of another format
+            pass
+    path = new_table_path(rows.sparkSession, "rows")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path).select(
+        "*", F.col("_metadata.file_path").alias("_place_file"), F.col("_metadata.row_index").alias("_place_row"))
+
+
+def keep_first(rows: DataFrame, key: str, *order: str) -> DataFrame:
+    """One row per key: the first by ``order``, of equal ones the first by its place in the files.
+
+    Rows without key are no copies of each other and all stay. Only keys, orders and places are grouped
+    and compared; surplus rows are listed as bits by file and row number and dropped where they are scanned,
+    so wide rows are not exchanged while the list is small.
     """
-    spark, path = rows.sparkSession, new_table_path(rows.sparkSession, "keys")
-    rows.select(key, row_id).write.parquet(path)
-    narrow = spark.read.parquet(path)
-    repeated = (narrow.groupBy(key)
-                .agg(F.min(row_id).alias("kept_id"), F.count("*").alias("copies"))
-                .filter("copies > 1"))
-    surplus = (narrow.join(repeated, key)
-               .filter(F.col(row_id) != F.col("kept_id")).select(key, row_id))
-    return rows.join(surplus, [key, row_id], "left_anti")
+    spark, placed = rows.sparkSession, _placed(rows)
+    path = new_table_path(spark, "keys")
+    place = (*order, "_place_file", "_place_row")
+    placed.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.struct(*place).alias("place")).write.parquet(f"{path}/all")
+    narrow = spark.read.parquet(f"{path}/all")
+    first = (narrow.groupBy("key").agg(F.min("place").alias("first"), F.count("*").alias("copies"))
+             .filter("copies > 1").select("key", "first"))
+    row = F.col("place._place_row")
+    (narrow.join(first, "key").filter(F.col("place") != F.col("first"))
+     .groupBy(F.col("place._place_file").alias("_place_file"), F.call_function("div", row, F.lit(_ROWS_OF_A_WORD)).alias("_place_word"))
+     .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(place._place_row % {_ROWS_OF_A_WORD} AS int))")).alias("_place_bits"))
+     .write.parquet(f"{path}/surplus"))
+    surplus = spark.read.schema("_place_file string, _place_word long, _place_bits long").parquet(f"{path}/surplus")
+    listed = F.broadcast(surplus) if surplus.count() <= BROADCAST_WORDS else surplus
+    bit = F.expr(f"shiftright(coalesce(_place_bits, 0L), cast(_place_row % {_ROWS_OF_A_WORD} AS int)) & 1L")
+    return (placed.withColumn("_place_word", F.call_function("div", F.col("_place_row"), F.lit(_ROWS_OF_A_WORD)))
+            .join(listed, ["_place_file", "_place_word"], "left").filter(bit == 0).select(rows.columns))
 
 
 def distinct_urls(rows: DataFrame, key: str, order: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from pagemill.functions import text as tx
 from pagemill.functions.page_rules import content_type
-from pagemill.operators.crawl import Site, site_graph
+from pagemill.operators.crawl import Site, crawl, site_graph, snapshot_site, visit_order
 from pagemill.session import new_table_path
 from pagemill.sources.readers import read_pages, read_table, spread
 
@@ -50,8 +50,7 @@ def collection(spark: SparkSession, sf: str) -> DataFrame:
 def build_collection(spark: SparkSession, sf: str) -> DataFrame:
     """A document collection whose metadata reaches every branch of the filters."""
     key = F.col("doc_id")
-    folder = F.element_at(F.array(*map(F.lit, ("docs", "blog", "product", "wiki", "catalogue"))),
-                          (key % 5 + 1).cast("int"))
+    folder = F.element_at(F.array(*map(F.lit, FOLDERS)), (key % 5 + 1).cast("int"))
     rows = documents(spark, sf).select(
         key.alias("doc_ord"),
         F.concat(F.lit("https://"), F.col("source"), F.lit(".example.org/"), folder, F.lit("/"), key).alias("url"),
@@ -130,6 +129,70 @@ def shop_site(spark: SparkSession, sf: str) -> tuple[Site, str]:
     return site_graph(shop_pages(spark, sf), shop_links(spark, sf)), f"{SHOP}/p/{first}"
 
 
+ARCHIVE = "https://archive.example.net"
+FOLDERS = ("docs", "blog", "product", "wiki", "catalogue")
+
+
+def _archive_path(key):
+    return F.concat(F.lit("/"), F.element_at(F.array(*map(F.lit, FOLDERS)), (key % 5 + 1).cast("int")), F.lit("/"), key.cast("string"))
+
+
+def archive_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """(page_id, url, html, http_status): a page of every document, whose links lead to other such pages.
+
+    Page k links to pages 4k + 1 to 4k + 4, each in another form, and back to page k div 3. Titles,
+    regions, code, boilerplate and statuses go through every rule of the page reader by k.
+    """
+    k = F.col("doc_id")
+
+    def choose(value, *cases):
+        picked = F.when(value == 0, F.lit(cases[0]) if isinstance(cases[0], str) else cases[0])
+        for number, case in enumerate(cases[1:], 1):
+            picked = picked.when(value == number, F.lit(case) if isinstance(case, str) else case)
+        return picked
+
+    def text(*parts):
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+
+    body = F.coalesce(tx.clean_text(F.col("text")), F.lit(""))
+    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        body = F.replace(body, F.lit(char), F.lit(entity))
+    head = choose(k % 6, text("<title>Archive ", k, "</title>"), "<title></title>", "",
+                  text('<meta property="og:title" content=" Shared ', k, ' ">'), "", text("<title>Two \n words &amp; ", k, "</title>"))
+    heading = F.when(k % 6 == 1, text("<h1> Heading <b>", k, "</b></h1>")).when(k % 6 == 2, text("<h1>Guide to ", k, "</h1>")).otherwise("")
+    code = F.when(k % 8 == 0, text("<pre>code ", k, "</pre>")).when(k % 8 == 1, text("<p>``` ", k, "</p>")).when(
+        k % 8 == 2, F.lit("<nav><code>x</code></nav>")).otherwise("")
+
+    def link(number: int):
+        child = k * 4 + number
+        path = _archive_path(child)
+        href = (text(ARCHIVE, path), text(path, "#part"), text("..", path), text("//archive.example.net", path, ";v=1"))[number - 1]
+        label = F.when(k % 11 == 3, text("read the long story of page ", child, " in the archive")).otherwise(text("page ", child))
+        return text('<a href="', href, '">', label, "</a>\n")
+
+    back = text('<a href="', _archive_path(F.floor(k / 3).cast("long")), '/">back</a>')
+    main = text('<aside id="sidebar">aside</aside><script>var a = "<p>";</script><style>p {}</style>', heading, "<p>", body, "</p>", code,
+                *[link(n) for n in (1, 2, 3, 4)], back)
+    before = '<nav class="navbar"><a href="/login">Log in</a></nav><div class="banner-ad">banner</div>'
+    after = text('<footer class="site-footer"><a href="https://other.example.org/', k, '">elsewhere</a></footer>')
+    plain = text("<body>", before, main, after, "</body>")
+    region = choose(
+        k % 7, text("<body>", before, "<main>", main, "</main>", after, "</body>"),
+        text("<body>", before, '<div class="Page-Content wide">', main, "</div>", after, "</body>"),
+        text("<body>", before, '<div id="the-main">', main, "</div>", after, "</body>"), plain, text(before, main, after),
+        text("<body>", before, '<div class="outer"><div class="site-main-content">', main, "</div></div>", after, "</body>"), plain)
+    status = F.when(k % 17 == 5, 404).when(k % 13 == 4, 203).otherwise(200)
+    return documents(spark, sf).select(k.alias("page_id"), text(ARCHIVE, _archive_path(k)).alias("url"),
+                                       text(head, region).alias("html"), status.alias("http_status"))
+
+
+def archive_crawl(spark: SparkSession, sf: str, **limits) -> tuple[DataFrame, DataFrame]:
+    """Ordered visits of the archive from page 0 on, and its extracted pages."""
+    start = f"{ARCHIVE}/{FOLDERS[0]}/0"
+    site, extracted = snapshot_site(archive_pages(spark, sf), start)
+    return visit_order(crawl(site, start, **limits)), extracted
+
+
 def fetch_log(events: DataFrame) -> DataFrame:
     """Events read as fetches: when, with which outcome, of which (normalisable) URL."""
     kind = F.col("event_type")

@@ -242,8 +242,8 @@ site AS (
 start AS (SELECT 'https://shop.example.com/p/' || min(p_partkey) AS url FROM part WHERE p_size >= 10)"""
 
 
-def _levels(depth: int) -> str:
-    ctes = [_SHOP, """level0 AS MATERIALIZED (
+def _levels(depth: int, site: str = _SHOP) -> str:
+    ctes = [site, """level0 AS MATERIALIZED (
   SELECT start.url, coalesce(outcome, 'error') AS outcome, 0 AS depth, 1::BIGINT AS rank FROM start LEFT JOIN site USING (url))"""]
     for d in range(1, depth + 1):
         seen = " UNION ALL ".join(f"SELECT url FROM level{i}" for i in range(d))
@@ -257,6 +257,53 @@ level{d} AS MATERIALIZED (
     return ",\n".join(ctes) + f",\nvisits AS ({every})"
 
 
+# The archive: what was put on every page, instead of what its html reads like.
+
+_ARCHIVE = f"""archive AS (
+  SELECT doc_id AS k, 'https://archive.example.net/' || ['docs','blog','product','wiki','catalogue'][(doc_id % 5 + 1)::INT] || '/' || doc_id AS url,
+    CASE WHEN doc_id % 17 = 5 THEN 404 WHEN doc_id % 13 = 4 THEN 203 ELSE 200 END AS http_status,
+    CASE doc_id % 6 WHEN 0 THEN 'Archive ' || doc_id WHEN 1 THEN 'Heading' || doc_id WHEN 2 THEN 'Guide to ' || doc_id
+      WHEN 3 THEN 'Shared ' || doc_id WHEN 4 THEN 'Untitled' ELSE 'Two ' || chr(10) || ' words & ' || doc_id END AS title,
+    list_transform(range(1, 5), lambda j: CASE WHEN doc_id % 11 = 3 THEN 'read the long story of page ' || (4 * doc_id + j) || ' in the archive'
+      ELSE 'page ' || (4 * doc_id + j) END) || ['back'] AS labels,
+    concat_ws(' ',
+      CASE WHEN doc_id % 7 = 4 AND doc_id % 6 = 0 THEN 'Archive ' || doc_id WHEN doc_id % 7 = 4 AND doc_id % 6 = 5 THEN 'Two words & ' || doc_id END,
+      CASE WHEN doc_id % 7 IN (3, 4, 6) THEN 'banner' END,
+      CASE doc_id % 6 WHEN 1 THEN 'Heading ' || doc_id WHEN 2 THEN 'Guide to ' || doc_id END, nullif({_clean("coalesce(text, '')")}, ''),
+      CASE doc_id % 8 WHEN 0 THEN 'code ' || doc_id WHEN 1 THEN '``` ' || doc_id END, array_to_string(labels, ' ')) AS body_text,
+    doc_id % 8 IN (0, 1) AS has_code_blocks, length(array_to_string(labels, ' ')) AS link_text_len
+  FROM documents),
+read AS (
+  SELECT *, link_text_len::DOUBLE / greatest(length(body_text), 1)::DOUBLE AS link_ratio,
+    CASE WHEN http_status >= 400 THEN 'error' WHEN length(body_text) < 100 THEN 'skipped' ELSE 'crawled' END AS outcome
+  FROM archive),
+site AS (SELECT url, outcome FROM read),
+links AS (
+  SELECT url AS src_url, pos, 'https://archive.example.net/' || ['docs','blog','product','wiki','catalogue'][(target % 5 + 1)::INT] || '/' || target AS dst_url
+  FROM (SELECT url, unnest(range(1, 6)) AS pos, unnest([4 * k + 1, 4 * k + 2, 4 * k + 3, 4 * k + 4, k // 3]) AS target FROM read)),
+edges AS (SELECT * FROM links),
+start AS (SELECT 'https://archive.example.net/docs/0' AS url)"""
+
+
+def _crawled_documents(levels: int, pages: int | None) -> str:
+    words = _words("body_text")
+    kept = "true" if pages is None else f"before < {pages}"
+    return _levels(levels, _ARCHIVE) + f""",
+placed AS (SELECT *, row_number() OVER (ORDER BY depth, rank) - 1 AS position,
+  count(*) FILTER (outcome = 'crawled') OVER (ORDER BY depth, rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+    - (outcome = 'crawled')::INT AS before FROM visits),
+visited AS (SELECT * FROM placed WHERE {kept}),
+accepted AS (SELECT a.*, v.depth, v.position FROM visited v JOIN read a USING (url) WHERE v.outcome = 'crawled'),
+{_PROFILE}, {_detected("accepted", "k")},
+crawled AS (
+  SELECT url, title, body_text, {_FIRST_FETCH} + position AS fetched_at, {_content_type('link_ratio')} AS content_type,
+    ({words})::BIGINT AS word_count, length(body_text) AS char_count, language,
+    {_py_round(f"({words})", '200', 2)} AS estimated_read_time_minutes, has_code_blocks,
+    {_py_round('link_text_len', 'greatest(length(body_text), 1)', 3)} AS link_density, 1::BIGINT AS paragraph_count,
+    http_status, depth AS crawl_depth
+  FROM accepted JOIN detected USING (k))"""
+
+
 _EVENTS = """log AS (SELECT ts AS fetched_at, CASE event_type WHEN 'error' THEN 'error' WHEN 'signup' THEN 'skipped'
   ELSE 'crawled' END AS outcome, 'https://shop.example.com/u/' || user_id || '/' || event_type AS url FROM events)"""
 
@@ -442,6 +489,21 @@ found AS (SELECT dst_url, min(pos) AS p FROM first GROUP BY 1)""",
         """SELECT url, 0 AS depth, 'crawled' AS outcome, 0 AS position FROM pages WHERE page_id = (SELECT min(page_id) FROM pages)
 UNION ALL
 SELECT dst_url, 1, 'error', row_number() OVER (ORDER BY p) FROM found"""),
+    "crawl_documents": _from(_crawled_documents(3, 100), f"SELECT {_FIELDS} FROM crawled"),
+    "crawl_report": _from(_crawled_documents(16, None), """SELECT pages_crawled, pages_skipped, errors, duration_seconds,
+  pages_crawled / duration_seconds AS pages_per_second, total_words, avg_words_per_page, languages, content_types
+FROM (SELECT count(*) FILTER (outcome = 'crawled') AS pages_crawled, count(*) FILTER (outcome = 'skipped') AS pages_skipped,
+        count(*) FILTER (outcome = 'error') AS errors FROM visited),
+  (SELECT (max(fetched_at) - min(fetched_at))::DOUBLE AS duration_seconds, sum(word_count)::BIGINT AS total_words,
+     (sum(word_count) // count(*))::BIGINT AS avg_words_per_page FROM crawled),
+  (SELECT string_agg(language, ',' ORDER BY language) AS languages FROM (SELECT DISTINCT language FROM crawled)),
+  (SELECT string_agg(k || '=' || n, ',' ORDER BY k) AS content_types FROM
+    (SELECT content_type AS k, count(*) AS n FROM crawled GROUP BY 1))"""),
+    "archive_pages": _from(_ARCHIVE, """SELECT k AS page_id, title, body_text, has_code_blocks, link_text_len, link_ratio,
+  7 AS n_links, outcome FROM read"""),
+    "archive_boilerplate": _from(_ARCHIVE, """SELECT k AS page_id, unnest(['nav', 'div', 'aside', 'script', 'style', 'footer']) AS tag,
+  unnest([CASE WHEN k % 8 = 2 THEN 2 ELSE 1 END, 1, 1, 1, 1, 1])::BIGINT AS n FROM read"""),
+    "archive_links": _from(_ARCHIVE, "SELECT src_url, pos::BIGINT AS pos, dst_url FROM links"),
     "crawl_summary": _from(_EVENTS, """SELECT *, pages_crawled / duration_seconds AS pages_per_second FROM
   (SELECT count(*) FILTER (outcome = 'crawled') AS pages_crawled, count(*) FILTER (outcome = 'skipped') AS pages_skipped,
      count(*) FILTER (outcome = 'error') AS errors,

@@ -456,6 +456,49 @@ def crawl_snapshot(spark, sf):
     return crawl.visit_order(crawl.crawl(site, start)).select("url", "depth", "outcome", "position")
 
 
+def _position_time():
+    return F.timestamp_seconds(F.lit(inputs.FIRST_FETCH) + F.col("position"))
+
+
+@query
+def crawl_documents(spark, sf):
+    """The documents of a crawl of the archive with the default limits, at their depth and status."""
+    visited, extracted = inputs.archive_crawl(spark, sf)
+    return _flat(crawl.crawl_documents(visited, extracted, _profile(spark, sf), _position_time()))
+
+
+@query
+def crawl_report(spark, sf):
+    """Summary and document statistics of a crawl of all that can be reached in the archive."""
+    visited, extracted = inputs.archive_crawl(spark, sf, max_pages=None, max_depth=None)
+    docs = crawl.crawl_documents(visited, extracted, _profile(spark, sf), _position_time())
+    return crawl.crawl_report(visited, docs).select(
+        "pages_crawled", "pages_skipped", "errors", "duration_seconds", "pages_per_second", "total_words",
+        "avg_words_per_page", F.array_join("languages", ",").alias("languages"), _map_text("content_types"))
+
+
+@query
+def archive_pages(spark, sf):
+    """What the page reader finds on pages that go through all of its rules."""
+    return extract(inputs.archive_pages(spark, sf)).select(
+        "page_id", "title", "body_text", "has_code_blocks", "link_text_len", "link_ratio", F.size("hrefs").alias("n_links"),
+        page_outcome(F.col("http_status"), F.col("body_text"), F.col("error")).alias("outcome"))
+
+
+@query
+def archive_boilerplate(spark, sf):
+    """Boilerplate elements by tag, class and id."""
+    found = extract(inputs.archive_pages(spark, sf), links=False, elements=True).select("page_id", F.inline("elements"))
+    return (found.filter(is_boilerplate(F.col("tag"), F.col("css_class"), F.col("element_id")))
+            .groupBy("page_id", "tag").agg(F.count("*").alias("n")))
+
+
+@query
+def archive_links(spark, sf):
+    """Links in all forms: absolute, rooted, relative, without scheme, with fragment and parameters."""
+    return extract_links(extract(inputs.archive_pages(spark, sf)))
+
+
 @query
 def crawl_summary(spark, sf):
     log = inputs.fetch_log(readers.read_table(spark, sf, "events"))

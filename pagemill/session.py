@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # One html row can be megabytes, so Arrow batches are kept short.
 SESSION_CONF = {
@@ -70,3 +70,21 @@ def ship_package(spark: SparkSession) -> None:
 def new_table_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other run uses."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def bucketed_table(frame: DataFrame, name: str, *columns: str, partition: str | None = None, into: str | None = None) -> str:
+    """Write rows as a table bucketed by ``columns``, or add them to the table ``into``; its name.
+
+    There are as many buckets as shuffle partitions, so a join or grouping by these columns meets shuffled
+    rows bucket by bucket and the table itself never moves again. Each bucket is written by one task.
+    """
+    spark = frame.sparkSession
+    number = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = into or f"{name}_{uuid.uuid4().hex}"
+    writer = frame.repartition(number, *columns).write.format("parquet").bucketBy(number, *columns)
+    if partition:
+        writer = writer.partitionBy(partition)
+    if into is None:
+        writer = writer.option("path", new_table_path(spark, name))
+    writer.mode("append" if into else "error").saveAsTable(table)
+    return table
