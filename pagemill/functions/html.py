@@ -7,7 +7,7 @@ the region without its boilerplate" is a walk over spans rather than over a tree
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from html import unescape
 from html.entities import html5
 from html.parser import HTMLParser
@@ -23,6 +23,7 @@ VOID_TAGS = frozenset(
 SILENT_TAGS = frozenset(("script", "style", "template", "rt", "rp"))
 VERBATIM_TAGS = frozenset(("pre", "textarea"))
 
+# What marks a main region by class or id.
 _MAIN_CLASS = re.compile(r"page.*content|main.*content|site.*content|container.*page", re.I)
 _MAIN_ID = re.compile(r"content|main", re.I)
 _ENTITIES = {name.rstrip(";"): text for name, text in html5.items()}
@@ -125,36 +126,56 @@ class PageReader(HTMLParser):
             self._markup(data)
 
 
-def _inside(reader, element):
-    """Strings that count as page text within an element."""
-    return [text for at, text, is_text in reader.strings
-            if is_text and element.start <= at < element.end]
+class Spans:
+    """Where elements and strings of a page begin, for questions about what lies inside an element.
 
+    Both are in document order, so the elements of a span are a run of the list, and so are its strings.
+    """
 
-def _single_string(reader, element):
-    """The element's only string, looking through only-child elements; None otherwise."""
-    while True:
-        nested = [e for e in reader.elements if element.start < e.start < element.end]
-        strings = [(at, text) for at, text, _ in reader.strings if element.start <= at < element.end]
-        if not nested:
-            return strings[0][1] if len(strings) == 1 else None
-        child = nested[0]
-        outside = [at for at, _ in strings if not child.start <= at < child.end]
-        if outside or any(e.start >= child.end for e in nested):
-            return None
-        element = child
+    def __init__(self, reader):
+        self.reader = reader
+        self.starts = [e.start for e in reader.elements]
+        self.places = [at for at, _, _ in reader.strings]
 
+    def elements_in(self, element):
+        """(first, end) of the elements that begin inside the element, without itself."""
+        return bisect_right(self.starts, element.start), bisect_left(self.starts, element.end)
 
-def page_title(reader):
+    def strings_in(self, element):
+        return bisect_left(self.places, element.start), bisect_left(self.places, element.end)
+
+    def text_of(self, element):
+        """Strings that count as page text within an element."""
+        first, end = self.strings_in(element)
+        return [text for _, text, is_text in self.reader.strings[first:end] if is_text]
+
+    def single_string(self, element):
+        """The element's only string, looking through only-child elements; None otherwise.
+
+        A level costs a few searches, so deep nesting costs no more than wide.
+        """
+        strings = self.strings_in(element)
+        while True:
+            first, end = self.elements_in(element)
+            if first == end:
+                return self.reader.strings[strings[0]][1] if strings[1] - strings[0] == 1 else None
+            child = self.reader.elements[first]
+            # Nothing may begin behind the first child, and no string may stand outside it.
+            if bisect_left(self.starts, child.end) < end or self.strings_in(child) != strings:
+                return None
+            element = child
+
+
+def page_title(reader, spans):
     first = {}
     for element in reader.elements:
         first.setdefault(element.tag, element)
     if "title" in first:
-        text = _single_string(reader, first["title"])
+        text = spans.single_string(first["title"])
         if text:
             return text.strip()
     if "h1" in first:
-        return "".join(t.strip() for t in _inside(reader, first["h1"]))
+        return "".join(t.strip() for t in spans.text_of(first["h1"]))
     for element in reader.elements:
         if element.tag == "meta" and element.attrs.get("property") == "og:title":
             if element.attrs.get("content"):
@@ -211,7 +232,7 @@ def read_page(html, elements=True):
     upto = [0, *accumulate(len(t) for _, t in texts)]
     anchors = [upto[bisect_left(places, a.end)] - upto[bisect_left(places, a.start)] for a in kept if a.tag == "a"]
     return {
-        "title": page_title(reader),
+        "title": page_title(reader, Spans(reader)),
         "body_text": " ".join(" ".join(t for _, t in texts).split()),
         "has_code_tag": any(e.tag in ("code", "pre") for e in kept),
         "link_text_len": sum(anchors) + max(0, len(anchors) - 1),

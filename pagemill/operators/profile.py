@@ -64,11 +64,14 @@ def _word_stats(histogram: DataFrame) -> DataFrame:
             .filter("total_docs > 0"))
 
 
-def collection_profile(docs: DataFrame, order: str = "doc_ord") -> DataFrame:
-    """(section, metric, value, pct, first_seen): the whole profile from one scan.
+COUNTS = ("section string, label string, words long, n long, first_seen long, high_link long, has_code long, clean long")
+_FLAGS = ("high_link", "has_code", "clean")
+
+
+def profile_counts(docs: DataFrame, order: str = "doc_ord") -> DataFrame:
+    """What a profile needs of some documents, as a small table of COUNTS; those of several parts can be merged.
 
     Every document is counted under its language, its type and its word count at once.
-    The partial counts are tiny, and the overview comes from the word-count group.
     """
     flags = {
         "high_link": F.coalesce("link_density", F.lit(0.0)) > 0.3,
@@ -91,15 +94,34 @@ def collection_profile(docs: DataFrame, order: str = "doc_ord") -> DataFrame:
                .groupBy("e.section", "e.label", "e.words")
                .agg(F.count("*").alias("n"), F.min("ord").alias("first_seen"),
                     *[F.sum(n).alias(n) for n in flags]))
+    return grouped.select("section", "label", "words", "n", F.col("first_seen").cast("long").alias("first_seen"), *_FLAGS)
+
+
+def merged_counts(*counts: DataFrame) -> DataFrame:
+    """The counts of all parts together; new documents are counted without a second scan of the old ones."""
+    whole = counts[0]
+    for more in counts[1:]:
+        whole = whole.unionByName(more)
+    return whole.groupBy("section", "label", "words").agg(
+        F.sum("n").alias("n"), F.min("first_seen").alias("first_seen"), *[F.sum(name).alias(name) for name in _FLAGS])
+
+
+def collection_profile(docs: DataFrame, order: str = "doc_ord") -> DataFrame:
+    """(section, metric, value, pct, first_seen): the whole profile from one scan."""
+    return profile_of_counts(profile_counts(docs, order))
+
+
+def profile_of_counts(counts: DataFrame) -> DataFrame:
+    """The profile of :func:`profile_counts`, be they of one scan or merged; the median is exact either way."""
     total = F.sum("n")
     word_total = F.sum(F.col("words") * F.col("n"))
-    merged = (grouped.groupBy("section", "label")
+    merged = (counts.groupBy("section", "label")
               .agg(total.alias("n"), F.min("first_seen").alias("first_seen"),
                    word_total.alias("word_total"), F.min("words").alias("low"), F.max("words").alias("high"),
                    (word_total.cast("double") / total.cast("double")).alias("mean"),
                    F.percentile("words", 0.5, F.col("n")).alias("median"),
                    F.sum(F.when(F.col("words") < 100, F.col("n")).otherwise(0)).alias("thin"),
-                   *[F.sum(n).alias(n) for n in flags]))
+                   *[F.sum(name).alias(name) for name in _FLAGS]))
 
     def line(section: str, metric: Column | str, value: Column, pct: Column | None = None,
              seen: Column | None = None) -> Column:

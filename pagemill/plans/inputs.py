@@ -12,14 +12,20 @@ from pagemill.functions import text as tx
 from pagemill.functions.page_rules import content_type
 from pagemill.operators.crawl import Site, crawl, site_graph, snapshot_site, visit_order
 from pagemill.session import new_table_path
-from pagemill.sources.readers import read_pages, read_table, spread
+from pagemill.sources.readers import read_pages, read_table
 
 FIRST_FETCH = 1735689600  # 2025-01-01T00:00:00Z
 SHOP = "https://shop.example.com"
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan of fewer splits than cores over all cores: reading pages and texts is work of the processor."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def pages(spark: SparkSession, sf: str) -> DataFrame:
-    return read_pages(spark, f"{sf}/pages.parquet")
+    return spread(read_pages(spark, f"{sf}/pages.parquet"))
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:

@@ -305,7 +305,8 @@ crawled AS (
 
 
 _EVENTS = """log AS (SELECT ts AS fetched_at, CASE event_type WHEN 'error' THEN 'error' WHEN 'signup' THEN 'skipped'
-  ELSE 'crawled' END AS outcome, 'https://shop.example.com/u/' || user_id || '/' || event_type AS url FROM events)"""
+  ELSE 'crawled' END AS outcome, 'https://shop.example.com/u/' || user_id || '/' || event_type AS url,
+  'https://shop.example.com/u/' || user_id || '/' || event_type || '/#e' || event_id AS full_url FROM events)"""
 
 _IMPERFECT = _COLLECTION + """,
 imperfect AS (
@@ -447,6 +448,7 @@ FROM (SELECT count(*) AS total_docs, count(*) FILTER (coalesce(link_density, 0)
   count(*) FILTER (coalesce(word_count, 0) < 100) AS thin,
   count(*) FILTER (coalesce(has_code_blocks, false)) AS has_code, count(*) FILTER ({_CLEAN}) AS clean FROM gaps)"""),
     "collection_profile": _collection_profile(),
+    "profile_by_increments": _collection_profile(),
     "training_audit": _from(_COLLECTION + """,
 flags AS (SELECT count(*) AS total_docs, count(DISTINCT content_type) AS types, count(DISTINCT language) AS langs,
   count(*) FILTER (word_count < 50) AS thin, count(*) FILTER (link_density > 0.5) AS nav FROM collection),
@@ -512,6 +514,10 @@ FROM (SELECT count(*) FILTER (outcome = 'crawled') AS pages_crawled, count(*) FI
   WHEN length(body_text) < 100 THEN 'skipped' ELSE 'crawled' END AS outcome, count(*) AS n FROM extracted GROUP BY 1"""),
     "stream_documents": "WITH " + _PAGE_DOCUMENTS,
     "stream_first_urls": _from(_EVENTS, "SELECT DISTINCT url AS url_norm FROM log"),
+    "stream_first_fetches": _from(_EVENTS, """SELECT url_day, epoch_us(fetched_at) AS fetched_at, outcome, full_url AS url FROM (
+  SELECT *, row_number() OVER (PARTITION BY url_day ORDER BY fetched_at, full_url) AS rn
+  FROM (SELECT *, url || '/' || strftime(fetched_at, '%Y-%m-%d') AS url_day FROM log))
+WHERE rn = 1 AND fetched_at + INTERVAL 1 DAY < (SELECT max(fetched_at) FROM log) - INTERVAL 5 MINUTE"""),
     "stream_crawl_rate": _from(_EVENTS, """SELECT epoch(w)::BIGINT AS window_start, epoch(w)::BIGINT + 60 AS window_end, outcome, n
 FROM (SELECT date_trunc('minute', fetched_at) AS w, outcome, count(*) AS n FROM log GROUP BY ALL)
 WHERE w + INTERVAL 1 MINUTE <= (SELECT max(fetched_at) FROM log) - INTERVAL 5 MINUTE"""),

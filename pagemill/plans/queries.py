@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -338,7 +339,7 @@ def url_dedup(spark, sf):
 
 @query
 def keep_first_page(spark, sf):
-    pages = inputs.pages(spark, sf).withColumn("url_norm", urls.normalize_url(F.col("url")))
+    pages = readers.read_pages(spark, f"{sf}/pages.parquet").withColumn("url_norm", urls.normalize_url(F.col("url")))
     return dedup.keep_first(pages, "url_norm", "page_id").select("page_id", "url_norm", F.length("html").alias("html_chars"))
 
 
@@ -407,6 +408,17 @@ def collection_profile(spark, sf):
     return profile.collection_profile(inputs.collection_with_gaps(spark, sf))
 
 
+@query
+def profile_by_increments(spark, sf):
+    """The profile of a collection that arrived in three parts, from the stored counts of each."""
+    docs, stored = inputs.collection_with_gaps(spark, sf), []
+    for part in range(3):
+        path = new_table_path(spark, "profile-counts")
+        profile.profile_counts(docs.filter(F.col("doc_ord") % 3 == part)).write.parquet(path)
+        stored.append(spark.read.schema(profile.COUNTS).parquet(path))
+    return profile.profile_of_counts(profile.merged_counts(*stored))
+
+
 @query
 def training_audit(spark, sf):
     return profile.training_audit(inputs.collection(spark, sf)).select(
@@ -540,6 +552,15 @@ def stream_first_urls(spark, sf):
     return _drain(spark, fresh.select("url_norm"), "stream-urls")
 
 
+@query
+def stream_first_fetches(spark, sf):
+    """The first fetch of every URL and day, once a day has passed after it."""
+    day = F.concat(urls.normalize_url(F.col("url")), F.lit("/"), F.date_format("fetched_at", "yyyy-MM-dd"))
+    rows = _fetch_stream(spark, sf).select(day.alias("url_day"), "fetched_at", "outcome", "url")
+    firsts = ingest.stream_first_rows(rows, "url_day", "fetched_at", "url", horizon=dt.timedelta(days=1))
+    return _drain(spark, firsts, "stream-firsts").select("url_day", F.unix_micros("fetched_at").alias("fetched_at"), "outcome", "url")
+
+
 @query
 def stream_crawl_rate(spark, sf):
     rates = _drain(spark, ingest.crawl_rate(_fetch_stream(spark, sf)), "stream-rate")

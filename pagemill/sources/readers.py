@@ -9,12 +9,6 @@ from pyspark.sql import types as T
 from pagemill.schema import DOCUMENT
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Spread a plain scan that has fewer splits than cores; larger scans stay unshuffled."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -26,22 +20,40 @@ def load_collection(spark: SparkSession, path: str, schema: T.StructType = DOCUM
 
 
 def load_documents(spark: SparkSession, path: str, schema: T.StructType = DOCUMENT) -> DataFrame:
-    """JSON Lines when the first line is a JSON object, else whole-file JSON (array or object)."""
-    first = spark.read.text(path).filter(F.trim("value") != "").limit(1).collect()
-    whole_object = first and _parses(spark, first[0]["value"])
+    """A file or folder of JSON, each file as JSON Lines or as whole-file JSON (array or object).
+
+    A file is JSON Lines when its first line that is not blank is a JSON object of its own. That is decided
+    file by file inside the tasks; only names and kinds come to the driver. Blank files hold no rows.
+    """
+    kinds = _json_kinds(spark, path).collect()
     reader = spark.read.schema(schema).option("mode", "FAILFAST")
-    if not first or whole_object:
-        return reader.json(path)
-    return reader.option("multiLine", True).json(path)
+    by_lines, whole = ([r["file"] for r in kinds if r["by_lines"] == kind] for kind in (True, False))
+    parts = ([reader.json(by_lines)] if by_lines else []) + ([reader.option("multiLine", True).json(whole)] if whole else [])
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _json_kinds(spark: SparkSession, path: str) -> DataFrame:
+    """(file, by_lines) of every file with text: does its first non-blank line parse as an object?
 
+    The first lines are found by their numbers; only they are read as JSON.
+    """
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line")).filter(F.trim("value") != "")
+    # Lines of one block are numbered in order; of a file's blocks the first with text counts.
+    per_block = lines.groupBy("file", "block").agg(F.min("line").alias("line"))
+    firsts = per_block.groupBy("file").agg(F.min("block").alias("block")).join(per_block, ["file", "block"])
+    is_object = F.startswith(F.ltrim("value"), F.lit("{")) & F.try_parse_json("value").isNotNull()
+    return lines.join(F.broadcast(firsts), ["file", "block", "line"]).select("file", is_object.alias("by_lines"))
 
-def _parses(spark: SparkSession, line: str) -> bool:
-    probe = spark.range(1).select(F.try_parse_json(F.lit(line)).alias("v"))
-    return line.lstrip().startswith("{") and probe.first()["v"] is not None
 
+def read_pages(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
+    """Page snapshot (url, html[, http_status]); a missing status becomes 200.
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Page snapshot (url, html[, http_status]); a missing status becomes 200."""
+    ``partitions`` spreads a small scan over that many tasks; without it the pages stay where they are.
+    """
     pages = spark.read.parquet(path)
     status = F.coalesce("http_status", F.lit(200)) if "http_status" in pages.columns else F.lit(200)
-    return spread(pages).withColumn("http_status", status.cast("int"))
+    return (pages.repartition(partitions) if partitions else pages).withColumn("http_status", status.cast("int"))

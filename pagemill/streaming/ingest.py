@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from pagemill.operators.enrich import enrich
 from pagemill.operators.extract import extract, with_content
@@ -70,6 +72,79 @@ def _one_per_batch(rows: DataFrame, key: str, event_time: str | None) -> DataFra
     return rows.mapInArrow(thin, rows.schema)
 
 
+class _FirstRow(StatefulProcessor):
+    """Holds the earliest row of a key until the horizon has passed after it, then hands it on and forgets it.
+
+    Times are microseconds, in the rows as in the state.
+    """
+
+    def __init__(self, schema: T.StructType, order: tuple[str, ...], horizon: dt.timedelta):
+        self.schema, self.order, self.horizon = schema, order, horizon // dt.timedelta(microseconds=1)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.first = handle.getValueState("first", self.schema)
+
+    def _held(self) -> Row | None:
+        return Row(*self.schema.names)(*self.first.get()) if self.first.exists() else None
+
+    def _place(self, row: Row) -> tuple:
+        return tuple((row[name] is not None, 0 if row[name] is None else row[name]) for name in self.order)
+
+    def _ends(self, row: Row) -> int:
+        """When a row is handed on, in milliseconds."""
+        return (row[self.order[0]] + self.horizon) // 1000
+
+    def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
+        held = best = self._held()
+        for row in rows:
+            if best is None or self._place(row) < self._place(best):
+                best = row
+        if best is not held:
+            self.first.update(tuple(best[name] for name in self.schema.names))
+            if held is not None:
+                self.handle.deleteTimer(self._ends(held))
+            self.handle.registerTimer(self._ends(best))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
+        held = self._held()
+        if held is not None and self._ends(held) == expiredTimerInfo.getExpiryTimeInMs():
+            self.first.clear()
+            yield held
+
+    def close(self) -> None:
+        pass
+
+
+def stream_first_rows(rows: DataFrame, key: str, event_time: str, *order: str, horizon: dt.timedelta,
+                      lateness: str = "5 minutes") -> DataFrame:
+    """The earliest row of every key, whole, ties by ``order``: what a batch's keep-first returns.
+
+    A row is handed on when the watermark, ``lateness`` behind the newest row, has passed its time by the
+    horizon; until then an earlier row that arrives later takes its place. Rows of the key that come meanwhile are
+    repeats; after that the key is forgotten, so state is bounded. Rows older than the watermark are late and
+    dropped. Rows without key or time are not passed on. Of each Arrow batch only a key's earliest
+    row reaches its state, so a key that fills a third of the stream stays cheap.
+    """
+    ship_package(rows.sparkSession)
+    present = rows.filter(F.col(key).isNotNull() & F.col(event_time).isNotNull())
+    sort = [(event_time, "ascending"), *[(name, "ascending") for name in order]]
+
+    def thin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = pc.sort_indices(batch, sort_keys=sort, null_placement="at_start")
+            keys = batch.column(batch.schema.get_field_index(key)).take(places).to_pandas()
+            yield batch.take(places.filter(pa.array(~keys.duplicated().to_numpy())))
+
+    times = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.TimestampType)]
+    in_micros = T.StructType([T.StructField(f.name, T.LongType() if f.name in times else f.dataType) for f in rows.schema.fields])
+    counted = (present.mapInArrow(thin, rows.schema).withColumn("_event_time", F.col(event_time)).withWatermark("_event_time", lateness)
+               .withColumns({name: F.unix_micros(name) for name in times}))
+    firsts = counted.groupBy(key).transformWithState(_FirstRow(in_micros, (event_time, *order), horizon), in_micros, "Append", "EventTime")
+    return firsts.withColumns({name: F.timestamp_micros(name) for name in times})
+
+
 def crawl_rate(outcomes: DataFrame, event_time: str = "fetched_at", window: str = "1 minute",
                lateness: str = "5 minutes") -> DataFrame:
     """(window_start, window_end, outcome, n) of every closed tumbling window."""

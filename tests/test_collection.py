@@ -213,3 +213,25 @@ def test_wrong_types_are_reported(spark, tmp_path):
     rows = readers.load_collection(spark, str(path), schema, mode="PERMISSIVE").cache()
     got = [r.violations for r in conformance.with_violations(rows).orderBy(F.col("_corrupt_record").isNotNull()).collect()]
     assert got[0] == [] and "type" in got[1]
+
+
+def test_every_file_has_its_own_format(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "a.json").write_text('\n  \n{"url": "l1"}\n\n{"url": "l2"}\n')
+    (folder / "b.json").write_text('[{"url": "a1"}, {"url": "a2"}]')
+    (folder / "c.json").write_text('{\n  "url": "object"\n}\n')
+    (folder / "d.json").write_text('[\n{"url": "p1"},\n{"url": "p2"}\n]')
+    (folder / "e.json").write_text("\n \n")
+    (folder / "f.json").write_text('{"url": "single"}')
+    got = sorted(r.url for r in readers.load_documents(spark, str(folder)).select("url").collect())
+    assert got == ["a1", "a2", "l1", "l2", "object", "p1", "p2", "single"]
+    kinds = {r.file.rsplit("/", 1)[1]: r.by_lines for r in readers._json_kinds(spark, str(folder)).collect()}
+    assert kinds == {"a.json": True, "b.json": False, "c.json": False, "d.json": False, "f.json": True}
+
+
+def test_format_of_a_long_array_is_found_in_tasks(spark, tmp_path):
+    path = tmp_path / "long.json"
+    with open(path, "w") as out:
+        out.write("[" + ",".join(f'{{"url": "u{i}", "title": "{"t" * 200}"}}' for i in range(50_000)) + "]")
+    assert readers.load_documents(spark, str(path)).count() == 50_000

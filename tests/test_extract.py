@@ -1,7 +1,9 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
-from pagemill.functions.html import read_page
+from pagemill.functions.html import PageReader, Spans, page_title, read_page
 from pagemill.functions.page_rules import content_type, is_boilerplate
 from pagemill.operators.enrich import as_documents, enrich
 from pagemill.operators.extract import extract, with_content
@@ -120,3 +122,26 @@ def test_nested_anchors_stay_cheap():
     found = read_page(html, elements=False)
     assert time.perf_counter() - started < 5
     assert found["link_text_len"] == 5 * 70_000 * 70_001 // 2 + 69_999
+
+
+def test_deep_nesting_takes_time_in_proportion():
+    deep = 50_000
+    started = time.perf_counter()
+    assert read_page(f"<title>{'<b>' * 3}x</title><body>{'<i>' * deep}text{'</i>' * deep}</body>")["body_text"] == "text"
+    spans_title = "<svg><title>" + "<i>" * deep + "only" + "</i>" * deep + "</title></svg>"
+    read_page(spans_title)
+    assert time.perf_counter() - started < 5
+
+
+class _Titled(PageReader):
+    """Reads a title's tags as elements, as older parsers do."""
+    CDATA_CONTENT_ELEMENTS, RCDATA_CONTENT_ELEMENTS = (), ()
+
+
+@pytest.mark.parametrize("html, title", [
+    ("<title><b><i>only</i></b></title>", "only"), ("<title><b>one</b><i>two</i></title><h1>h</h1>", "h"),
+    ("<title><b>one</b> tail</title><h1>h</h1>", "h"), ("<title><b></b></title><h1>h</h1>", "h"),
+    ("<title><br></title><h1>h</h1>", "h"), ("<title>" + "<i>" * 3000 + "deep" + "</i>" * 3000 + "</title>", "deep")])
+def test_title_of_nested_tags(html, title):
+    reader = _Titled().read(html)
+    assert page_title(reader, Spans(reader)) == title

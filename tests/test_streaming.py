@@ -1,8 +1,10 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from pagemill.operators import dedup
 from pagemill.operators.enrich import enrich
 from pagemill.operators.extract import extract, with_content
 from pagemill.plans.queries import REGISTRY
@@ -65,3 +67,29 @@ def test_tables_of_many_files(spark, tmp_path, name):
         spark.read.parquet(f"{SF}/{table}.parquet").repartition(3).write.parquet(f"{tmp_path}/{table}.parquet")
     split, whole = (REGISTRY[name](spark, folder).count() for folder in (str(tmp_path), SF))
     assert split == whole > 0
+
+
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_first_rows_equal_batch(spark, tmp_path, shuffled):
+    """Three batches, in order of time or not: the stream keeps what the batch keeps."""
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    at = dt.datetime(2025, 1, 1, 12)
+    draw = random.Random(8)
+    rows = [(at + dt.timedelta(seconds=draw.randrange(3600)), draw.choice(["crawled", "error"]), f"u{draw.randrange(40)}") for _ in range(400)]
+    rows += [(at, "tie b", "u50"), (at, "tie a", "u50"), (None, "no time", "u51"), (at, "no key", None)]
+    rows.sort(key=lambda r: (r[0] is None, r[0] or at))
+    if shuffled:
+        draw.shuffle(rows)
+    schema = None
+    for part in range(3):
+        schema = _log(spark, source, rows[part * len(rows) // 3:(part + 1) * len(rows) // 3])
+        stream = ingest.read_stream(spark, source, schema)
+        firsts = ingest.stream_first_rows(stream, "url", "fetched_at", "outcome", horizon=dt.timedelta(hours=3), lateness="2 hours")
+        ingest.write_available(firsts, out, state).awaitTermination()
+        assert spark.read.schema(schema).parquet(out).count() == 0
+    _log(spark, source, [(at + dt.timedelta(days=1), "end", "end")])
+    firsts = ingest.stream_first_rows(ingest.read_stream(spark, source, schema), "url", "fetched_at", "outcome",
+                                      horizon=dt.timedelta(hours=3), lateness="2 hours")
+    ingest.write_available(firsts, out, state).awaitTermination()
+    batch = dedup.keep_first(spark.createDataFrame([r for r in rows if None not in r], schema), "url", "fetched_at", "outcome")
+    assert sorted(map(tuple, spark.read.parquet(out).collect())) == sorted(map(tuple, batch.collect()))
