@@ -23,11 +23,28 @@ DOCUMENT = T.StructType([
 
 DOCUMENT_FIELDS = DOCUMENT.fieldNames()
 
-PAGE = T.StructType([
-    T.StructField("page_id", T.LongType()),
-    T.StructField("url", T.StringType()),
-    T.StructField("html", T.StringType()),
-])
-
 # The content types a document row may carry.
 CONTENT_TYPES = ("article", "doc_page", "product_page", "list_page", "tutorial")
+
+_COUNT = {"type": "integer", "minimum": 0}
+# The published rules of a document row, as a JSON Schema.
+DOCUMENT_RULES = {
+    "type": "object",
+    "required": list(DOCUMENT_FIELDS),
+    "properties": {
+        "url": {"type": "string", "format": "uri"},
+        "title": {"type": "string"},
+        "body_text": {"type": "string"},
+        "fetched_at": {"type": "string", "format": "date-time"},
+        "content_type": {"type": "string", "enum": list(CONTENT_TYPES)},
+        "word_count": _COUNT,
+        "char_count": _COUNT,
+        "language": {"type": "string"},
+        "estimated_read_time_minutes": {"type": "number", "minimum": 0},
+        "has_code_blocks": {"type": "boolean"},
+        "link_density": {"type": "number", "minimum": 0, "maximum": 1},
+        "paragraph_count": _COUNT,
+        "http_status": {"type": "integer", "minimum": 100, "maximum": 599},
+        "crawl_depth": _COUNT,
+    },
+}
