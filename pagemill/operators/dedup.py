@@ -15,7 +15,7 @@ _ROWS_OF_A_WORD = 64
 _IN_PLACE = {"Project", "Filter", "Relation", "SubqueryAlias", "View"}
 
 
-def _placed(rows: DataFrame) -> DataFrame:
+def placed(rows: DataFrame) -> DataFrame:
     """The rows with the file and the row number they stand at.
 
     Parquet scans know both. Rows that come from anywhere else are written first.
@@ -32,6 +32,28 @@ def _placed(rows: DataFrame) -> DataFrame:
         "*", F.col("_metadata.file_path").alias("_place_file"), F.col("_metadata.row_index").alias("_place_row"))
 
 
+def place_words(places: DataFrame) -> DataFrame:
+    """Rows given by file and row number as a written table of words: one bit a row, 64 rows a word."""
+    spark, path = places.sparkSession, new_table_path(places.sparkSession, "places")
+    (places.groupBy("_place_file", F.call_function("div", F.col("_place_row"), F.lit(_ROWS_OF_A_WORD)).alias("_place_word"))
+     .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(_place_row % {_ROWS_OF_A_WORD} AS int))")).alias("_place_bits"))
+     .write.parquet(path))
+    return spark.read.schema("_place_file string, _place_word long, _place_bits long").parquet(path)
+
+
+def rows_by_place(stored: DataFrame, words: DataFrame, listed: bool) -> DataFrame:
+    """The rows of a :func:`placed` table that are listed, or those that are not, without their places.
+
+    A short list goes to every task, so wide rows stay where they are scanned; of a longer one than
+    BROADCAST_WORDS the rows meet their words by an exchange.
+    """
+    near = F.broadcast(words) if words.count() <= BROADCAST_WORDS else words
+    bit = F.expr(f"shiftright(coalesce(_place_bits, 0L), cast(_place_row % {_ROWS_OF_A_WORD} AS int)) & 1L")
+    return (stored.withColumn("_place_word", F.call_function("div", F.col("_place_row"), F.lit(_ROWS_OF_A_WORD)))
+            .join(near, ["_place_file", "_place_word"], "inner" if listed else "left").filter(bit == int(listed))
+            .select([f"`{c}`" for c in stored.columns if not c.startswith("_place_")]))
+
+
 def keep_first(rows: DataFrame, key: str, *order: str) -> DataFrame:
     """One row per key: the first by ``order``, of equal ones the first by its place in the files.
 
@@ -39,23 +61,15 @@ def keep_first(rows: DataFrame, key: str, *order: str) -> DataFrame:
     and compared; surplus rows are listed as bits by file and row number and dropped where they are scanned,
     so wide rows are not exchanged while the list is small.
     """
-    spark, placed = rows.sparkSession, _placed(rows)
+    spark, stored = rows.sparkSession, placed(rows)
     path = new_table_path(spark, "keys")
     place = (*order, "_place_file", "_place_row")
-    placed.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.struct(*place).alias("place")).write.parquet(f"{path}/all")
-    narrow = spark.read.parquet(f"{path}/all")
+    stored.filter(F.col(key).isNotNull()).select(F.col(key).alias("key"), F.struct(*place).alias("place")).write.parquet(path)
+    narrow = spark.read.parquet(path)
     first = (narrow.groupBy("key").agg(F.min("place").alias("first"), F.count("*").alias("copies"))
              .filter("copies > 1").select("key", "first"))
-    row = F.col("place._place_row")
-    (narrow.join(first, "key").filter(F.col("place") != F.col("first"))
-     .groupBy(F.col("place._place_file").alias("_place_file"), F.call_function("div", row, F.lit(_ROWS_OF_A_WORD)).alias("_place_word"))
-     .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(place._place_row % {_ROWS_OF_A_WORD} AS int))")).alias("_place_bits"))
-     .write.parquet(f"{path}/surplus"))
-    surplus = spark.read.schema("_place_file string, _place_word long, _place_bits long").parquet(f"{path}/surplus")
-    listed = F.broadcast(surplus) if surplus.count() <= BROADCAST_WORDS else surplus
-    bit = F.expr(f"shiftright(coalesce(_place_bits, 0L), cast(_place_row % {_ROWS_OF_A_WORD} AS int)) & 1L")
-    return (placed.withColumn("_place_word", F.call_function("div", F.col("_place_row"), F.lit(_ROWS_OF_A_WORD)))
-            .join(listed, ["_place_file", "_place_word"], "left").filter(bit == 0).select(rows.columns))
+    surplus = narrow.join(first, "key").filter(F.col("place") != F.col("first")).select("place._place_file", "place._place_row")
+    return rows_by_place(stored, place_words(surplus), listed=False)
 
 
 def distinct_urls(rows: DataFrame, key: str, order: str) -> DataFrame:
