@@ -77,13 +77,13 @@ WITH pages_text AS (
       '<[^>]*>', '', 'g'), ' ?\\n ?', chr(10), 'g'), '\\n{{2,}}', chr(10), 'g') AS text
   FROM pages),
 lines AS (
-  SELECT page_id, host, line, pos, trim(line, ' ' || chr(9) || chr(13) || chr(12)) AS bare
-  FROM (SELECT page_id, host, unnest(string_split(text, chr(10))) AS line,
+  SELECT page_id, host, text, line, pos, trim(line, ' ' || chr(9) || chr(13) || chr(12)) AS bare
+  FROM (SELECT page_id, host, text, unnest(string_split(text, chr(10))) AS line,
                generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM pages_text)),
-totals AS (SELECT host, count(*) AS host_pages FROM pages_text GROUP BY host),
+totals AS (SELECT host, count(DISTINCT coalesce(text, chr(0))) AS host_pages FROM pages_text GROUP BY host),
 drops AS (
   SELECT c.host, c.bare FROM (
-    SELECT host, bare, count(DISTINCT page_id) AS n FROM lines WHERE bare <> '' GROUP BY host, bare) c
+    SELECT host, bare, count(DISTINCT text) AS n FROM lines WHERE bare <> '' GROUP BY host, bare) c
   JOIN totals t ON c.host IS NOT DISTINCT FROM t.host
   WHERE c.n >= {site_lines.LEAST_PAGES} AND c.n / t.host_pages >= {site_lines.RATIO}),
 marked AS (
@@ -116,10 +116,14 @@ def op6_secret_ownership(spark, sf):
     def judged(verdict: str):
         return F.size(F.filter("spans", lambda s: s["verdict"] == verdict)).cast("long").alias(f"n_{verdict}")
 
+    def most(column: str):
+        return F.coalesce(F.array_max(f"spans.{column}"), F.lit(0)).cast("long").alias(f"most_{column}")
+
     listed = secret_ownership.span_list
     return found.select("doc_id", *map(number, secret_ownership.BASE),
                         F.sha2(listed(F.col("spans"), secret_ownership.BASE), 256).alias("base_sha256"),
-                        listed(F.col("spans")).alias("spans"), judged("live"), judged("copied"))
+                        listed(F.col("spans")).alias("spans"), judged("live"), judged("copied"),
+                        most("owners"), most("repositories"))
 
 
 @query

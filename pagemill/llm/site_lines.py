@@ -1,7 +1,8 @@
 """Line dedup by site-relative frequency.
 
 For every host, the pages that contain a line are divided by all pages of the host; lines above a
-boilerplate ratio are dropped from the pages of that host.
+boilerplate ratio are dropped from the pages of that host. Copies of one page are one page: an article that
+a host has three times repeats its lines, but none of them is boilerplate.
 """
 
 from __future__ import annotations
@@ -9,11 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.llm.tables import written
+
 RATIO = 0.05      # share of a host's pages from which a line is boilerplate: one page in twenty
 LEAST_PAGES = 3   # pages a line must be on; on sites of up to 60 pages this decides, below it nothing counts as repeated
 # A tag that ends a line of a page, and parts of a page that are not text.
 _BREAK = r"(?i)</?(?:p|div|br|hr|li|ul|ol|nav|article|section|header|footer|main|aside|h[1-6]|tr|table|td|th|form|title|body|head|html)\b[^>]*>"
-_HIDDEN = r"(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->"
+# What is opened and never closed hides the rest, so no part of a page is read twice.
+_HIDDEN = r"(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)"
 
 
 def line_key(line: Column) -> Column:
@@ -29,13 +33,14 @@ def boilerplate(pages: DataFrame, *, host: str, text: str, ratio: float = RATIO,
                 least_pages: int = LEAST_PAGES) -> DataFrame:
     """(host, line, pages, host_pages, ratio): hashed lines that are boilerplate on their host.
 
-    A page counts a line once however often it repeats it. Counts are partial sums of hashes, so a
-    huge host or a line on every page costs one row a task in the shuffle.
+    A page counts a line once however often it repeats it, and pages of the same text count once. Counts are
+    partial sums of hashes; a line on every page of a huge host is spread by the pages it is on before
+    it comes to one number.
     """
-    rows = pages.select(F.col(f"`{host}`").alias("host"), F.split(F.col(f"`{text}`"), "\n").alias("lines"))
-    totals = rows.groupBy("host").agg(F.count("*").alias("host_pages"))
-    keys = F.array_distinct(F.transform(F.filter("lines", _is_line), line_key))
-    counts = (rows.select("host", F.explode(keys).alias("line"))
+    rows = pages.select(F.col(f"`{host}`").alias("host"), F.col(f"`{text}`").alias("text")).withColumn("page", F.xxhash64("text"))
+    totals = rows.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("host_pages"))
+    keys = F.array_distinct(F.transform(F.filter(F.split("text", "\n"), _is_line), line_key))
+    counts = (rows.select("host", "page", F.explode(keys).alias("line")).distinct()
               .groupBy("host", "line").agg(F.count("*").alias("pages")).filter(F.col("pages") >= least_pages))
     return (counts.join(totals, counts["host"].eqNullSafe(totals["host"])).drop(totals["host"])
             .withColumn("ratio", F.col("pages") / F.col("host_pages")).filter(F.col("ratio") >= ratio))
@@ -49,13 +54,16 @@ def drop_boilerplate(pages: DataFrame, *, host: str, text: str, ratio: float = R
     1 / ratio times the mean number of lines of its pages as boilerplate, so the lines to drop are
     one short array a host, joined to the pages by host; pages stay one row each.
 
-    Rows without host are the pages of one unnamed host. Null texts stay null and count as pages;
-    repeated rows are pages of their own; a page whose lines all go becomes empty; columns named like
+    Rows without host are the pages of one unnamed host. Null texts stay null and count as one page a host;
+    repeated rows count as one page and each get the result; a page whose lines all go becomes empty; columns named like
     ``into`` or ``dropped`` (the number of dropped lines) are replaced.
     """
     into = into or text
+    pages = written(pages, "site-pages")     # the texts may be taken from html, which is to be done once
     found = boilerplate(pages, host=host, text=text, ratio=ratio, least_pages=least_pages)
-    lists = found.groupBy("host").agg(F.collect_set("line").alias("boilerplate lines")).withColumnRenamed("host", "boilerplate host")
+    # Written, so that their true size decides whether they travel to the pages or the pages to them.
+    lists = written(found.groupBy("host").agg(F.collect_set("line").alias("boilerplate lines")), "site-lists") \
+        .withColumnRenamed("host", "boilerplate host")
     joined = pages.join(lists, F.col(f"`{host}`").eqNullSafe(F.col("`boilerplate host`")), "left")
     lines = F.split(F.col(f"`{text}`"), "\n")
     stays = F.filter(lines, lambda line: ~(_is_line(line) & F.array_contains("boilerplate lines", line_key(line))))
