@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.functions.binding import let
 from pagemill.llm.tables import written
 
 # Fixed patterns: name, expression, group that is the value, least length of the value.
@@ -21,10 +22,13 @@ KINDS = (
     ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 28),
     ("repo", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 40),
     ("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 15),
-    ("key", r"-----BEGIN\x20(?:[A-Z0-9]+\x20)*PRIVATE\x20KEY-----", 0, 1),
+    ("key", r"-----BEGIN\x20[A-Z0-9\x20]*PRIVATE\x20KEY-----", 0, 1),
 )
 BASE = ("assign", "access", "hex")
 WIDE_OWNERS = 3          # owners from which a value is a copied example
+WIDE_REPOSITORIES = 20   # repositories from which it is one, be they of one owner
+STEPS_OF_A_RUN = 256
+_SPANS = "array<struct<start:int,kind:int,end:int,value:string>>"
 LIVE_OWNERS = 1          # owners up to which a value is one owner's
 LEAST_CHARACTERS = 6     # different characters of a value that looks random
 # What must stand in a text for a pattern to match at all; cheaper than the pattern.
@@ -43,17 +47,30 @@ def _spans_of(text: Column, number: int) -> Column:
     values = whole if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     sizes = F.zip_with(gaps, whole, lambda g, w: F.struct(F.length(g).alias("gap"), F.length(w).alias("size")))
     steps = F.zip_with(sizes, values, lambda s, v: F.struct(s["gap"].alias("gap"), s["size"].alias("size"), v.alias("value")))
-    none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
-    walked = F.aggregate(
-        steps, F.struct(F.lit(0).alias("at"), none.alias("spans")),
-        lambda done, s: F.struct(
-            (done["at"] + s["gap"] + F.coalesce(s["size"], F.lit(0))).alias("at"),
-            F.when(F.length(s["value"]) >= least, F.array_append(done["spans"], F.struct(
-                (done["at"] + s["gap"]).alias("start"), F.lit(number).alias("kind"),
-                (done["at"] + s["gap"] + s["size"]).alias("end"), s["value"].alias("value"))))
-            .otherwise(done["spans"]).alias("spans")),
-        lambda done: done["spans"])
-    return F.when(text.rlike(_HINT[name]), walked).otherwise(none)
+    none = F.array().cast(_SPANS)
+
+    def walk(part: Column, at: Column) -> Column:
+        """Where a run of steps ends, and its spans, begun at a place."""
+        return F.aggregate(
+            part, F.struct(at.alias("at"), none.alias("spans")),
+            lambda done, s: F.struct(
+                (done["at"] + s["gap"] + F.coalesce(s["size"], F.lit(0))).alias("at"),
+                F.when(F.length(s["value"]) >= least, F.array_append(done["spans"], F.struct(
+                    (done["at"] + s["gap"]).alias("start"), F.lit(number).alias("kind"),
+                    (done["at"] + s["gap"] + s["size"]).alias("end"), s["value"].alias("value"))))
+                .otherwise(done["spans"]).alias("spans")))
+
+    # Lists grow by copying, so steps are walked in runs of STEPS_OF_A_RUN: work in proportion to the matches.
+    def runs(all_steps: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(all_steps), F.lit(1)), F.lit(STEPS_OF_A_RUN))
+        return F.aggregate(
+            F.transform(starts, lambda first: F.slice(all_steps, first, F.lit(STEPS_OF_A_RUN))),
+            F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPANS}>").alias("parts")),
+            lambda done, part: let(walk(part, done["at"]), lambda w: F.struct(
+                w["at"].alias("at"), F.array_append(done["parts"], w["spans"]).alias("parts"))),
+            lambda done: F.flatten(done["parts"]))
+
+    return F.when(text.rlike(_HINT[name]), let(steps, runs)).otherwise(none)
 
 
 def candidates(text: Column) -> Column:
@@ -85,7 +102,7 @@ def ownership(found: DataFrame) -> DataFrame:
 def scan(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", repository: str = "doc_id", owner: str = "source") -> DataFrame:
     """(doc_id, spans) of every row, a span being (start, kind, end, verdict, repositories, owners).
 
-    ``verdict`` is ``copied`` if WIDE_OWNERS hold the value, ``live`` if at most LIVE_OWNERS do and it
+    ``verdict`` is ``copied`` if WIDE_OWNERS or WIDE_REPOSITORIES hold the value, ``live`` if at most LIVE_OWNERS do and it
     has LEAST_CHARACTERS different characters and a digit, else ``unclear``. Whole texts are scanned.
 
     Null and empty texts have no spans. Repeated rows are rows of their own, of one repository. Rows
@@ -100,7 +117,7 @@ def scan(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", reposit
         F.col(f"`{owner}`").alias("owner"), spans.alias("spans"), F.monotonically_increasing_id().alias("row")), "candidates")
     each = found.select("row", F.explode("spans").alias("s"))
     counted = each.join(ownership(found), F.col("s.key") == F.col("value_key"))
-    verdict = (F.when(F.col("owners") >= WIDE_OWNERS, "copied")
+    verdict = (F.when((F.col("owners") >= WIDE_OWNERS) | (F.col("repositories") >= WIDE_REPOSITORIES), "copied")
                .when((F.col("owners") <= LIVE_OWNERS) & F.col("s.random"), "live").otherwise("unclear"))
     judged = counted.groupBy("row").agg(F.array_sort(F.collect_list(F.struct(
         "s.start", "s.kind", "s.end", verdict.alias("verdict"), "repositories", "owners"))).alias("spans"))
