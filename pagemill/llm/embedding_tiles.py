@@ -18,6 +18,7 @@ from pagemill.session import ship_package
 THRESHOLD = 0.9
 BLOCK = 4096              # vectors in a block, about; a tile is a pair of blocks
 _ROWS, _PAIRS = 512, 50_000   # rows of a product and pairs of a recheck held at once
+_EXACT = 1024             # components whose products of codes add up exactly in single precision
 _SLACK = 1e-6             # for rounding in single and double precision
 
 
@@ -33,7 +34,9 @@ def quantise(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _block(table: pa.Table) -> pa.Table:
     """One row for the vectors of a block: ids, copies, codes, scales, errors and the vectors themselves."""
     x = np.array(table.column("embedding").to_pylist(), np.float64)
-    code, scale, error = quantise(x / np.abs(x).max(axis=1, keepdims=True))
+    # A power of two changes no cosine and no digit, and keeps squares of very large and small numbers in range.
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+    code, scale, error = quantise(x)
     columns = [table.column("id").to_numpy(), table.column("copies").to_numpy(), code, scale, error, x]
     return pa.table([table.column("dim").slice(0, 1), table.column("block").slice(0, 1),
                      *[pa.array([np.ascontiguousarray(c).tobytes()], pa.binary()) for c in columns]],
@@ -42,13 +45,18 @@ def _block(table: pa.Table) -> pa.Table:
 
 def linked_pairs(code_a, scale_a, error_a, x_a, code_b, scale_b, error_b, x_b, threshold: float, upper: bool):
     """(row of a, row of b) of all pairs with a cosine of at least ``threshold``; ``upper`` takes only row a < row b."""
-    right = np.ascontiguousarray(code_b.astype(np.float32).T)       # integer products below 2**24 are exact
+    right = np.ascontiguousarray(code_b.astype(np.float32).T)
     norm_a, norm_b = np.linalg.norm(x_a, axis=1), np.linalg.norm(x_b, axis=1)
     worst = error_a.max(initial=0.0)
     need = (threshold - _SLACK - (1 + worst) * error_b).astype(np.float64)
     found = []
     for r in range(0, len(code_a), _ROWS):
-        product = code_a[r:r + _ROWS].astype(np.float32) @ right
+        left = code_a[r:r + _ROWS].astype(np.float32)
+        product = left[:, :_EXACT] @ right[:_EXACT]     # integer sums below 2**24 are exact
+        if left.shape[1] > _EXACT:
+            product = product.astype(np.float64)
+            for first in range(_EXACT, left.shape[1], _EXACT):
+                product += left[:, first:first + _EXACT] @ right[first:first + _EXACT]
         product *= scale_a[r:r + _ROWS, None].astype(np.float32)
         product *= scale_b[None, :].astype(np.float32)
         product += error_a[r:r + _ROWS, None].astype(np.float32)
