@@ -328,7 +328,8 @@ def prefix_trie(conversations: DataFrame, *, conv_id: str = "conv_id", turn: str
         (conv - conv % GROUP).alias("block"), (conv % GROUP != 0).cast("int").alias("side"), conv.alias("conv"),
         F.col(f"`{turn}`").cast("long").alias("turn"), F.unhex(F.substring(digest, 1, 32)).alias("key"),
         F.regexp_count(said, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("words"))
-    rows = _screened(rebuilt(turns))
+    # Sorting by ranges looks at its rows twice; the texts are to be read once.
+    rows = _screened(rebuilt(written(turns, "turn-digests")))
     smallest = rows.agg(F.min("conv_id").alias("m")).first()["m"]
     shared = rows.filter("NOT alone")
     nodes = shared.groupBy("f1", "f2").agg(
