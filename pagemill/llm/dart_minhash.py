@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from pagemill.llm.arrow import Words, lean, mix, occurrences, slices, uniform, windows
 from pagemill.llm.tables import connected_components, written
+from pagemill.operators.dedup import place_words, placed, rows_by_place
 from pagemill.session import ship_package
 
 SHINGLE = 5
@@ -116,28 +117,39 @@ def _list_column(values: np.ndarray, per_row: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(per_row)), pa.int32()), pa.array(values.view(np.int64)))
 
 
+def _content(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit keys of the words of each text in their order."""
+    at = np.arange(len(words.hashes)) - words.bounds[words.text] + 1
+    keys = []
+    for salt in (np.uint64(0), np.uint64(0x6A09E667F3BCC909)):
+        whole = np.zeros(len(words.hashes) + 1, np.uint64)
+        np.cumsum(mix(words.hashes ^ salt) * (mix(at.astype(np.uint64) + salt) | np.uint64(1)), out=whole[1:])
+        keys.append(mix(whole[words.bounds[1:]] - whole[words.bounds[:-1]] + words.counts.astype(np.uint64)).view(np.int64))
+    return keys[0], keys[1]
+
+
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text) to (doc_id, content key, bands): texts of the same words in order share the key."""
+    """(doc_id, text) to (doc_id, content keys, bands): texts of the same words in order share both keys."""
     for batch in batches:
         for first, upto, data, offsets in slices(batch.column(1), lower=True):
             words = Words(data, offsets)
             n = upto - first
             shingles, text = windows(words, SHINGLE)
-            whole = np.zeros(len(words.hashes) + 1, np.uint64)
-            np.cumsum(mix(words.hashes) * mix(np.arange(len(words.hashes)) - words.bounds[words.text]), out=whole[1:])
-            key = mix(whole[words.bounds[1:]] - whole[words.bounds[:-1]] + words.counts.astype(np.uint64))
+            content, check = _content(words)
             have = words.counts > 0
             bands = band_keys(signatures(shingles, text, n))[have]
             yield pa.RecordBatch.from_arrays([
-                batch.column(0).slice(first, n).filter(pa.array(have)), pa.array(key[have].view(np.int64)),
-                _list_column(bands.ravel(), np.full(have.sum(), BANDS))], names=["doc", "content", "bands"])
+                batch.column(0).slice(first, n).filter(pa.array(have)), pa.array(content[have]), pa.array(check[have]),
+                _list_column(bands.ravel(), np.full(have.sum(), BANDS))], names=["doc", "content", "check", "bands"])
 
 
 def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, text) to (doc, 32-bit hashes of its shingles); the n-th repeat of a shingle is one of its own."""
+    """(doc, text) to (doc, content keys, 32-bit hashes of its shingles); the n-th repeat of a shingle is one of its own."""
     for batch in batches:
         for first, upto, data, offsets in slices(batch.column(1), lower=True):
-            shingles, text = windows(Words(data, offsets), SHINGLE)
+            words = Words(data, offsets)
+            content, check = _content(words)
+            shingles, text = windows(words, SHINGLE)
             of, shingle, weight = occurrences(shingles, text)
             unit = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
             units = mix(np.repeat(shingle, weight) + unit.astype(np.uint64) * np.uint64(0x8EBC6AF09C88C6E3))
@@ -148,8 +160,8 @@ def _shingle_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             ends = np.searchsorted(pairs >> 32, np.arange(upto - first + 1))
             values = pa.array((pairs & 0xFFFFFFFF).astype(np.uint32).view(np.int32))
             yield pa.RecordBatch.from_arrays([
-                batch.column(0).slice(first, upto - first),
-                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)], names=["doc", "shingles"])
+                batch.column(0).slice(first, upto - first), pa.array(content), pa.array(check),
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)], names=["doc", "content", "check", "shingles"])
 
 
 def _verified(edges: DataFrame, sets: DataFrame) -> DataFrame:
@@ -244,28 +256,36 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     different classes are compared with each other, in blocks; no bucket is capped.
 
     A text of fewer than five words is one shingle. Null, empty and wordless texts are classes of their
-    own. Rows without id are not returned. Rows that share an id are one document, whose class is the
-    smallest of those of its texts.
+    own. Rows without id are not returned. Rows that share an id are one document: all its texts are in one
+    class. The order of the rows decides nothing.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    slim = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text")).filter("doc is not null")
-    signed = written(slim.mapInArrow(lean(_signed), "doc long, content long, bands array<long>"), "signed")
-    firsts = signed.groupBy("content").agg(F.min("doc").alias("first"))
-    members = written(signed.select("doc", "content").join(firsts, "content").select("doc", "first").distinct(), "members")
-    # One text of each content; ids with several texts keep all their bands.
-    reps = signed.join(members.filter("doc = first").select("doc").distinct(), "doc", "left_semi")
-    buckets = written(reps.select(F.explode("bands").alias("band"), "doc").distinct()
-                      .join(reps.select(F.explode("bands").alias("band"), "doc").groupBy("band")
-                            .agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high"), "band")
-                      .select("band", "doc", "low"), "buckets")
+    stored = placed(docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text")))
+    slim = stored.filter("doc is not null").select("doc", "text")
+    signed = written(slim.mapInArrow(lean(_signed), "doc long, content long, check long, bands array<long>"), "signed")
+    # A node is a distinct text; its first document brings its bands and its shingles.
+    nodes = written(signed.groupBy("content", "check").agg(F.min("doc").alias("first"))
+                    .select("content", "check", "first", F.monotonically_increasing_id().alias("node")), "nodes")
+    members = written(signed.select("doc", "content", "check").join(nodes, ["content", "check"]).select("doc", "node").distinct(), "members")
+    reps = signed.withColumnRenamed("doc", "first").join(nodes, ["content", "check", "first"]).select(F.col("node").alias("doc"), "bands")
+    banded = written(reps.select(F.explode("bands").alias("band"), "doc").distinct(), "bands")
+    buckets = written(banded.join(banded.groupBy("band").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
+                                  .filter("low < high"), "band").select("band", "doc", "low"), "buckets")
     stars = written(buckets.filter("doc <> low").select(F.col("doc").alias("a"), F.col("low").alias("b")).distinct(), "stars")
-    wanted = stars.select(F.explode(F.array("a", "b")).alias("doc")).distinct()
-    sets = written(slim.join(wanted, "doc", "left_semi").mapInArrow(lean(_shingle_sets), "doc long, shingles array<int>")
-                   .dropDuplicates(["doc"]), "shingles")
+    wanted = nodes.join(stars.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
+    # The texts to compare are picked out where they are scanned; what moves is their shingles.
+    places = stored.select("doc", "_place_file", "_place_row").join(wanted.select(F.col("first").alias("doc")).distinct(), "doc", "left_semi")
+    picked = rows_by_place(stored, place_words(places), listed=True)
+    sets = written(picked.mapInArrow(lean(_shingle_sets), "doc long, content long, check long, shingles array<int>")
+                   .withColumnRenamed("doc", "first").join(wanted, ["content", "check", "first"])
+                   .select(F.col("node").alias("doc"), "shingles").dropDuplicates(["doc"]), "shingles")
 
     tried = written(stars.groupBy("a").agg(F.min("b").alias("b")), "tried")
-    links = _verified(tried, sets)
+    # The texts of one document are linked as they are.
+    own = members.join(members.groupBy("doc").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high"), "doc")
+    links = written(_verified(tried, sets).unionByName(
+        own.filter("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b"))), "links")
     classes = connected_components(links)
     links = [links]
 
@@ -300,9 +320,10 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     if not more.isEmpty():
         classes = grown(more)
 
-    named = members.join(classes, F.col("first") == F.col("node"), "left").select(
-        "doc", F.coalesce("component", "first").alias("class"))
-    labelled = named.groupBy("doc").agg(F.min("class").alias("class"))
+    named = written(members.join(classes, "node", "left").select(
+        "doc", F.coalesce("component", "node").alias("component")).distinct(), "named")
+    least = named.groupBy("component").agg(F.min("doc").alias("class"))
+    labelled = named.join(least, "component").select("doc", "class").distinct()
     ids = slim.select("doc").distinct()
     return ids.join(labelled, "doc", "left").select(
         F.col("doc").alias("doc_id"), F.coalesce("class", "doc").alias("class_id"))
