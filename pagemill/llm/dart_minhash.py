@@ -264,28 +264,35 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     stored = placed(docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc"), F.col(f"`{text}`").alias("text")))
     slim = stored.filter("doc is not null").select("doc", "text")
     signed = written(slim.mapInArrow(lean(_signed), "doc long, content long, check long, bands array<long>"), "signed")
-    # A node is a distinct text; its first document brings its bands and its shingles.
-    nodes = written(signed.groupBy("content", "check").agg(F.min("doc").alias("first"))
-                    .select("content", "check", "first", F.monotonically_increasing_id().alias("node")), "nodes")
-    members = written(signed.select("doc", "content", "check").join(nodes, ["content", "check"]).select("doc", "node").distinct(), "members")
-    reps = signed.withColumnRenamed("doc", "first").join(nodes, ["content", "check", "first"]).select(F.col("node").alias("doc"), "bands")
-    banded = written(reps.select(F.explode("bands").alias("band"), "doc").distinct(), "bands")
+    # A node is a distinct text; its first document brings its shingles. Where every document is one text,
+    # that document's id names the node; else nodes are numbered.
+    several = written(signed.select("doc", "content", "check").distinct().groupBy("doc").agg(F.count("*").alias("n"))
+                      .filter("n > 1").select("doc"), "several")
+    plain = several.isEmpty()
+    found = signed.groupBy("content", "check").agg(F.min("doc").alias("first"), F.first("bands").alias("bands"))
+    nodes = written(found.withColumn("node", F.col("first") if plain else F.monotonically_increasing_id()), "nodes")
+    members = written(signed.select("doc", "content", "check").distinct()
+                      .join(nodes.select("content", "check", "node"), ["content", "check"]).select("doc", "node"), "members")
+    banded = nodes.select(F.explode(F.array_distinct("bands")).alias("band"), F.col("node").alias("doc"))
     buckets = written(banded.join(banded.groupBy("band").agg(F.min("doc").alias("low"), F.max("doc").alias("high"))
                                   .filter("low < high"), "band").select("band", "doc", "low"), "buckets")
     stars = written(buckets.filter("doc <> low").select(F.col("doc").alias("a"), F.col("low").alias("b")).distinct(), "stars")
-    wanted = nodes.join(stars.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
+    wanted = written(nodes.drop("bands").join(stars.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi"), "wanted")
     # The texts to compare are picked out where they are scanned; what moves is their shingles.
     places = stored.select("doc", "_place_file", "_place_row").join(wanted.select(F.col("first").alias("doc")).distinct(), "doc", "left_semi")
     picked = rows_by_place(stored, place_words(places), listed=True)
+    by_content = ["content", "check", "first"]
     sets = written(picked.mapInArrow(lean(_shingle_sets), "doc long, content long, check long, shingles array<int>")
-                   .withColumnRenamed("doc", "first").join(wanted, ["content", "check", "first"])
-                   .select(F.col("node").alias("doc"), "shingles").dropDuplicates(["doc"]), "shingles")
+                   .withColumnRenamed("doc", "first").join(wanted, by_content)
+                   .groupBy(*by_content, "node").agg(F.first("shingles").alias("shingles"))
+                   .select(F.col("node").alias("doc"), "shingles"), "shingles")
 
     tried = written(stars.groupBy("a").agg(F.min("b").alias("b")), "tried")
-    # The texts of one document are linked as they are.
-    own = members.join(members.groupBy("doc").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high"), "doc")
-    links = written(_verified(tried, sets).unionByName(
-        own.filter("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b"))), "links")
+    links = _verified(tried, sets)
+    if not plain:    # the texts of one document are linked as they are
+        own = members.join(several, "doc", "left_semi")
+        links = written(links.unionByName(own.join(own.groupBy("doc").agg(F.min("node").alias("low")), "doc").filter("node <> low")
+                                          .select(F.col("node").alias("a"), F.col("low").alias("b"))), "links")
     classes = connected_components(links)
     links = [links]
 
@@ -320,12 +327,13 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     if not more.isEmpty():
         classes = grown(more)
 
-    named = written(members.join(classes, "node", "left").select(
-        "doc", F.coalesce("component", "node").alias("component")).distinct(), "named")
-    least = named.groupBy("component").agg(F.min("doc").alias("class"))
-    labelled = named.join(least, "component").select("doc", "class").distinct()
+    named = members.join(classes, "node", "left").select("doc", F.coalesce("component", "node").alias("class")).distinct()
+    if not plain:
+        named = written(named, "named")
+        least = named.groupBy("class").agg(F.min("doc").alias("least"))
+        named = named.join(least, "class").select("doc", F.col("least").alias("class")).distinct()
     ids = slim.select("doc").distinct()
-    return ids.join(labelled, "doc", "left").select(
+    return ids.join(named, "doc", "left").select(
         F.col("doc").alias("doc_id"), F.coalesce("class", "doc").alias("class_id"))
 
 
