@@ -555,7 +555,8 @@ def stream_first_urls(spark, sf):
 @query
 def stream_first_fetches(spark, sf):
     """The first fetch of every URL and day, once a day has passed after it."""
-    day = F.concat(urls.normalize_url(F.col("url")), F.lit("/"), F.date_format("fetched_at", "yyyy-MM-dd"))
+    date = F.date_from_unix_date(F.floor(F.unix_seconds("fetched_at") / 86_400).cast("int")).cast("string")
+    day = F.concat(urls.normalize_url(F.col("url")), F.lit("/"), date)
     rows = _fetch_stream(spark, sf).select(day.alias("url_day"), "fetched_at", "outcome", "url")
     firsts = ingest.stream_first_rows(rows, "url_day", "fetched_at", "url", horizon=dt.timedelta(days=1))
     return _drain(spark, firsts, "stream-firsts").select("url_day", F.unix_micros("fetched_at").alias("fetched_at"), "outcome", "url")

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from pagemill.operators.enrich import enrich
 from pagemill.operators.extract import extract, with_content
-from pagemill.session import ship_package
+from pagemill.session import SESSION_CONF, ship_package
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType,
@@ -72,6 +72,13 @@ def _one_per_batch(rows: DataFrame, key: str, event_time: str | None) -> DataFra
     return rows.mapInArrow(thin, rows.schema)
 
 
+def _use_timers(spark: SparkSession) -> None:
+    """Keyed state with timers needs the store of ``SESSION_CONF``; a session built elsewhere is given it."""
+    store = "spark.sql.streaming.stateStore.providerClass"
+    if "RocksDB" not in spark.conf.get(store, ""):
+        spark.conf.set(store, SESSION_CONF[store])
+
+
 class _FirstRow(StatefulProcessor):
     """Holds the earliest row of a key until the horizon has passed after it, then hands it on and forgets it.
 
@@ -128,6 +135,7 @@ def stream_first_rows(rows: DataFrame, key: str, event_time: str, *order: str, h
     row reaches its state, so a key that fills a third of the stream stays cheap.
     """
     ship_package(rows.sparkSession)
+    _use_timers(rows.sparkSession)
     present = rows.filter(F.col(key).isNotNull() & F.col(event_time).isNotNull())
     sort = [(event_time, "ascending"), *[(name, "ascending") for name in order]]
 
