@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.llm.arrow import lean, mix, prefix_hash, slices, span_hash
@@ -92,42 +92,53 @@ def _merged(of: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
     return of[head], start[head], np.maximum.reduceat(end, head)
 
 
+def _ranked(doc: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place of each (doc, row) in the order of all, and doc and row by place."""
+    order = np.lexsort((row, doc))
+    new = np.append(True, (doc[order][1:] != doc[order][:-1]) | (row[order][1:] != row[order][:-1]))[:len(order)]
+    rank = np.zeros(len(order), np.int64)
+    rank[order] = np.cumsum(new) - 1
+    return rank, doc[order[new]], row[order[new]]
+
+
 def _cut(length: int):
-    """(doc, text) to (key, print, doc, start, end, tied); rows without print are repeats already found.
+    """(doc, row, text) to (key, print, doc, row, place) of its pieces; those without print are repeats already found.
 
     Within a batch, pieces of equal bytes are reduced to the first, so that a large group of copies
     reaches the shuffle once a batch, not once a copy.
     """
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs = batch.column(0).to_numpy(zero_copy_only=False)
+            rank, docs, rows = _ranked(*(batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1)))
             parts = [(of + first, start, end, key, mark, tied)
-                     for first, _, data, offsets in slices(batch.column(1), lower=False)
+                     for first, _, data, offsets in slices(batch.column(2), lower=False)
                      for of, start, end, key, mark, tied in [pieces(data, offsets, length)]]
             if not parts:
                 continue
             of, start, end, key, mark, tied = (np.concatenate(c) for c in zip(*parts))
-            doc = docs[of] if len(of) else np.zeros(0, np.int64)
-            order = np.lexsort((start, doc, mark, key))
-            of, start, end, key, mark, tied, doc = (x[order] for x in (of, start, end, key, mark, tied, doc))
+            of = rank[of] if len(of) else np.zeros(0, np.int64)
+            order = np.lexsort((start, of, mark, key))
+            of, start, end, key, mark, tied = (x[order] for x in (of, start, end, key, mark, tied))
             group = np.ones(len(of), bool)
             group[1:] = (key[1:] != key[:-1]) | (mark[1:] != mark[:-1])
             leader = np.flatnonzero(group)[np.cumsum(group) - 1] if len(of) else np.zeros(0, np.int64)
-            repeat = (doc != doc[leader]) | (start != start[leader])
-            yield _piece_rows(key[~repeat].view(np.int64), mark[~repeat].view(np.int64), doc[~repeat], start[~repeat],
-                              end[~repeat], tied[~repeat])
+            repeat = (of != of[leader]) | (start != start[leader])
+            first = of[~repeat]
+            yield _piece_rows(key[~repeat].view(np.int64), mark[~repeat].view(np.int64), docs[first], rows[first],
+                              start[~repeat], end[~repeat], tied[~repeat])
             order = np.lexsort((start[repeat], of[repeat]))
             o, s, e = _merged(of[repeat][order], start[repeat][order], end[repeat][order])
-            yield _piece_rows(mix(docs[o].astype(np.uint64) + s.astype(np.uint64)).view(np.int64), None, docs[o], s, e, np.zeros(len(o), bool))
+            spread = mix(rows[o].astype(np.uint64) + s.astype(np.uint64)).view(np.int64)
+            yield _piece_rows(spread, None, docs[o], rows[o], s, e, np.zeros(len(o), bool))
     return cut
 
 
-def _piece_rows(key, mark, doc, start, end, tied) -> pa.RecordBatch:
+def _piece_rows(key, mark, doc, row, start, end, tied) -> pa.RecordBatch:
     # Start, end and tie share one number: rows of the large shuffle stay short.
     place = (start.astype(np.int64) << 32) | ((end - start).astype(np.int64) << 1) | tied
     marks = pa.nulls(len(key), pa.int64()) if mark is None else pa.array(mark)
-    return pa.RecordBatch.from_arrays([pa.array(key), marks, pa.array(doc.astype(np.int64)), pa.array(place)],
-                                      names=["key", "print", "doc", "place"])
+    return pa.RecordBatch.from_arrays([pa.array(key), marks, pa.array(doc), pa.array(row), pa.array(place)],
+                                      names=["key", "print", "doc", "row", "place"])
 
 
 # Suffix arrays
@@ -298,7 +309,8 @@ def _packs(key: np.ndarray, size: np.ndarray, limit: int) -> list[np.ndarray]:
 
 def _shard_repeats(length: int, limit: int):
     def find(table: pa.Table) -> pa.Table:
-        doc, start, key, side = (table.column(c).to_numpy() for c in ("doc", "start", "key", "side"))
+        start, key, side = (table.column(c).to_numpy() for c in ("start", "key", "side"))
+        doc, docs, rows = _ranked(table.column("doc").to_numpy(), table.column("row").to_numpy())
         blobs = table.column("bytes").to_pylist()
         size = np.array([len(b) for b in blobs], np.int64)
         packs = []
@@ -317,63 +329,69 @@ def _shard_repeats(length: int, limit: int):
                     shards[j].mark_repeats_of(shards[i])
         for shard, before in zip(shards, known):
             shard.repeat &= ~before
-        spans = [np.concatenate(c) for c in zip(*(s.spans() for s in shards))]
-        return pa.table(spans, names=["doc", "start", "end"])
+        of, first, end = (np.concatenate(c) for c in zip(*(s.spans() for s in shards)))
+        return pa.table([docs[of], rows[of], first, end], names=["doc", "row", "start", "end"])
     return find
 
 
+def _row_key(doc_id: str, text: str) -> tuple[Column, Column]:
+    """(doc, row) by which texts are told apart and ordered: the id, the greatest number for none, and a hash of the text."""
+    last = F.lit((1 << 63) - 1)
+    return F.coalesce(F.col(f"`{doc_id}`").cast("long"), last).alias("doc"), F.xxhash64(F.col(f"`{text}`")).alias("row")
+
+
 def repeated_spans(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """(doc, spans): for documents that repeat anything, the byte ranges to remove, not yet joined where they overlap.
+    """(doc, row, spans): for documents that repeat anything, the byte ranges to remove, not yet joined where they overlap.
 
-    ``doc`` is the id; a null id counts as the greatest one.
+    ``doc`` and ``row`` are those of ``_row_key``.
     """
     spark = docs.sparkSession
     ship_package(spark)
-    last = (1 << 63) - 1
-    slim = docs.select(F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(last)).alias("doc"), F.col(f"`{text}`").alias("text"))
+    slim = docs.select(*_row_key(doc_id, text), F.col(f"`{text}`").alias("text"))
     long_enough = slim.filter(F.octet_length("text") >= length)
-    rows = long_enough.mapInArrow(lean(_cut(length)), "key long, print long, doc long, place long")
+    rows = long_enough.mapInArrow(lean(_cut(length)), "key long, print long, doc long, row long, place long")
     by_key = Window.partitionBy("key")
-    by_print = Window.partitionBy("key", "print").orderBy("doc", "place")
-    first = F.first(F.struct("doc", "place")).over(by_print)
+    by_print = Window.partitionBy("key", "print").orderBy("doc", "row", "place")
+    first = F.first(F.struct("doc", "row", "place")).over(by_print)
     seen = rows.withColumns({
         "first": first, "turn": F.row_number().over(by_print),
         "low": F.min("print").over(by_key), "high": F.max("print").over(by_key)})
     known = F.col("print").isNull()
-    repeat = known | (F.struct("doc", "place") != F.col("first"))
+    repeat = known | (F.struct("doc", "row", "place") != F.col("first"))
     several = F.col("low") != F.col("high")
     tied = F.col("place").bitwiseAND(1) == 1
     placed = written(seen.filter(repeat | several | tied).select(
-        "key", "doc", F.shiftright("place", 32).alias("start"),
+        "key", "doc", "row", F.shiftright("place", 32).alias("start"),
         F.shiftright(F.col("place").bitwiseAND((1 << 32) - 1), 1).alias("size"), repeat.alias("repeat"),
         "turn"), "pieces")
-    whole = placed.filter("repeat").select("doc", "start", (F.col("start") + F.col("size")).alias("end"))
+    whole = placed.filter("repeat").select("doc", "row", "start", (F.col("start") + F.col("size")).alias("end"))
 
     # A piece longer than half a shard is cut; a string of ``length`` bytes lies in exactly one of its parts.
     step = max(SHARD_BYTES // 2, length)
     cuts = F.sequence(F.lit(0).cast("long"), F.col("size") - length, F.lit(step).cast("long"))
-    open_ = (placed.filter("not repeat and turn = 1").select("key", "doc", "start", "size", F.explode(cuts).alias("cut"))
-             .select("key", "doc", (F.col("start") + F.col("cut")).alias("start"),
+    open_ = (placed.filter("not repeat and turn = 1").select("key", "doc", "row", "start", "size", F.explode(cuts).alias("cut"))
+             .select("key", "doc", "row", (F.col("start") + F.col("cut")).alias("start"),
                      F.least(F.col("size") - F.col("cut"), F.lit(step + length - 1)).alias("size")))
     total = open_.agg(F.sum("size").alias("n")).first()["n"] or 0
     shards = max(1, -(-total // SHARD_BYTES))
     large = open_.groupBy("key").agg(F.ceil(F.sum("size") / SHARD_BYTES).alias("parts")).filter("parts > 1")
     spread = open_.join(large, "key", "left")
-    part = F.pmod(F.xxhash64("doc", "start"), F.col("parts")).cast("int")
+    part = F.pmod(F.xxhash64("doc", "row", "start"), F.col("parts")).cast("int")
     # A key of several parts: each part alone, and with every other part.
     pairs = F.transform(F.sequence(F.lit(0), F.col("parts").cast("int") - 1), lambda other: F.struct(
         F.concat_ws(" ", F.col("key"), F.least(other, part), F.greatest(other, part)).alias("shard"),
         F.when(other < part, 1).otherwise(0).alias("side")))
     bundle = F.array(F.struct(F.pmod("key", F.lit(shards)).cast("string").alias("shard"), F.lit(0).alias("side")))
     wanted = spread.withColumn("to", F.when(F.col("parts").isNull(), bundle).otherwise(pairs))
-    lists = wanted.groupBy("doc").agg(F.collect_list(F.struct("key", "start", "size", "to")).alias("wanted"))
-    bytes_ = slim.join(lists, "doc").select("doc", F.encode("text", "utf-8").alias("text"), F.explode("wanted").alias("w"))
-    blobs = bytes_.select("doc", F.col("w.key").alias("key"), F.col("w.start").alias("start"), F.explode("w.to").alias("t"),
+    lists = wanted.groupBy("doc", "row").agg(F.collect_list(F.struct("key", "start", "size", "to")).alias("wanted"))
+    # Rows repeated as a whole bring each of their pieces once a copy; a shard keeps one.
+    bytes_ = slim.join(lists, ["doc", "row"]).select("doc", "row", F.encode("text", "utf-8").alias("text"), F.explode("wanted").alias("w"))
+    blobs = bytes_.select("doc", "row", F.col("w.key").alias("key"), F.col("w.start").alias("start"), F.explode("w.to").alias("t"),
                           F.substring(F.col("text"), F.col("w.start").cast("int") + 1, F.col("w.size").cast("int")).alias("bytes")) \
-        .select("doc", "key", "start", "bytes", "t.shard", "t.side")
-    inner = blobs.groupBy("shard").applyInArrow(_shard_repeats(length, 2 * SHARD_BYTES), "doc long, start long, end long")
+        .select("doc", "row", "key", "start", "bytes", "t.shard", "t.side")
+    inner = blobs.groupBy("shard").applyInArrow(_shard_repeats(length, 2 * SHARD_BYTES), "doc long, row long, start long, end long")
     spans = whole.unionByName(inner)
-    return spans.groupBy("doc").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    return spans.groupBy("doc", "row").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -407,12 +425,14 @@ def without_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     one of smaller id, whether or not that part is removed itself. Cuts may fall inside a character, so
     ``kept`` is binary.
 
-    Null texts count as empty. Documents without id come last, as one. Rows repeated as a whole are one
-    document and get equal results. Very long texts are cut into pieces like others. Other columns are
-    not read.
+    Null texts count as empty. Rows of equal id and text are one document and get equal results. Rows
+    that share an id with different texts are documents of their own, ordered by a hash of the text; rows
+    without id come last, in the same order. So every string that is removed stays in an earlier row, and
+    the order of the rows decides nothing. Very long texts are cut into pieces like others. Other columns
+    are not read.
     """
     found = repeated_spans(docs, doc_id=doc_id, text=text, length=length)
-    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.encode(F.col(f"`{text}`"), "utf-8").alias("text"))
-    key = F.coalesce("doc_id", F.lit((1 << 63) - 1))
-    joined = rows.join(found, key == F.col("doc"), "left").select("doc_id", "text", "spans")
+    rows = docs.select(*_row_key(doc_id, text), F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
+                       F.encode(F.col(f"`{text}`"), "utf-8").alias("text"))
+    joined = rows.join(found, ["doc", "row"], "left").select("doc_id", "text", "spans")
     return joined.mapInArrow(lean(_removed), f"doc_id long, n_bytes long, spans {_SPAN}, kept binary")

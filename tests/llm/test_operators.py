@@ -269,6 +269,23 @@ def test_suffix_dedup(spark, empty, monkeypatch):
     assert suffix_dedup.without_repeats(empty).count() == 0
 
 
+def test_suffix_dedup_by_row(spark):
+    copied, alone, other = words(300, 200), words(301, 200), words(302, 200)
+    rows = [(1, copied, "s"), (None, copied, "s"), (None, alone, "s"), (7, copied + other, "s"), (7, other + "!", "s"), (7, alone[:90], "s"), (None, None, "s")]
+
+    def kept(order):
+        found = suffix_dedup.without_repeats(table(spark, order)).collect()
+        return sorted((r.doc_id is None, r.doc_id or 0, bytes(r.kept).decode()) for r in found)
+
+    got = kept(rows)
+    texts = [g[2] for g in got]
+    assert (False, 1, copied) in got and (True, 0, alone) in got and (False, 7, alone[:90]) in got
+    assert texts.count("") == 2                                    # the null text and the copy without id
+    # Of the two rows of id 7 that share a passage, one keeps it whole.
+    assert sum(other in t for t in texts) == 1 and sum(copied in t for t in texts) == 1
+    assert kept(rows[::-1]) == got and kept(rows[3:] + rows[:3]) == got
+
+
 def test_suffix_dedup_of_a_run_longer_than_a_suffix_array(spark):
     line, lead = "-" * 60 + "\n", words(80, 100)
     texts = {1: "=" * 3_000_000, 2: lead + line * 40_000, 3: lead + "=" * 150 + "!"}
