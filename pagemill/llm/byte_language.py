@@ -17,12 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagemill.llm.arrow import lean, slices
-from pagemill.llm.tables import without
+from pagemill.llm.tables import without, written
 from pagemill.session import ship_package
 
 STATE = 6                 # units of each direction
 SEGMENT = 128             # bytes read from a fresh state; a text is as many segments as it needs
 TEXTS_PER_LANGUAGE = 400  # texts that the network is trained on, about, chosen by hash
+MOST_BROADCAST = 100_000  # languages whose counts travel to every task
 STEPS, BATCH, RATE = 300, 256, 0.03
 UNKNOWN = "und"
 _RESET = -30.0            # both gates shut: the state after a padding byte is zero
@@ -208,13 +209,18 @@ def pooled(net: Network, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def training_sample(docs: DataFrame, *, text: str, language: str) -> list:
-    """About TEXTS_PER_LANGUAGE rows (text, language) of each language, the same ones at every run."""
+    """About TEXTS_PER_LANGUAGE rows (text, language) of each language, the same ones at every run.
+
+    Copies of a text come once; twice that number a language is never passed.
+    """
     rows = docs.select(F.col(f"`{text}`").alias("text"), F.col(f"`{language}`").alias("language")).filter(
         "text is not null and text <> '' and language is not null")
-    counts = rows.groupBy("language").agg(F.count("*").alias("n"))
+    counts = written(rows.groupBy("language").agg(F.count("*").alias("n")), "languages")
+    languages = counts.count()
     place = F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    chosen = rows.join(counts, "language").filter(place * F.col("n") < TEXTS_PER_LANGUAGE)
-    return chosen.select("text", "language").orderBy("language", "text").collect()
+    chosen = rows.join(F.broadcast(counts) if languages <= MOST_BROADCAST else counts, "language").filter(
+        place * F.col("n") < TEXTS_PER_LANGUAGE).select("text", "language").distinct()
+    return chosen.orderBy("language", "text").limit(2 * TEXTS_PER_LANGUAGE * max(languages, 1)).collect()
 
 
 def fit(docs: DataFrame, *, text: str = "text", language: str = "lang") -> Network:
