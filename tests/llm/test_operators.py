@@ -236,6 +236,23 @@ def test_licences(spark, empty):
     assert licence_paragraphs.scan(empty, classifier).count() == 0
 
 
+def test_licences_of_every_family(spark):
+    notices = [
+        ("lgpl", "This library is free software; you can redistribute it under the terms of the GNU Lesser General Public License."),
+        ("agpl", "You should have received a copy of the GNU Affero General Public License along with this server."),
+        ("isc", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted."),
+        ("epl-2.0", "SPDX-License-Identifier: EPL-2.0"), ("cc0", "Licensed under CC0 1.0."), ("mit", "# SPDX-License-Identifier: MIT"),
+        ("unlicense", "This is free and unencumbered software released into the public domain."),
+        ("mit", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED"),
+        ("gpl", "You should have received a copy of the GNU General Public License along with this program.")]
+    rows = [*((i, text, "s") for i, (_, text) in enumerate(notices)), (50, "x " * 200_000, "s"),
+            *((100 + i, words(i, 12) + "\n" + words(i + 700, 9), "s") for i in range(300))]
+    docs = table(spark, rows)
+    got = {r.doc_id: (r.family, r.confirmed) for r in licence_paragraphs.scan(docs, licence_paragraphs.train(docs)).collect()}
+    assert {i: got.get(i) for i in range(len(notices))} == {i: (family, True) for i, (family, _) in enumerate(notices)}
+    assert not any(confirmed for i, (_, confirmed) in got.items() if i >= 50)
+
+
 def plain_removal(texts, length=100):
     seen, out = set(), {}
     for key, text in sorted(texts.items()):
