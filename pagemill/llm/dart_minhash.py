@@ -30,6 +30,7 @@ COORDINATES = BANDS * ROWS
 _LOWEST = 1.0 / 8
 _DARTS = COORDINATES * (np.log(COORDINATES) + 2)    # expected darts that hit all coordinates
 _CHUNK = 1 << 18
+PEELS = 2               # times that the texts left in a bucket meet their first one, before all meet
 BLOCK = 128             # texts of a bucket compared at once with as many others
 _COLUMNS = 1 << 12      # shingles of a block held at once as a table
 
@@ -179,6 +180,23 @@ def _in_classes(buckets: DataFrame, classes: DataFrame) -> DataFrame:
     return buckets.join(named, "doc", "left").withColumn("class", F.coalesce("class", "doc"))
 
 
+def _joined(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes with those joined that the links connect; only links between classes are followed."""
+    merged = connected_components(_between(links, classes).select(F.col("ca").alias("a"), F.col("cb").alias("b"))) \
+        .select(F.col("node").alias("old"), F.col("component").alias("new"))
+    moved = classes.join(merged, F.col("component") == F.col("old"), "left").select("node", F.coalesce("new", "component").alias("component"))
+    fresh = merged.join(classes.select(F.col("node").alias("old")), "old", "left_anti").select(F.col("old").alias("node"), F.col("new").alias("component"))
+    return written(moved.unionByName(fresh), "classes")
+
+
+def _between(edges: DataFrame, classes: DataFrame) -> DataFrame:
+    """The edges (a, b) between different classes, with these as (ca, cb); a text of no class is its own."""
+    left = classes.select(F.col("node").alias("a"), F.col("component").alias("ca"))
+    right = classes.select(F.col("node").alias("b"), F.col("component").alias("cb"))
+    return (edges.join(left, "a", "left").join(right, "b", "left")
+            .select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb")).filter("ca <> cb"))
+
+
 def _left_in_buckets(buckets: DataFrame, classes: DataFrame) -> DataFrame:
     """(band, doc, low): the texts outside the class of ``low`` in each bucket that are of several classes, with their first one."""
     named = _in_classes(buckets, classes)
@@ -251,8 +269,8 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     Two texts are linked if the weighted Jaccard similarity of their five-word shingles is at least
     SIMILARITY; classes are the connected components. Texts of the same words collapse before any
     comparison, so copies cost one row. Each text of a bucket meets the first one of the bucket, first
-    its overall first one, then all from which it is still apart. While that links anything, the texts
-    left in other classes meet the first one of those. In the end all texts of a bucket that are in
+    its overall first one, then all from which it is still apart. PEELS times, the texts left in other
+    classes meet the first one of those. In the end all texts of a bucket that are in
     different classes are compared with each other, in blocks; no bucket is capped.
 
     A text of fewer than five words is one shingle. Null, empty and wordless texts are classes of their
@@ -294,38 +312,25 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         links = written(links.unionByName(own.join(own.groupBy("doc").agg(F.min("node").alias("low")), "doc").filter("node <> low")
                                           .select(F.col("node").alias("a"), F.col("low").alias("b"))), "links")
     classes = connected_components(links)
-    links = [links]
-
-    def apart(edges: DataFrame) -> DataFrame:
-        left = classes.select(F.col("node").alias("a"), F.col("component").alias("ca"))
-        right = classes.select(F.col("node").alias("b"), F.col("component").alias("cb"))
-        return (edges.join(left, "a", "left").join(right, "b", "left")
-                .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
-
-    def grown(more: DataFrame) -> DataFrame:
-        links.append(more)
-        merged = links[0]
-        for part in links[1:]:
-            merged = merged.union(part)
-        return connected_components(merged)
-
-    edges = written(apart(stars.join(tried, ["a", "b"], "left_anti")), "edges")
+
+    edges = written(_between(stars.join(tried, ["a", "b"], "left_anti"), classes).select("a", "b"), "edges")
     if not edges.isEmpty():
-        classes = grown(_verified(edges, sets))
+        classes = _joined(classes, _verified(edges, sets))
     # All have met the first text of each bucket; what is left may still be linked among itself.
     left = buckets
-    while True:
+    for _ in range(PEELS):
         left = written(_left_in_buckets(left, classes), "left")
         if left.isEmpty():
             break
-        edges = written(apart(left.filter("doc <> low").select(F.col("doc").alias("a"), F.col("low").alias("b")).distinct()), "edges")
+        pairs = left.filter("doc <> low").select(F.col("doc").alias("a"), F.col("low").alias("b")).distinct()
+        edges = written(_between(pairs, classes).select("a", "b"), "edges")
         more = _verified(edges, sets)
         if more.isEmpty():
             break
-        classes = grown(more)
+        classes = _joined(classes, more)
     more = _verified_in_blocks(buckets, classes, sets)
     if not more.isEmpty():
-        classes = grown(more)
+        classes = _joined(classes, more)
 
     named = members.join(classes, "node", "left").select("doc", F.coalesce("component", "node").alias("class")).distinct()
     if not plain:
