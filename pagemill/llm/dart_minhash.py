@@ -31,7 +31,8 @@ _LOWEST = 1.0 / 8
 _DARTS = COORDINATES * (np.log(COORDINATES) + 2)    # expected darts that hit all coordinates
 _CHUNK = 1 << 18
 PEELS = 2               # times that the texts left in a bucket meet their first one, before all meet
-BLOCK = 128             # texts of a bucket compared at once with as many others
+BLOCK = 1 << 10         # texts of a bucket compared at once with as many others, and
+BLOCK_SHINGLES = 1 << 20    # shingles of these texts
 _COLUMNS = 1 << 12      # shingles of a block held at once as a table
 
 
@@ -207,10 +208,34 @@ def _left_in_buckets(buckets: DataFrame, classes: DataFrame) -> DataFrame:
     return rest.join(lows, "band").select("band", "doc", "low")
 
 
+def _may_be_near(sizes: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """(n, n): which sets may reach SIMILARITY, by the first shingles of each, those of few sets first.
+
+    Sets of at least SIMILARITY have SIMILARITY of the shingles of either in common. So one that they share is among
+    the first of both, where a set of n brings all but that share and one more, in one order for all sets.
+    """
+    n = len(sizes)
+    of = np.repeat(np.arange(n), sizes)
+    _, column, frequency = np.unique(values, return_inverse=True, return_counts=True)
+    order = np.lexsort((column, frequency[column], of))
+    turn = np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    least = np.ceil(SIMILARITY * sizes - 1e-9).astype(np.int64)
+    taken = (turn <= (sizes - least)[of]) & (frequency[column[order]] > 1)
+    column, of = column[order][taken], of[taken]
+    by = np.lexsort((of, column))
+    column, of = column[by], of[by]
+    may = np.zeros((n, n), bool)
+    for holders in np.split(of, np.flatnonzero(np.diff(column)) + 1):
+        if len(holders) > 1:
+            may[np.ix_(holders, holders)] = True
+    return may
+
+
 def _near_in_block(owner: np.ndarray, shingles: list[np.ndarray], apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The pairs of at least SIMILARITY among those that ``apart`` marks, by their whole sets of shingles."""
     n, sizes = len(owner), np.array([len(s) for s in shingles])
     wanted = apart & (np.minimum.outer(sizes, sizes) >= SIMILARITY * np.maximum.outer(sizes, sizes))
+    wanted &= _may_be_near(sizes, np.concatenate(shingles))
     use = np.flatnonzero(wanted.any(axis=1))
     if not len(use):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -249,12 +274,15 @@ def _compared_block(table: pa.Table) -> pa.Table:
 def _verified_in_blocks(buckets: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) of at least SIMILARITY within a bucket and of different classes, without those of ``low``.
 
-    A bucket is dealt to parts of about BLOCK texts, and every two parts are compared in a task of their
-    own. A part holds each text once a bucket, so no pair becomes a row unless it is near.
+    A bucket is dealt to parts of about BLOCK texts and BLOCK_SHINGLES shingles, and every two parts are compared
+    in a task of their own. A part holds each text once a bucket, so no pair becomes a row unless it is near.
     """
-    rest = written(_in_classes(buckets.filter("doc <> low"), classes).select("band", "doc", "class"), "rest")
-    sized = (rest.groupBy("band").agg(F.count("*").alias("n"), F.min("class").alias("least"), F.max("class").alias("most"))
-             .filter("least < most").select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts")))
+    sizes = sets.select("doc", F.size("shingles").cast("long").alias("size"))
+    rest = written(_in_classes(buckets.filter("doc <> low"), classes).join(sizes, "doc").select("band", "doc", "class", "size"), "rest")
+    parts = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    sized = (rest.groupBy("band").agg(F.count("*").alias("n"), F.sum("size").alias("shingles"),
+                                      F.min("class").alias("least"), F.max("class").alias("most"))
+             .filter("least < most").select("band", parts.alias("parts")))
     part = F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int")
     blocks = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda other: F.struct(
         F.least(other, part).alias("one"), F.greatest(other, part).alias("two"), F.when(other < part, 1).otherwise(0).alias("side")))

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from pagemill.llm import byte_language, dart_minhash, decontaminate, embedding_tiles, pivotal_mix, suffix_dedup
 from pagemill.llm.arrow import Words, slices, windows
@@ -178,3 +179,20 @@ def test_a_shard_of_many_keys_is_sorted_in_packs():
     assert starts(100) == starts(1 << 20)
     packs = suffix_dedup._packs(key, np.full(60, 40), 100)
     assert max(map(len, packs)) == 2 and sorted(np.concatenate(packs)) == list(range(60))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_no_near_pair_of_a_block_is_left_out(seed):
+    rng = np.random.default_rng(seed)
+    shared = rng.choice(1 << 20, 300, replace=False)
+    sets = [np.unique(rng.choice(shared, rng.integers(1, 120))) for _ in range(20)]
+    for base in list(sets):                                  # near ones, some of them of exactly SIMILARITY
+        for lost in (1, 2, len(base) // 5, len(base) // 4):
+            kept = rng.permutation(base)[lost:]
+            sets.append(np.unique(np.append(kept, rng.integers(1 << 21, 1 << 22, rng.integers(0, 3)))))
+    sets = [s.astype(np.int32) for s in sets if len(s)]
+    owner = np.arange(len(sets))
+    a, b = dart_minhash._near_in_block(owner, sets, ~np.eye(len(sets), dtype=bool))
+    near = {(i, j) for i in owner for j in owner[i + 1:]
+            if len(c := np.intersect1d(sets[i], sets[j])) >= 0.8 * (len(sets[i]) + len(sets[j]) - len(c)) - 1e-9}
+    assert set(zip(a.tolist(), b.tolist())) == near and len(near) > 20
