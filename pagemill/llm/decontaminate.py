@@ -5,10 +5,9 @@ substituted words still hashes like its benchmark item wherever the substitution
 positions. Hashes of both sides are joined, and around every hit the two texts are aligned word by
 word: an overlap counts if it is long enough and most of its words agree.
 
-No overlap is missed. With m of n words replaced, n - m equal words lie in m + 1 runs, and one run has
-(n - m) / (m + 1) words at least. For n >= MIN_WORDS and m <= n / 5 that is over 3, so four words in
-a row are equal, save for n = 15 with every fourth word replaced, which the second mask hits. An item
-of fewer words must be found whole and has one mask as long as its least run.
+No overlap is missed. One of 2 * MIN_WORDS words or more has a half that agrees enough, so it is enough that
+the masks hit every pattern of at most n / 5 replaced words among n, from MIN_WORDS to 2 * MIN_WORDS - 1; a test
+goes through all of them. An item of fewer words must be found whole and has one mask as long as its least run.
 """
 
 from __future__ import annotations
@@ -23,10 +22,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pagemill.llm.arrow import lean, mix, slices, Words
-from pagemill.llm.tables import without
+from pagemill.llm.tables import without, written
 from pagemill.session import ship_package
 
-MASKS = ("1111", "1110111")
+MASKS = ("111011", "101111")     # five words each, one place ignored
 MIN_WORDS = 13      # shortest overlap, in words; a shorter item must be found whole
 MIN_AGREE = 0.8     # share of equal words in an overlap
 PART_BYTES = 16 << 20   # benchmark text held in memory at once; a larger benchmark takes several passes
@@ -192,9 +191,13 @@ def overlaps(docs: DataFrame, bench: DataFrame, *, text: str = "text", item_id:
     ship_package(spark)
     docs = without(docs, into)
     result = docs.withColumn(into, F.array().cast(HITS))
+    held = None
     for seeds in _parts(bench, item_id, item_text):
-        sent = spark.sparkContext.broadcast(seeds)
-        result = _one_part(result, sent, text, into)
+        if held is not None:    # the part before is done with; neither memory nor the plan grows with the parts
+            result = written(result, "overlaps")
+            held.destroy()
+        held = spark.sparkContext.broadcast(seeds)
+        result = _one_part(result, held, text, into)
     return result
 
 

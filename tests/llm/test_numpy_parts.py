@@ -171,7 +171,7 @@ def test_a_shard_of_many_keys_is_sorted_in_packs():
     draw = np.random.default_rng(6)
     texts = [bytes(draw.integers(97, 99, 40, dtype=np.uint8)) for _ in range(60)]
     key = np.arange(60) % 4
-    table = pa.table({"doc": np.arange(60), "start": np.zeros(60, np.int64), "key": key, "side": np.zeros(60, np.int32), "bytes": texts})
+    table = pa.table({"doc": np.arange(60), "row": np.zeros(60, np.int64), "start": np.zeros(60, np.int64), "key": key, "side": np.zeros(60, np.int32), "bytes": texts})
 
     def starts(limit):
         out = suffix_dedup._shard_repeats(8, limit)(table.filter(key == 1)).to_pydict()

@@ -1,6 +1,7 @@
 """Every operator on small tables: planted cases, nulls, empty texts, repeated rows, empty tables, extra columns."""
 
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -59,6 +60,49 @@ def test_overlaps(spark, empty):
     assert decontaminate.contaminated_pairs(empty, bench).count() == 0
 
 
+def _longest_overlap(doc, item):
+    """Longest stretch of equal length on both sides, equal at its ends, of which 0.8 agree: every place against every place."""
+    equal, best = np.array(doc)[:, None] == np.array(item)[None, :], (0, 0.0)
+    least = min(13, len(item))
+    for shift in range(1 - len(doc), len(item)):
+        line = np.diagonal(equal, shift)
+        if line.sum() < 0.8 * least - 1e-9:
+            continue
+        total = np.append(0, np.cumsum(line))
+        for i in np.flatnonzero(line):
+            for j in np.flatnonzero(line[i:]) + i:
+                share = (total[j + 1] - total[i]) / (j + 1 - i)
+                if share >= 0.8 - 1e-9:
+                    best = max(best, (j + 1 - i, share))
+    return best if best[0] >= least else None
+
+
+def test_overlaps_against_all_places(spark):
+    def tokens(text):
+        return re.findall(r"(?:[^\W_]|[^\x00-\x7f])+", (text or "").lower())
+    items = {r.item_id: tokens(r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    docs = {r.doc_id: tokens(r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    drawn = random.Random(5)
+    rows = [(d, " ".join(t), "s") for d, t in docs.items()]
+    for n, (item, held) in enumerate(sorted(items.items())):            # passages with every share of words replaced
+        changed = [w if drawn.random() > n % 7 / 20 else f"x{drawn.randrange(99)}" for w in held]
+        docs[10_000 + n] = tokens(B)[:20] + changed + tokens(B)[20:]
+        rows.append((10_000 + n, " ".join(docs[10_000 + n]), "s"))
+    wanted = {(d, i): best for d, t in docs.items() for i, held in items.items() if t and held and (best := _longest_overlap(t, held))}
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items.items()], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.overlap, r.agreement) for r in decontaminate.contaminated_pairs(table(spark, rows), bench).collect()}
+    assert set(got) == set(wanted) and len(got) > 20
+    assert {k: n for k, (n, _) in got.items()} == {k: n for k, (n, _) in wanted.items()}
+
+
+def test_overlaps_with_a_benchmark_in_parts(spark, monkeypatch):
+    docs = table(spark, [(i, words(200 + i, 40), "s") for i in range(6)] + [(9, B, "s")])
+    bench = spark.createDataFrame([(i, words(200 + i, 40)) for i in range(6)] + [(3, words(200, 20))], "item_id long, text string")
+    whole = sorted(decontaminate.contaminated_pairs(docs, bench).collect())
+    monkeypatch.setattr(decontaminate, "PART_BYTES", 300)
+    assert sorted(decontaminate.contaminated_pairs(docs, bench).collect()) == whole and len(whole) == 7
+
+
 def test_toxicity(spark, empty):
     bad = [(i, f"{words(i, 30)} scumbag{'xyz'[i % 3]} {words(i + 900, 30)}", "s") for i in range(60)]
     good = [(i, words(i, 60), "s") for i in range(100, 220)]
