@@ -172,23 +172,34 @@ def snapshot_site(pages: DataFrame, start_url: str, page_id: str = "page_id") ->
     other forms of it); only the start page keeps its raw key. Every page is read once and the
     extraction is written for the rounds that follow.
     """
-    spark = pages.sparkSession
+    once = under_start_url(keep_first(keyed_pages(pages, start_url, page_id), "key", "form", "id"), start_url)
+    path = new_table_path(pages.sparkSession, "site")
+    extract(once).write.parquet(f"{path}/pages")
+    extracted = pages.sparkSession.read.parquet(f"{path}/pages")
+    return site_graph(*outcomes_and_links(extracted, start_url)), extracted
+
+
+def keyed_pages(pages: DataFrame, start_url: str, page_id: str = "page_id") -> DataFrame:
+    """(key, html, http_status, form, id): pages by normalised URL; the start URL's own page has form 0, others 1."""
     status = F.coalesce("http_status", F.lit(200)) if "http_status" in pages.columns else F.lit(200)
-    start, start_form = F.lit(start_url), normalize_url(F.lit(start_url))
-    keyed = pages.select(
+    return pages.select(
         normalize_url(F.col("url")).alias("key"), "html", status.cast("int").alias("http_status"),
-        F.when(F.col("url") == start, 0).otherwise(1).alias("form"), F.col(page_id).alias("id"))
-    # The start is fetched under its raw key and, when linked, again under its normal form.
+        F.when(F.col("url") == F.lit(start_url), 0).otherwise(1).alias("form"), F.col(page_id).alias("id"))
+
+
+def under_start_url(once: DataFrame, start_url: str) -> DataFrame:
+    """(url, html, http_status): the start is fetched under its raw key and, when linked, again under its normal form."""
+    start, start_form = F.lit(start_url), normalize_url(F.lit(start_url))
     twice = (F.col("key") == start_form) & (start != start_form)
-    once = keep_first(keyed, "key", "form", "id").select(
-        F.explode(F.when(twice, F.array("key", start)).otherwise(F.array("key"))).alias("url"), "html", "http_status")
-    path = new_table_path(spark, "site")
-    extract(once).write.parquet(f"{path}/pages")
-    extracted = spark.read.parquet(f"{path}/pages")
+    return once.select(F.explode(F.when(twice, F.array("key", start)).otherwise(F.array("key"))).alias("url"), "html", "http_status")
+
+
+def outcomes_and_links(extracted: DataFrame, start_url: str) -> tuple[DataFrame, DataFrame]:
+    """(url, outcome) of extracted pages, and (src_url, pos, dst_url) of those with content."""
     outcomes = extracted.select("url", page_outcome(
         F.col("http_status"), F.col("body_text"), F.col("error")).alias("outcome"))
     crawled = with_content(extracted.filter(F.col("http_status") < 400))
-    return site_graph(outcomes, extract_links(crawled, url_host(start))), extracted
+    return outcomes, extract_links(crawled, url_host(F.lit(start_url)))
 
 
 def crawl_documents(visited: DataFrame, extracted: DataFrame, profile: DataFrame | None = None,

@@ -137,6 +137,7 @@ def shop_site(spark: SparkSession, sf: str) -> tuple[Site, str]:
 
 ARCHIVE = "https://archive.example.net"
 FOLDERS = ("docs", "blog", "product", "wiki", "catalogue")
+ARCHIVE_START = f"{ARCHIVE}/{FOLDERS[0]}/0"
 
 
 def _archive_path(key):
@@ -194,9 +195,8 @@ def archive_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 def archive_crawl(spark: SparkSession, sf: str, **limits) -> tuple[DataFrame, DataFrame]:
     """Ordered visits of the archive from page 0 on, and its extracted pages."""
-    start = f"{ARCHIVE}/{FOLDERS[0]}/0"
-    site, extracted = snapshot_site(archive_pages(spark, sf), start)
-    return visit_order(crawl(site, start, **limits)), extracted
+    site, extracted = snapshot_site(archive_pages(spark, sf), ARCHIVE_START)
+    return visit_order(crawl(site, ARCHIVE_START, **limits)), extracted
 
 
 def fetch_log(events: DataFrame) -> DataFrame:

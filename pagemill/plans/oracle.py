@@ -501,6 +501,7 @@ FROM (SELECT count(*) FILTER (outcome = 'crawled') AS pages_crawled, count(*) FI
   (SELECT string_agg(language, ',' ORDER BY language) AS languages FROM (SELECT DISTINCT language FROM crawled)),
   (SELECT string_agg(k || '=' || n, ',' ORDER BY k) AS content_types FROM
     (SELECT content_type AS k, count(*) AS n FROM crawled GROUP BY 1))"""),
+    "crawl_continued": _from(_levels(16, _ARCHIVE), "SELECT url, outcome, depth FROM visits"),
     "archive_pages": _from(_ARCHIVE, """SELECT k AS page_id, title, body_text, has_code_blocks, link_text_len, link_ratio,
   7 AS n_links, outcome FROM read"""),
     "archive_boilerplate": _from(_ARCHIVE, """SELECT k AS page_id, unnest(['nav', 'div', 'aside', 'script', 'style', 'footer']) AS tag,

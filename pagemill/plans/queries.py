@@ -20,6 +20,7 @@ from pagemill.schema import DOCUMENT_FIELDS
 from pagemill.session import new_table_path
 from pagemill.sources import readers, writers
 from pagemill.streaming import ingest
+from pagemill.streaming.crawl import ContinuedCrawl
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -569,6 +570,19 @@ def stream_crawl_rate(spark, sf):
                         F.unix_seconds("window_end").alias("window_end"), "outcome", "n")
 
 
+@query
+def crawl_continued(spark, sf):
+    """All that can be reached in the archive, its pages arriving in three batches in no order."""
+    path = new_table_path(spark, "archive")
+    pages = inputs.archive_pages(spark, sf)
+    part = F.pmod(F.xxhash64("page_id"), F.lit(3))
+    going = ContinuedCrawl(spark, f"{path}/state", inputs.ARCHIVE_START)
+    for number in range(3):
+        pages.filter(part == number).write.mode("append").parquet(f"{path}/pages")
+        going.follow(ingest.read_stream(spark, f"{path}/pages", pages.schema)).awaitTermination()
+    return going.visited()
+
+
 # Conformance
 
 @query
