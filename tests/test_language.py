@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,3 +77,23 @@ def test_detection_keeps_texts_out_of_shuffles(spark, profile):
     docs = spark.range(3).select(F.col("id"), F.lit(EN).alias("body_text"))
     plan = L.with_language(docs, profile)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_texts_are_counted_in_slices(spark, monkeypatch):
+    """Whatever fills a batch, only so many characters are taken apart at once; cuts lose and repeat nothing."""
+    lines = ["abc" * 50, None, "x", "", "de" * 20, "f" * 97]
+    found = list(L._slices(pa.array(lines)))
+    assert all(sum(map(len, texts)) <= L.SLICE_CHARS for _, texts in found)
+    monkeypatch.setattr(L, "SLICE_CHARS", 40)
+    found = list(L._slices(pa.array(lines)))
+    assert len(found) > 5 and all(sum(map(len, texts)) <= 40 for _, texts in found)
+    grams = sorted((at, piece[i:i + 3]) for places, texts in found for at, piece in zip(places, texts) for i in range(len(piece) - 2))
+    assert grams == sorted((at, line[i:i + 3]) for at, line in enumerate(lines) if line for i in range(len(line) - 2))
+
+
+def test_counts_of_a_text_longer_than_a_slice(spark):
+    docs = spark.createDataFrame([(1, "ab " * L.SLICE_CHARS)], ["id", "t"])
+    got = {r.n for r in L.bucket_counts(docs, "id", "t").groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
+    rows = L.bucket_counts(docs, "id", "t").count()
+    assert got == {L.SLICE_CHARS, L.SLICE_CHARS - 1} or got == {L.SLICE_CHARS}
+    assert rows > 3
