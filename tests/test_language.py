@@ -97,3 +97,21 @@ def test_counts_of_a_text_longer_than_a_slice(spark):
     rows = L.bucket_counts(docs, "id", "t").count()
     assert got == {L.SLICE_CHARS, L.SLICE_CHARS - 1} or got == {L.SLICE_CHARS}
     assert rows > 3
+
+
+def test_every_trigram_has_its_own_weight(spark):
+    """Two trigrams that share a bucket stay apart, and no number of trigrams is cut off."""
+    def bucket(gram):
+        return sum(step * ord(c) for step, c in zip(L.STEPS, gram)) % L.BUCKETS
+    seen, pair = {}, None
+    draw = random.Random(2)
+    while pair is None:
+        gram = "".join(chr(draw.randrange(0x4E00, 0x9FA5)) for _ in range(3))
+        other = seen.setdefault(bucket(gram), gram)
+        pair = (gram, other) if other != gram else None
+    han = "".join(chr(draw.randrange(0x4E00, 0x9FA5)) for _ in range(90_000))
+    model = L.learn_trigrams(spark.createDataFrame([("one", pair[0]), ("two", pair[1]), ("zh", han)], ["lang", "text"]))
+    padded = " " + han + " "
+    assert model.filter("language = 'zh'").count() == len({padded[i:i + 3] for i in range(90_000)}) > L.BUCKETS
+    docs = spark.createDataFrame([(0, pair[0]), (1, pair[1])], "id long, body_text string")
+    assert {(r.id, r.language) for r in L.language_scores(docs, "id", "body_text", model).collect()} == {(0, "one"), (1, "two")}
