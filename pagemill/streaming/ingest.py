@@ -79,60 +79,84 @@ def _use_timers(spark: SparkSession) -> None:
         spark.conf.set(store, SESSION_CONF[store])
 
 
-class _FirstRow(StatefulProcessor):
-    """Holds the earliest row of a key until the horizon has passed after it, then hands it on and forgets it.
+class _FirstRows(StatefulProcessor):
+    """Holds the earliest row of every key of a group until the horizon has passed after it, then hands it on and forgets it.
 
-    Times are microseconds, in the rows as in the state.
+    The rows of a group are one state value and its earliest end one timer, so a batch calls the state a few
+    times a group, not a few times a key. Times are microseconds, in the rows as in the state.
     """
 
-    def __init__(self, schema: T.StructType, order: tuple[str, ...], horizon: dt.timedelta):
-        self.schema, self.order, self.horizon = schema, order, horizon // dt.timedelta(microseconds=1)
+    def __init__(self, schema: T.StructType, key: str, order: tuple[str, ...], horizon: dt.timedelta):
+        self.schema, self.horizon = schema, horizon // dt.timedelta(microseconds=1)
+        self.key, self.order = schema.names.index(key), [schema.names.index(name) for name in order]
+        self.stored = T.StructType([T.StructField("rows", T.ArrayType(schema))])
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.first = handle.getValueState("first", self.schema)
+        self.held = handle.getValueState("held", self.stored)
 
-    def _held(self) -> Row | None:
-        return Row(*self.schema.names)(*self.first.get()) if self.first.exists() else None
+    def _load(self) -> dict:
+        """The held row of each key."""
+        value = self.held.get()
+        return {row[self.key]: tuple(row) for row in value[0]} if value else {}
 
-    def _place(self, row: Row) -> tuple:
-        return tuple((row[name] is not None, 0 if row[name] is None else row[name]) for name in self.order)
+    def _place(self, row: tuple) -> tuple:
+        return tuple((row[at] is not None, 0 if row[at] is None else row[at]) for at in self.order)
 
-    def _ends(self, row: Row) -> int:
+    def _ends(self, row: tuple) -> int:
         """When a row is handed on, in milliseconds."""
         return (row[self.order[0]] + self.horizon) // 1000
 
+    def _store(self, held: dict, timer: int | None) -> None:
+        """Keep the rows; the timer, if it is set, is moved to the earliest end."""
+        first = min(map(self._ends, held.values()), default=None)
+        if timer is not None and timer != first:
+            self.handle.deleteTimer(timer)
+        if first is None:
+            self.held.clear()
+            return
+        self.held.update((list(held.values()),))
+        if timer != first:
+            self.handle.registerTimer(first)
+
     def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
-        held = best = self._held()
+        held = self._load()
+        timer = min(map(self._ends, held.values()), default=None)
+        changed = False
         for row in rows:
-            if best is None or self._place(row) < self._place(best):
-                best = row
-        if best is not held:
-            self.first.update(tuple(best[name] for name in self.schema.names))
-            if held is not None:
-                self.handle.deleteTimer(self._ends(held))
-            self.handle.registerTimer(self._ends(best))
+            new = tuple(row[name] for name in self.schema.names)
+            old = held.get(new[self.key])
+            if old is None or self._place(new) < self._place(old):
+                held[new[self.key]] = new
+                changed = True
+        if changed:
+            self._store(held, timer)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # noqa: N802, N803
-        held = self._held()
-        if held is not None and self._ends(held) == expiredTimerInfo.getExpiryTimeInMs():
-            self.first.clear()
-            yield held
+        held, now = self._load(), timerValues.getCurrentWatermarkInMs()
+        due = [row for row in held.values() if self._ends(row) <= now]
+        for row in due:
+            del held[row[self.key]]
+        self._store(held, None)
+        as_row = Row(*self.schema.names)
+        return (as_row(*row) for row in due)
 
     def close(self) -> None:
         pass
 
 
 def stream_first_rows(rows: DataFrame, key: str, event_time: str, *order: str, horizon: dt.timedelta,
-                      lateness: str = "5 minutes") -> DataFrame:
+                      lateness: str = "5 minutes", groups: int = 4096) -> DataFrame:
     """The earliest row of every key, whole, ties by ``order``: what a batch's keep-first returns.
 
     A row is handed on when the watermark, ``lateness`` behind the newest row, has passed its time by the
     horizon; until then an earlier row that arrives later takes its place. Rows of the key that come meanwhile are
     repeats; after that the key is forgotten, so state is bounded. Rows older than the watermark are late and
     dropped. Rows without key or time are not passed on. Of each Arrow batch only a key's earliest
-    row reaches its state, so a key that fills a third of the stream stays cheap.
+    row reaches its state, so a key that fills a third of the stream stays cheap. Keys are held in
+    ``groups`` groups by a hash; a batch reads and writes the groups it touches whole, and a task holds one
+    group in memory: more groups for more keys at a time, or for many small batches. A started stream keeps its number.
     """
     ship_package(rows.sparkSession)
     _use_timers(rows.sparkSession)
@@ -148,8 +172,10 @@ def stream_first_rows(rows: DataFrame, key: str, event_time: str, *order: str, h
     times = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.TimestampType)]
     in_micros = T.StructType([T.StructField(f.name, T.LongType() if f.name in times else f.dataType) for f in rows.schema.fields])
     counted = (present.mapInArrow(thin, rows.schema).withColumn("_event_time", F.col(event_time)).withWatermark("_event_time", lateness)
-               .withColumns({name: F.unix_micros(name) for name in times}))
-    firsts = counted.groupBy(key).transformWithState(_FirstRow(in_micros, (event_time, *order), horizon), in_micros, "Append", "EventTime")
+               .withColumns({name: F.unix_micros(name) for name in times})
+               .withColumn("_group", F.pmod(F.xxhash64(key), F.lit(groups))))
+    firsts = counted.groupBy("_group").transformWithState(
+        _FirstRows(in_micros, key, (event_time, *order), horizon), in_micros, "Append", "EventTime")
     return firsts.withColumns({name: F.timestamp_micros(name) for name in times})
 
 

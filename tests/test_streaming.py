@@ -2,7 +2,9 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pagemill.operators import dedup
 from pagemill.operators.enrich import enrich
@@ -93,3 +95,62 @@ def test_first_rows_equal_batch(spark, tmp_path, shuffled):
     ingest.write_available(firsts, out, state).awaitTermination()
     batch = dedup.keep_first(spark.createDataFrame([r for r in rows if None not in r], schema), "url", "fetched_at", "outcome")
     assert sorted(map(tuple, spark.read.parquet(out).collect())) == sorted(map(tuple, batch.collect()))
+
+
+class _State:
+    """A group's state and timers, and how often they are called."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, set(), 0
+
+    def getValueState(self, name, schema):  # noqa: N802
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+    def clear(self):
+        self.calls += 1
+        self.value = None
+
+    def registerTimer(self, at):  # noqa: N802
+        self.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):  # noqa: N802
+        self.calls += 1
+        self.timers.discard(at)
+
+
+class _Now:
+    def __init__(self, watermark, fired=None):
+        self.watermark, self.fired = watermark, fired
+
+    def getCurrentWatermarkInMs(self):  # noqa: N802
+        return self.watermark
+
+    def getExpiryTimeInMs(self):  # noqa: N802
+        return self.fired
+
+
+def test_state_is_called_by_the_group_not_by_the_key():
+    schema = T.StructType().add("k", "string").add("at", "long").add("o", "string")
+    row, state = Row(*schema.names), _State()
+    firsts = ingest._FirstRows(schema, "k", ("at", "o"), dt.timedelta(seconds=10))
+    firsts.init(state)
+    second = 1_000_000
+    assert list(firsts.handleInputRows(0, iter([row(f"k{n}", n * second, "b") for n in range(1000)]), _Now(0))) == []
+    assert list(firsts.handleInputRows(0, iter([row("k5", 2 * second, "x"), row("k7", 7 * second, "a"), row("k9", 50 * second, "z")]), _Now(0))) == []
+    assert state.calls < 10 and state.timers == {10_000}
+    state.timers.discard(10_000)
+    out = list(firsts.handleExpiredTimer(0, _Now(17_001), _Now(0, 10_000)))
+    assert sorted((r.k, r.at, r.o) for r in out) == [(f"k{n}", (2 if n == 5 else n) * second, {5: "x", 7: "a"}.get(n, "b")) for n in range(8)]
+    assert state.calls < 15 and state.timers == {18_000}
+    state.timers.clear()
+    assert len(list(firsts.handleExpiredTimer(0, _Now(10**9), _Now(0, 18_000)))) == 992
+    assert state.value is None and not state.timers
