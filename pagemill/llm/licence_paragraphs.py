@@ -119,12 +119,12 @@ TEMPLATES = {
 }
 UNKNOWN = "unknown"
 FAMILIES = (UNKNOWN, *TEMPLATES)
-FEATURES = 1 << 14          # words and word pairs of the training paragraphs, most frequent first
+FEATURES = 1 << 14          # words and word pairs of the positive examples, most frequent first
 LONGEST_FEATURE = 100       # characters; longer ones are no words
 HINTS = ("licens", "licenc", "copyright", "redistribut", "permission", "warrant", "public domain")    # of paragraphs worth comparing in training
 VARIANTS = 12               # altered copies of every template sentence in training
-TRAINING_PARAGRAPHS = 6_000   # of the corpus, at most, chosen by hash; a third of them calibrates
 FALSE_ALARMS = 0.001        # share of held-out paragraphs without licence above the threshold
+STEPS = 1 << 16             # of a probability, for the threshold
 CONFIRMED = 0.6             # share of a paragraph's word pairs, or of a sentence's, that agree
 _EDGES = " \t\r.,;:!?()[]{}<>\"'*#_=|"      # around a word, not part of it
 
@@ -196,50 +196,57 @@ def _altered(sentences: DataFrame) -> DataFrame:
 def train(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Classifier:
     """A classifier of FAMILIES.
 
-    Positive examples are template sentences, whole and altered, and paragraphs of the corpus that
-    agree with a template; the others are paragraphs of the corpus without any of HINTS. Both come
-    from at most TRAINING_PARAGRAPHS paragraphs each, chosen by a hash of their place and wording. The
-    threshold is the probability that a share FALSE_ALARMS of held-out paragraphs without licence exceeds.
+    Positive examples are template sentences, whole and altered, and all paragraphs of the corpus that
+    agree with a template; the others are all paragraphs of the corpus without any of HINTS, of which a third by
+    hash is held out to calibrate. Features are words and word pairs of the positive examples, counted over all of
+    them. A paragraph is then a set of features; equal ones are one example with their number, so training moves
+    these sets and no text. Sentences, agreeing paragraphs and the others weigh the same in sum, whatever their
+    numbers. The threshold is the least probability that no more than a share FALSE_ALARMS of all held-out
+    paragraphs exceeds.
     """
     spark = docs.sparkSession
     template = spark.createDataFrame([(s, f) for f, sentences in TEMPLATES.items() for s in sentences], "sentence string, family string")
     template = template.select(words(F.col("sentence")).alias("tokens"), "family")
     lines = paragraphs(docs, doc_id, text)
-    order = [F.xxhash64("doc_id", "paragraph_no", "paragraph"), F.col("paragraph")]
     hinted = _has_any(F.col("paragraph"), HINTS)
-    sizes = lines.agg(F.count_if(hinted).alias("near"), F.count_if(~hinted).alias("far")).first()
-    near, far = (_with_once(lines.filter(rule & (order[0] <= _least_hashes(n))).orderBy(*order).limit(TRAINING_PARAGRAPHS).repartition(8),
-                            "tokens", words(F.col("paragraph")))
-                 for rule, n in ((hinted, sizes["near"]), (~hinted, sizes["far"])))
+    near = _with_once(lines.filter(hinted).groupBy("paragraph").agg(F.count("*").alias("n")), "tokens", words(F.col("paragraph")))
     best = F.array_max(F.transform(F.map_entries(template_shares(F.col("tokens"))), lambda e: F.struct(
         e["value"].alias("share"), e["key"].alias("family"))))
-    near = _with_once(near, "best", best).filter(F.col("best.share") >= CONFIRMED).select("tokens", F.col("best.family").alias("family"))
-    held = F.pmod(F.xxhash64("paragraph", F.lit(9)), F.lit(3)) == 0
-    far = written(far.select("tokens", held.alias("held")), "paragraphs")
+    near = (_with_once(near, "best", best).filter(F.col("best.share") >= CONFIRMED)
+            .select("tokens", F.col("best.family").alias("family"), "n", F.lit("near").alias("kind")))
     names = F.array(*[F.lit(f) for f in FAMILIES])
-    examples = (_altered(template).unionByName(near)
-                .unionByName(far.filter("not held").select("tokens", F.lit(UNKNOWN).alias("family")))
+    positive = (_altered(template).select("tokens", "family", F.lit(1).cast("long").alias("n"), F.lit("template").alias("kind")).unionByName(near)
                 .withColumn("label", (F.array_position(names, F.col("family")) - 1).cast("double")))
-    examples = written(examples.repartition(4), "examples")
-    counts = (examples.select(F.explode(F.array_distinct(features(F.col("tokens")))).alias("feature"))
-              .filter(F.length("feature") <= LONGEST_FEATURE).groupBy("feature").count().filter("count > 1"))
+    positive = written(positive, "examples")
+    counts = (positive.select(F.explode(F.array_distinct(features(F.col("tokens")))).alias("feature"), "n")
+              .filter(F.length("feature") <= LONGEST_FEATURE).groupBy("feature").agg(F.sum("n").alias("count")).filter("count > 1"))
     vocabulary = [r["feature"] for r in counts.orderBy(F.desc("count"), "feature").limit(FEATURES).collect()]
     vectors = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="terms", outputCol="features")
     vectors.setBinary(True)
-    fit = LogisticRegression(family="multinomial", maxIter=25, regParam=0.001, elasticNetParam=1.0, standardization=False).fit(
-        vectors.transform(_with_terms(examples)))
+    held = F.pmod(F.xxhash64("paragraph", F.lit(9)), F.lit(3)) == 0
+    far = _with_once(lines.filter(~hinted), "tokens", words(F.col("paragraph"))).select("tokens", held.alias("held"))
+    far = written(vectors.transform(_with_terms(far)).groupBy("features", "held").agg(F.count("*").alias("n")), "paragraphs")
+    examples = (vectors.transform(_with_terms(positive)).select("features", "label", "n", "kind")
+                .unionByName(far.filter("not held").select("features", F.lit(0.0).alias("label"), "n", F.lit("far").alias("kind"))))
+    sizes = {r["kind"]: r["n"] for r in examples.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
+    share = reduce(lambda w, kind: w.when(F.col("kind") == kind, F.col("n") / F.lit(float(sizes[kind]))), sorted(sizes), F.when(F.lit(False), 0.0))
+    fit = LogisticRegression(family="multinomial", weightCol="share", maxIter=25, regParam=0.001, elasticNetParam=1.0, standardization=False).fit(
+        examples.withColumn("share", share * sizes["template"]))
     model = PipelineModel([vectors, fit])
-    licence = 1 - F.element_at(vector_to_array("probability"), 1)
-    seen = model.transform(_with_terms(far.filter("held"))).agg(F.percentile(licence, 1 - FALSE_ALARMS).alias("p")).first()["p"]
-    threshold = max(0.5, float(seen or 0.0))
+    threshold = max(0.5, _exceeded_by(fit.transform(far.filter("held")), 1 - F.element_at(vector_to_array("probability"), 1)))
     leads = _leads(vocabulary, fit.coefficientMatrix.toArray(), fit.interceptVector.toArray(), threshold)
-    return Classifier(model, threshold, leads, _needed_words(far, leads))
+    return Classifier(model, threshold, leads, _needed_words(far, vocabulary, leads))
 
 
-def _least_hashes(rows: int) -> int:
-    """A hash below which about twice TRAINING_PARAGRAPHS of the rows lie: few are sorted, however many there are."""
-    share = min(1.0, 2 * TRAINING_PARAGRAPHS / max(rows, 1))
-    return min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))
+def _exceeded_by(rows: DataFrame, value: Column) -> float:
+    """The least of STEPS steps from 0 to 1 that no more than a share FALSE_ALARMS of ``n`` summed over the rows exceeds."""
+    counts = rows.groupBy(F.ceil(value * STEPS).alias("step")).agg(F.sum("n").alias("n")).collect()
+    above, spare = 0, FALSE_ALARMS * sum(r["n"] for r in counts)
+    for row in sorted(counts, key=lambda r: -r["step"]):
+        above += row["n"]
+        if above > spare:
+            return row["step"] / STEPS
+    return 0.0
 
 
 def _with_terms(rows: DataFrame) -> DataFrame:
@@ -267,7 +274,7 @@ def _leads(vocabulary, weights, bias, threshold: float) -> list[tuple[float, dic
     return result
 
 
-def _needed_words(others: DataFrame, leads) -> list[str] | None:
+def _needed_words(others: DataFrame, vocabulary, leads) -> list[str] | None:
     """Words of which every paragraph above the threshold has one.
 
     The words of a family that are left out here add up to less than the lead it needs; they are
@@ -275,14 +282,13 @@ def _needed_words(others: DataFrame, leads) -> list[str] | None:
     """
     if min(spare for spare, _ in leads) <= 0:
         return None
-    candidates = sorted({word for _, by_word in leads for word in by_word})
-    if not candidates:
+    if not any(by_word for _, by_word in leads):
         return []
-    line = F.array_join("tokens", " ")
-    counts = others.agg(*[F.count_if(line.contains(w)).alias(str(n)) for n, w in enumerate(candidates)]).first()
-    common, needed = dict(zip(candidates, counts)), set()
+    places = F.transform(F.filter(F.arrays_zip(F.sequence(F.lit(0), F.size("present") - 1).alias("at"), "present"), lambda p: p["present"] > 0), lambda p: p["at"])
+    counts = others.select(vector_to_array("features").alias("present"), "n").select(F.explode(places).alias("at"), "n").groupBy("at").agg(F.sum("n").alias("n"))
+    common, needed = {vocabulary[r["at"]]: r["n"] for r in counts.collect()}, set()
     for spare, by_word in leads:
-        for word in sorted(by_word, key=lambda w: (-common[w] / by_word[w], w)):
+        for word in sorted(by_word, key=lambda w: (-common.get(w, 0) / by_word[w], w)):
             if by_word[word] < spare:
                 spare -= by_word[word]
             else:

@@ -297,6 +297,22 @@ def test_licences_of_every_family(spark):
     assert not any(confirmed for i, (_, confirmed) in got.items() if i >= 50)
 
 
+def test_licences_learn_from_every_paragraph(spark):
+    """Wordings that stand among 20,000 paragraphs with hints are all counted, however many there are."""
+    rare = [f"zorb{n}" for n in range(6)]
+    rows = [*((i, f"Released under the MIT License. {rare[i % 6]}", "s") for i in range(12)),
+            *((100 + i, "\n".join(f"copyright of {words(i * 50 + j, 4)}" for j in range(50)), "s") for i in range(400)),
+            *((1000 + i, words(i, 12), "s") for i in range(200))]
+    vocabulary = licence_paragraphs.train(table(spark, rows)).model.stages[0].vocabulary
+    assert set(rare) <= set(vocabulary)
+
+
+def test_threshold_counts_every_paragraph(spark):
+    rows = spark.createDataFrame([(0.1, 998), (0.5, 1), (0.75, 1), (0.9, 1)], "p double, n long")
+    got = licence_paragraphs._exceeded_by(rows, F.col("p"))
+    assert 0.75 <= got < 0.76
+
+
 def plain_removal(texts, length=100):
     seen, out = set(), {}
     for key, text in sorted(texts.items()):
