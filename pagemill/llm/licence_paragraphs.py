@@ -124,6 +124,7 @@ LONGEST_FEATURE = 100       # characters; longer ones are no words
 HINTS = ("licens", "licenc", "copyright", "redistribut", "permission", "warrant", "public domain")    # of paragraphs worth comparing in training
 VARIANTS = 12               # altered copies of every template sentence in training
 FALSE_ALARMS = 0.001        # share of held-out paragraphs without licence above the threshold
+WEIGHTS = {"template": 1.0, "near": 1.0, "far": 4.0}      # of the sums of sentences, agreeing paragraphs and others in training
 STEPS = 1 << 16             # of a probability, for the threshold
 CONFIRMED = 0.6             # share of a paragraph's word pairs, or of a sentence's, that agree
 _EDGES = " \t\r.,;:!?()[]{}<>\"'*#_=|"      # around a word, not part of it
@@ -229,7 +230,7 @@ def train(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Cla
     examples = (vectors.transform(_with_terms(positive)).select("features", "label", "n", "kind")
                 .unionByName(far.filter("not held").select("features", F.lit(0.0).alias("label"), "n", F.lit("far").alias("kind"))))
     sizes = {r["kind"]: r["n"] for r in examples.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
-    share = reduce(lambda w, kind: w.when(F.col("kind") == kind, F.col("n") / F.lit(float(sizes[kind]))), sorted(sizes), F.when(F.lit(False), 0.0))
+    share = reduce(lambda w, kind: w.when(F.col("kind") == kind, F.col("n") * F.lit(WEIGHTS[kind] / sizes[kind])), sorted(sizes), F.when(F.lit(False), 0.0))
     fit = LogisticRegression(family="multinomial", weightCol="share", maxIter=25, regParam=0.001, elasticNetParam=1.0, standardization=False).fit(
         examples.withColumn("share", share * sizes["template"]))
     model = PipelineModel([vectors, fit])
@@ -284,8 +285,7 @@ def _needed_words(others: DataFrame, vocabulary, leads) -> list[str] | None:
         return None
     if not any(by_word for _, by_word in leads):
         return []
-    places = F.transform(F.filter(F.arrays_zip(F.sequence(F.lit(0), F.size("present") - 1).alias("at"), "present"), lambda p: p["present"] > 0), lambda p: p["at"])
-    counts = others.select(vector_to_array("features").alias("present"), "n").select(F.explode(places).alias("at"), "n").groupBy("at").agg(F.sum("n").alias("n"))
+    counts = others.select(F.explode(F.unwrap_udt("features")["indices"]).alias("at"), "n").groupBy("at").agg(F.sum("n").alias("n"))
     common, needed = {vocabulary[r["at"]]: r["n"] for r in counts.collect()}, set()
     for spare, by_word in leads:
         for word in sorted(by_word, key=lambda w: (-common.get(w, 0) / by_word[w], w)):
