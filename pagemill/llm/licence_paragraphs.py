@@ -12,7 +12,7 @@ import math
 import re
 from dataclasses import dataclass
 from functools import reduce
-from operator import add, or_
+from operator import or_
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -132,13 +132,9 @@ _EDGES = " \t\r.,;:!?()[]{}<>\"'*#_=|"      # around a word, not part of it
 
 @dataclass
 class Classifier:
-    """``leads``: for each family the lead over "unknown" that it needs, and the most that each word can give to it.
-
-    ``needed``: words of which a paragraph above the threshold has one; None if there are no such words.
-    """
+    """``needed``: words of which a paragraph above the threshold has one; None if there are no such words."""
     model: PipelineModel
     threshold: float
-    leads: list[tuple[float, dict[str, float]]]
     needed: list[str] | None
 
 
@@ -161,6 +157,28 @@ def features(tokens: Column) -> Column:
     return F.concat(tokens, word_pairs(tokens))
 
 
+def _one_of(values: list[str]) -> str:
+    """SQL text of a test for one of the values; thousands of them are parsed at once, not made into columns one by one."""
+    quoted = ["'" + re.sub("[^A-Za-z0-9]", lambda c: f"\\U{ord(c[0]):08X}", value) + "'" for value in values]
+    return f"IN ({', '.join(quoted)})" if quoted else "IS NULL"
+
+
+def features_of(vocabulary: list[str], tokens: str) -> Column:
+    """Those of the features of the column that may be in the vocabulary: words of it, and pairs of two such words.
+
+    Most words of a text are in no feature; leaving them out first saves putting them into pairs that nobody looks for.
+    """
+    known = sorted({word for feature in vocabulary for word in feature.split(" ") if word})
+
+    def of(marked: Column) -> Column:
+        number = F.size(marked)
+        pairs = F.zip_with(marked, F.slice(marked, 2, F.greatest(number, F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
+        single = F.transform(marked, lambda w: F.concat(w, F.lit(" ")))
+        return F.filter(F.concat(marked, F.when(number == 1, single).otherwise(pairs)), lambda feature: feature.isNotNull())
+
+    return let(F.expr(f"transform(`{tokens}`, w -> CASE WHEN w {_one_of(known)} THEN w END)"), of)
+
+
 def template_shares(tokens: Column) -> Column:
     """Map of family -> best agreement with a sentence of it: shared word pairs by those of the shorter side."""
     def best(pairs: Column, name: str) -> Column:
@@ -226,8 +244,8 @@ def train(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Cla
     vectors.setBinary(True)
     held = F.pmod(F.xxhash64("paragraph", F.lit(9)), F.lit(3)) == 0
     far = _with_once(lines.filter(~hinted), "tokens", words(F.col("paragraph"))).select("tokens", held.alias("held"))
-    far = written(vectors.transform(_with_terms(far)).groupBy("features", "held").agg(F.count("*").alias("n")), "paragraphs")
-    examples = (vectors.transform(_with_terms(positive)).select("features", "label", "n", "kind")
+    far = written(vectors.transform(_with_terms(far, vocabulary)).groupBy("features", "held").agg(F.count("*").alias("n")), "paragraphs")
+    examples = (vectors.transform(_with_terms(positive, vocabulary)).select("features", "label", "n", "kind")
                 .unionByName(far.filter("not held").select("features", F.lit(0.0).alias("label"), "n", F.lit("far").alias("kind"))))
     sizes = {r["kind"]: r["n"] for r in examples.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
     share = reduce(lambda w, kind: w.when(F.col("kind") == kind, F.col("n") * F.lit(WEIGHTS[kind] / sizes[kind])), sorted(sizes), F.when(F.lit(False), 0.0))
@@ -236,7 +254,7 @@ def train(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> Cla
     model = PipelineModel([vectors, fit])
     threshold = max(0.5, _exceeded_by(fit.transform(far.filter("held")), 1 - F.element_at(vector_to_array("probability"), 1)))
     leads = _leads(vocabulary, fit.coefficientMatrix.toArray(), fit.interceptVector.toArray(), threshold)
-    return Classifier(model, threshold, leads, _needed_words(far, vocabulary, leads))
+    return Classifier(model, threshold, _needed_words(far, vocabulary, leads))
 
 
 def _exceeded_by(rows: DataFrame, value: Column) -> float:
@@ -250,8 +268,8 @@ def _exceeded_by(rows: DataFrame, value: Column) -> float:
     return 0.0
 
 
-def _with_terms(rows: DataFrame) -> DataFrame:
-    return _with_once(rows, "terms", features(F.col("tokens")))
+def _with_terms(rows: DataFrame, vocabulary: list[str]) -> DataFrame:
+    return _with_once(rows, "terms", features_of(vocabulary, "tokens"))
 
 
 def _has_any(paragraph: Column, parts) -> Column:
@@ -296,30 +314,25 @@ def _needed_words(others: DataFrame, vocabulary, leads) -> list[str] | None:
     return sorted(needed)
 
 
-def _may_be_licence(paragraph: Column, classifier: Classifier) -> Column:
+def _may_be_licence(tokens: str, classifier: Classifier) -> Column:
     """False only if no family can reach the threshold, whatever the order of the words."""
-    def reaches(low: Column) -> Column:
-        sums = [reduce(add, [F.when(low.contains(w), v).otherwise(0.0) for w, v in by_word.items()], F.lit(0.0)) >= spare
-                for spare, by_word in classifier.leads]
-        return reduce(or_, sums)
-
-    enough = let(F.lower(paragraph), reaches)
-    return enough if classifier.needed is None else _has_any(paragraph, classifier.needed) & enough
+    return F.lit(True) if classifier.needed is None else F.expr(f"exists(`{tokens}`, w -> w {_one_of(classifier.needed)})")
 
 
 def scan(docs: DataFrame, classifier: Classifier, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, paragraph_no, family, probability, similarity, confirmed) of the paragraphs with a licence.
 
-    Every paragraph of every text is classified; where its words, taken one by one, cannot add up to the
-    threshold, the model need not be asked. ``probability`` is that of the family;
+    Every paragraph of every text is classified; where it has none of the words without which the
+    threshold is out of reach, the model need not be asked. ``probability`` is that of the family;
     paragraphs below the threshold are unknown and not returned. ``confirmed`` is whether the wording
     agrees with the family's.
 
     Null and empty texts have no paragraphs; repeated rows give repeated results; rows without id are
     scanned like others; other columns are not read.
     """
-    rows = paragraphs(docs, doc_id, text).filter(_may_be_licence(F.col("paragraph"), classifier))
-    scored = classifier.model.transform(_with_terms(_with_once(rows, "tokens", words(F.col("paragraph")))))
+    rows = _with_once(paragraphs(docs, doc_id, text), "tokens", words(F.col("paragraph")))
+    rows = rows.filter(_may_be_licence("tokens", classifier))
+    scored = classifier.model.transform(_with_terms(rows, classifier.model.stages[0].vocabulary))
     scored = _with_once(scored.select("doc_id", "paragraph_no", "tokens", "probability"), "by_family", vector_to_array("probability"))
     place = F.array_position("by_family", F.array_max("by_family")).cast("int")
     names = F.array(*[F.lit(f) for f in FAMILIES])

@@ -307,6 +307,29 @@ def test_licences_learn_from_every_paragraph(spark):
     assert set(rare) <= set(vocabulary)
 
 
+def test_licence_features_of_known_words(spark):
+    """Words outside the vocabulary are left out before pairs are made, and the vector is that of all words and pairs."""
+    vocabulary = ["the", "mit", "mit ", "the mit", "it's", "a\\'b", "${env:home}x", "\U0001f600", "under the", "the the", "so far"]
+    texts = ["", "mit", "Other", "The (MIT) license", "under the the x mit", "it's a\\'b ${env:HOME}x \U0001f600 so", "so far, x", "far so", "the"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").select(licence_paragraphs.words(F.col("text")).alias("tokens"))
+    got = rows.select("tokens", licence_paragraphs.features(F.col("tokens")).alias("every"),
+                      licence_paragraphs.features_of(vocabulary, "tokens").alias("some")).collect()
+    assert all(set(r.every) & set(vocabulary) == set(r.some) & set(vocabulary) for r in got)
+    assert {tuple(r.tokens): sorted(set(r.some)) for r in got}["the", "mit", "license"] == ["mit", "the", "the mit"]
+    assert rows.select(licence_paragraphs.features_of([], "tokens").alias("some")).filter(F.size("some") > 0).count() == 0
+
+
+def test_licence_scan_looks_words_up(spark, empty):
+    """The work on a paragraph does not grow with the words that the model knows: no search for each of them."""
+    docs = table(spark, [(1, "Released under the MIT License.", "s"), *[(100 + i, words(i, 12), "s") for i in range(40)]])
+    classifier = licence_paragraphs.train(docs)
+    found = licence_paragraphs.scan(docs, classifier)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert len(classifier.needed) > 20 and plan.lower().count("contains(") < 10
+    whole = licence_paragraphs.scan(docs, licence_paragraphs.Classifier(classifier.model, classifier.threshold, None))
+    assert set(found.collect()) == set(whole.collect()) != set()
+
+
 def test_threshold_counts_every_paragraph(spark):
     rows = spark.createDataFrame([(0.1, 998), (0.5, 1), (0.75, 1), (0.9, 1)], "p double, n long")
     got = licence_paragraphs._exceeded_by(rows, F.col("p"))
